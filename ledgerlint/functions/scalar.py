@@ -57,7 +57,8 @@ def sql_trim(c: ColumnOrName) -> Column:
 
 def ltrim_chars(c: ColumnOrName, chars: str) -> Column:
     """Strip the given characters from the left (``LTRIM(x, '0')``)."""
-    return F.regexp_replace(col(c), "^[" + "".join("\\" + ch for ch in chars) + "]+", "")
+    cls = "".join(ch if ch.isalnum() else "\\" + ch for ch in chars)
+    return F.regexp_replace(col(c), "^[" + cls + "]+", "")
 
 
 def concat_strict(*cols: ColumnOrName) -> Column:

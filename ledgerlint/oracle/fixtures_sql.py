@@ -113,7 +113,7 @@ FIXTURES: dict[str, tuple[list[str], str]] = {
                                 WHEN 2 THEN '3.' || CAST(partkey AS VARCHAR) || 'E+12'
                                 WHEN 3 THEN CAST(partkey AS VARCHAR) || '{GARBLED_NBSP}'
                                 WHEN 4 THEN '--'
-                                ELSE ' 00' || CAST(partkey AS VARCHAR) || ' ' END AS ean_code,
+                                ELSE ' 00' || CAST(partkey AS VARCHAR) || chr(160) END AS ean_code,
                {_SAP_CODE.format(k='partkey')} AS sap_product_code,
                '000' || CAST(partkey % 7 AS VARCHAR) AS sap_signature_code,
                sellout_date AS date_id,

@@ -172,7 +172,7 @@ def ean_code(partkey: Column) -> Column:
         .when(m == 2, F.concat(F.lit("3."), k, F.lit("E+12")))
         .when(m == 3, F.concat(k, F.lit(GARBLED_NBSP)))
         .when(m == 4, F.lit("--"))
-        .otherwise(F.concat(F.lit(" 00"), k, F.lit(" ")))
+        .otherwise(F.concat(F.lit(" 00"), k, F.lit("\u00a0")))
     )
 
 
