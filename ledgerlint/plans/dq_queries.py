@@ -16,7 +16,7 @@ from ledgerlint.operators.measure import flatten_result
 from ledgerlint.params import RunParams
 from ledgerlint.plans import registry as reg
 from ledgerlint.plans import rules as R
-from ledgerlint.sources import fixtures as fx
+from ledgerlint.sources.fixtures import FixtureSet, dim_pos
 
 RUN_TS = dt.datetime(2001, 8, 31, 6, 0, 0)
 PARAM_DATE = "2001-08-31"
@@ -29,65 +29,73 @@ def _p(dq_id: str) -> RunParams:
     return RunParams(dq_id, RUN_TS, PARAM_DATE)
 
 
+def _fx(spark: SparkSession, d: str) -> FixtureSet:
+    return FixtureSet.of(spark, d)
+
+
+def _pos(f: FixtureSet, dup: bool = False) -> DataFrame:
+    return dim_pos(f.pos_dup() if dup else f.pos())
+
+
 def _tables(spark: SparkSession, d: str, pos_dup: bool = False) -> dict[str, DataFrame]:
-    pos = fx.fx_pos_dup(spark, d) if pos_dup else fx.fx_pos(spark, d)
+    f = _fx(spark, d)
     return {
-        reg.FACT_SELLOUT: fx.fx_fact_sellout(spark, d),
-        reg.DIM_PRODUCT: fx.fx_product(spark, d),
-        reg.DIM_POS: fx.dim_pos(pos),
-        reg.DIM_DATASOURCE: fx.fx_datasource(spark, d),
+        reg.FACT_SELLOUT: f.fact_sellout(),
+        reg.DIM_PRODUCT: f.product(),
+        reg.DIM_POS: _pos(f, pos_dup),
+        reg.DIM_DATASOURCE: f.datasource(),
     }
 
 
 def q_uniq_1032(spark, d):
-    r = R.product_uniqueness_sellout(spark, _p("DQ1032"), fx.fx_fact_sellout(spark, d), fx.fx_product(spark, d),
-                                     fx.dim_pos(fx.fx_pos(spark, d)))
+    r = R.product_uniqueness_sellout(spark, _p("DQ1032"), _fx(spark, d).fact_sellout(), _fx(spark, d).product(),
+                                     _pos(_fx(spark, d)))
     return flatten_result(r, R.SELLOUT_KEYS)
 
 
 def q_uniq_1083(spark, d):
-    r = R.pos_uniqueness_sellout(spark, _p("DQ1083"), fx.fx_fact_sellout(spark, d), fx.dim_pos(fx.fx_pos_dup(spark, d)))
+    r = R.pos_uniqueness_sellout(spark, _p("DQ1083"), _fx(spark, d).fact_sellout(), _pos(_fx(spark, d), dup=True))
     return flatten_result(r, R.SELLOUT_KEYS)
 
 
 def q_uniq_1084(spark, d):
-    r = R.datasource_uniqueness_sellout(spark, _p("DQ1084"), fx.fx_fact_sellout(spark, d),
-                                        fx.fx_datasource(spark, d, duplicate_ds1=True), fx.dim_pos(fx.fx_pos(spark, d)))
+    r = R.datasource_uniqueness_sellout(spark, _p("DQ1084"), _fx(spark, d).fact_sellout(),
+                                        _fx(spark, d).datasource(duplicate_ds1=True), _pos(_fx(spark, d)))
     return flatten_result(r, R.SELLOUT_KEYS)
 
 
 def q_uniq_1091(spark, d):
-    r = R.fact_uniqueness_sellout(spark, _p("DQ1091"), fx.fx_fact_sellout(spark, d), fx.dim_pos(fx.fx_pos(spark, d)))
+    r = R.fact_uniqueness_sellout(spark, _p("DQ1091"), _fx(spark, d).fact_sellout(), _pos(_fx(spark, d)))
     return flatten_result(r, R.SELLOUT_KEYS)
 
 
 def q_empty_left(spark, d):
     """R8 for a period without deliveries: one row with NULL metrics."""
-    fact = fx.fx_fact_sellout(spark, d).filter(F.col("sellout_date") >= F.lit("2101-01-01").cast("date"))
-    r = R.fact_uniqueness_sellout(spark, _p("DQ1091"), fact, fx.dim_pos(fx.fx_pos(spark, d)))
+    fact = _fx(spark, d).fact_sellout().filter(F.col("sellout_date") >= F.lit("2101-01-01").cast("date"))
+    r = R.fact_uniqueness_sellout(spark, _p("DQ1091"), fact, _pos(_fx(spark, d)))
     return flatten_result(r, R.SELLOUT_KEYS)
 
 
 def q_uniq_1238(spark, d):
-    r = R.distributor_uniqueness_sellthrough(spark, _p("DQ1238"), fx.fx_fact_sellthrough(spark, d),
-                                             fx.fx_distributor(spark, d, duplicate=True))
+    r = R.distributor_uniqueness_sellthrough(spark, _p("DQ1238"), _fx(spark, d).fact_sellthrough(),
+                                             _fx(spark, d).distributor(duplicate=True))
     return flatten_result(r, R.SELLOUT_KEYS)
 
 
 def q_uniq_1239(spark, d):
-    r = R.fact_uniqueness_sellthrough(spark, _p("DQ1239"), fx.fx_fact_sellthrough(spark, d), fx.fx_distributor(spark, d))
+    r = R.fact_uniqueness_sellthrough(spark, _p("DQ1239"), _fx(spark, d).fact_sellthrough(), _fx(spark, d).distributor())
     return flatten_result(r, R.SELLOUT_KEYS)
 
 
 def q_uniq_1240(spark, d):
-    r = R.product_uniqueness_sellthrough(spark, _p("DQ1240"), fx.fx_fact_sellthrough(spark, d),
-                                         fx.fx_product(spark, d), fx.fx_distributor(spark, d))
+    r = R.product_uniqueness_sellthrough(spark, _p("DQ1240"), _fx(spark, d).fact_sellthrough(),
+                                         _fx(spark, d).product(), _fx(spark, d).distributor())
     return flatten_result(r, R.SELLOUT_KEYS)
 
 
 def q_uniq_1241(spark, d):
-    r = R.datasource_uniqueness_sellthrough(spark, _p("DQ1241"), fx.fx_fact_sellthrough(spark, d),
-                                            fx.fx_datasource(spark, d, duplicate_ds1=True), fx.fx_distributor(spark, d))
+    r = R.datasource_uniqueness_sellthrough(spark, _p("DQ1241"), _fx(spark, d).fact_sellthrough(),
+                                            _fx(spark, d).datasource(duplicate_ds1=True), _fx(spark, d).distributor())
     return flatten_result(r, R.SELLOUT_KEYS)
 
 
@@ -115,7 +123,7 @@ def q_attr_dim(spark, d):
 
 
 def _stock(spark, d, year: int):
-    r = R.reference_integrity_stock(spark, _p("DQ_REF_BRAND"), fx.fx_stock(spark, d), fx.fx_ref_brand(spark, d),
+    r = R.reference_integrity_stock(spark, _p("DQ_REF_BRAND"), _fx(spark, d).stock(), _fx(spark, d).ref_brand(),
                                     "PRODUCT.brand_code", year, reference_column="brand_code")
     return flatten_result(r, R.STOCK_KEYS)
 

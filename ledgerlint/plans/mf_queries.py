@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ledgerlint.functions.normalize import normalize_ean, normalize_product_code, prefixed_product_key
 from ledgerlint.operators.merge import merge_status
 from ledgerlint.plans import missing_files as mf
-from ledgerlint.sources import fixtures as fx
+from ledgerlint.sources.fixtures import FixtureSet, dim_pos
 
 AS_OF = dt.date(2001, 8, 15)
 AS_OF_FIRST_RUN = dt.date(2001, 6, 15)
@@ -29,23 +29,23 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def inputs(spark: SparkSession, d: str, mixed: bool = False) -> mf.MissingFileInputs:
+    f = FixtureSet.of(spark, d)
     return mf.MissingFileInputs(
-        fact=fx.fx_mixed_freq(spark, d) if mixed else fx.fx_fact_nonzero(spark, d),
-        datasource=fx.fx_datasource(spark, d),
-        pos=fx.dim_pos(fx.fx_pos(spark, d)),
-        calendar=fx.fx_calendar(spark, d),
-        store_start=fx.fx_store_start(spark, d),
-        sku_traffic=fx.fx_sku_traffic(spark, d),
-        amz=fx.fx_amz(spark, d),
-        product=fx.fx_product_sap(spark, d),
-        signature=fx.fx_signature(spark, d),
+        fact=f.mixed_freq() if mixed else f.fact_nonzero(),
+        datasource=f.datasource(),
+        pos=dim_pos(f.pos()),
+        calendar=f.calendar(),
+        store_start=f.store_start(),
+        sku_traffic=f.sku_traffic(),
+        amz=f.amz(),
+        product=f.product_sap(),
+        signature=f.signature(),
     )
 
 
 def run(spark: SparkSession, d: str, cfg: mf.MissingFileConfig = SP, as_of: dt.date = AS_OF,
         mixed: bool = False) -> mf.MissingFileSteps:
-    # persist=False: each registered query runs one action, so caching M1 buys nothing here
-    return mf.missing_files(inputs(spark, d, mixed), as_of, cfg, persist=False)
+    return mf.missing_files(inputs(spark, d, mixed), as_of, cfg)
 
 
 def _d(c: str) -> Column:
@@ -178,13 +178,13 @@ def q_merge(spark, d):
 
 
 def q_norm_ean(spark, d):
-    a = fx.fx_amz(spark, d)
+    a = FixtureSet.of(spark, d).amz()
     g = a.groupBy("ean_code").agg(F.count(F.lit(1)).alias("n_rows"))
     return g.select("ean_code", normalize_ean("ean_code").alias("ean_normalized"), "n_rows")
 
 
 def q_norm_product(spark, d):
-    a = fx.fx_amz(spark, d)
+    a = FixtureSet.of(spark, d).amz()
     g = a.groupBy("market_code", "sap_product_code").agg(F.count(F.lit(1)).alias("n_rows"))
     return g.select(
         "market_code", "sap_product_code",

@@ -212,10 +212,14 @@ def weekly_window(cfg: MissingFileConfig, as_of: dt.date) -> tuple[Column, Colum
     return lo, hi
 
 
-def expected_daily(m5: DataFrame, m3: DataFrame, cfg: MissingFileConfig) -> DataFrame:
+def month_calendar(m3: DataFrame) -> DataFrame:
+    """The calendar collapsed to calendar months, entries valued with the day of month."""
+    return cal.collapse(m3, F.col("year"), F.col("month"), bigint(F.dayofmonth("cal_date")))
+
+
+def expected_daily(m5: DataFrame, months: DataFrame, cfg: MissingFileConfig) -> DataFrame:
     """M6: per store and calendar month, the ordered bag of days on or after the start."""
     stores = m5.filter(F.col("data_source_frequency") == cfg.daily)
-    months = cal.collapse(m3, F.col("year"), F.col("month"), bigint(F.dayofmonth("cal_date")))
     j = cal.months_from_start(stores, months, "effective_store_start_date")
     return j.groupBy(*EXPECTED_KEYS).agg(
         F.sort_array(F.flatten(F.collect_list("_values"))).alias("expected_array")
@@ -234,10 +238,9 @@ def expected_weekly(m5: DataFrame, m3: DataFrame, cfg: MissingFileConfig, as_of:
     )
 
 
-def expected_monthly(m5: DataFrame, m3: DataFrame, cfg: MissingFileConfig) -> DataFrame:
+def expected_monthly(m5: DataFrame, months: DataFrame, cfg: MissingFileConfig) -> DataFrame:
     """M8: store x calendar months on or after the start (MFS adds the list [1])."""
     stores = m5.filter(F.col("data_source_frequency") == cfg.monthly)
-    months = cal.collapse(m3, F.col("year"), F.col("month"), F.lit(1).cast("bigint"))
     j = cal.months_from_start(stores, months, "effective_store_start_date")
     out = j.select(*EXPECTED_KEYS).distinct()
     if not cfg.monthly_by_count:
@@ -403,7 +406,7 @@ def with_flag(df: DataFrame) -> DataFrame:
     )
 
 
-def before_start(m5: DataFrame, m3: DataFrame, cfg: MissingFileConfig) -> DataFrame:
+def before_start(m5: DataFrame, months: DataFrame, cfg: MissingFileConfig) -> DataFrame:
     """Calendar months before a store's start; count NULL, flag 2 (SP) or 0 (MFS).
 
     Daily and monthly stores: months before the start month.  Any other
@@ -415,7 +418,6 @@ def before_start(m5: DataFrame, m3: DataFrame, cfg: MissingFileConfig) -> DataFr
     bound = F.when(
         F.col("data_source_frequency").isin(cfg.daily, cfg.monthly), F.trunc(start, "month")
     ).otherwise(F.trunc(F.trunc(start, "week"), "month"))
-    months = cal.collapse(m3, F.col("year"), F.col("month"), F.lit(1))
     j = cal.months_before(m5, months, bound)
     return j.select(
         *[c for c in RESULT[:5]], "year", "month", "channel_level1", "channel_level2", "data_source_frequency",
@@ -448,15 +450,27 @@ class MissingFileSteps:
 
 def missing_files(inp: MissingFileInputs, as_of: dt.date, cfg: MissingFileConfig = SP,
                   persist: bool = True) -> MissingFileSteps:
-    """Run M1-M20 for one as-of date; ``.result`` holds the 12 result columns."""
+    """Run M1-M20 for one as-of date; ``.result`` holds the 12 result columns.
+
+    With ``persist`` the relations read by several later steps are cached:
+    M1 (distinct store-days, read by five steps), M4 (active stores) and M5
+    (one row per store).  A lost cached partition is recomputed from its
+    lineage.
+    """
     m1 = deliveries(inp, cfg, as_of)
     if persist:
         m1 = m1.persist()
     m2 = pos_attributes(inp, cfg)
     m3 = complete_months_calendar(inp, cfg, as_of)
     m4 = active_stores(m1, as_of)
+    if persist:
+        m4 = m4.persist()
     m5 = store_starts(m1, inp, cfg, m4)
-    e_d, e_w, e_m = expected_daily(m5, m3, cfg), expected_weekly(m5, m3, cfg, as_of), expected_monthly(m5, m3, cfg)
+    if persist:
+        m5 = m5.persist()
+    months = month_calendar(m3)
+    e_d, e_w = expected_daily(m5, months, cfg), expected_weekly(m5, m3, cfg, as_of)
+    e_m = expected_monthly(m5, months, cfg)
     m9 = marketplace_zero_sales(inp, cfg, m4) if cfg.marketplace_zero else None
     m10 = sku_traffic_zero_sales(inp, cfg, m2, m4)
     a_d = available_daily(m1, cfg, [z for z in (m9, m10) if z is not None])
@@ -472,7 +486,7 @@ def missing_files(inp: MissingFileInputs, as_of: dt.date, cfg: MissingFileConfig
         av = a_d.select(*av_cols).unionByName(a_w.select(*av_cols)).unionByName(a_m.select(*av_cols))
         missing = missing_by_list(exp, av)
     flagged = with_flag(missing).select(*RESULT)
-    m19 = before_start(m5, m3, cfg).select(*RESULT)
+    m19 = before_start(m5, months, cfg).select(*RESULT)
     return MissingFileSteps(
         deliveries=m1, pos=m2, calendar=m3, active=m4, starts=m5, expected_daily=e_d, expected_weekly=e_w,
         expected_monthly=e_m, zero_marketplace=m9, zero_sku_traffic=m10, available_daily=a_d,

@@ -63,8 +63,7 @@ def dim_pos(pos: DataFrame) -> DataFrame:
     return pos.select("point_of_sale_code", "client_name", "channel_level1", "channel_level2")
 
 
-def fx_pos_dup(spark: SparkSession, d: str) -> DataFrame:
-    pos = fx_pos(spark, d)
+def fx_pos_dup(pos: DataFrame) -> DataFrame:
     return pos.unionByName(pos.filter(F.col("suppkey") % 10 == 0))
 
 
@@ -75,12 +74,12 @@ def sales_amount(price: Column, discount: Column) -> Column:
     return ((cents * (F.lit(100) - pct)).cast("decimal(18,4)") / F.lit(10000)).cast("decimal(18,4)")
 
 
-def fx_fact_sellout(spark: SparkSession, d: str) -> DataFrame:
+def fx_fact_sellout(spark: SparkSession, d: str, pos: DataFrame) -> DataFrame:
     l = read_table(spark, d, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_returnflag", "l_shipdate",
     )
-    pos = fx_pos(spark, d).select("suppkey", "nationkey", "market_code", "point_of_sale_code")
+    pos = pos.select("suppkey", "nationkey", "market_code", "point_of_sale_code")
     j = l.join(pos, l.l_suppkey == pos.suppkey)
     amount = sales_amount(F.col("l_extendedprice"), F.col("l_discount"))
     return j.select(
@@ -102,15 +101,13 @@ def fx_fact_sellout(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def fx_fact_nonzero(spark: SparkSession, d: str) -> DataFrame:
+def fx_fact_nonzero(f: DataFrame) -> DataFrame:
     """The sell-out fact without the low-quantity lines of the two e-commerce projects."""
-    f = fx_fact_sellout(spark, d)
     return f.filter(~((F.col("quantity") <= 5) & ((F.col("suppkey") % 3).isin(0, 1))))
 
 
-def fx_mixed_freq(spark: SparkSession, d: str) -> DataFrame:
+def fx_mixed_freq(f: DataFrame) -> DataFrame:
     """Like the pipeline fact, but a store's lines spread over several data sources."""
-    f = fx_fact_nonzero(spark, d)
     return f.withColumn(
         "data_source", F.concat(F.lit("DS"), _s((F.col("suppkey") + F.col("linenumber")) % 5))
     )
@@ -221,8 +218,8 @@ def fx_calendar(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def fx_store_start(spark: SparkSession, d: str) -> DataFrame:
-    pos = fx_pos(spark, d).filter(F.col("suppkey") % 4 == 0)
+def fx_store_start(pos: DataFrame) -> DataFrame:
+    pos = pos.filter(F.col("suppkey") % 4 == 0)
     return pos.select(
         F.col("market_code").alias("market"),
         F.concat(F.lit("N"), _s(F.col("nationkey"))).alias("platform"),
@@ -234,8 +231,8 @@ def fx_store_start(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def fx_sku_traffic(spark: SparkSession, d: str) -> DataFrame:
-    f = fx_fact_sellout(spark, d).filter(F.col("source_project") == "ECOMM_SKU_TRAFFIC")
+def fx_sku_traffic(fact: DataFrame) -> DataFrame:
+    f = fact.filter(F.col("source_project") == "ECOMM_SKU_TRAFFIC")
     pk = F.col("partkey")
     signature = (
         F.when(pk % 50 == 0, F.lit("PH"))
@@ -259,8 +256,8 @@ def fx_sku_traffic(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def fx_amz(spark: SparkSession, d: str) -> DataFrame:
-    f = fx_fact_sellout(spark, d).filter(F.col("source_project") == "ECOM_AMZ")
+def fx_amz(fact: DataFrame) -> DataFrame:
+    f = fact.filter(F.col("source_project") == "ECOM_AMZ")
     low = F.col("quantity") <= 5
     qty = F.col("quantity").cast("bigint")
     revenue = F.abs("consolidated_sales_eur")
@@ -282,8 +279,7 @@ def fx_amz(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def fx_fact_sellthrough(spark: SparkSession, d: str) -> DataFrame:
-    f = fx_fact_sellout(spark, d)
+def fx_fact_sellthrough(f: DataFrame) -> DataFrame:
     return f.select(
         "division_code",
         "market_code",
@@ -306,11 +302,10 @@ def fx_distributor(spark: SparkSession, d: str, duplicate: bool = False) -> Data
     )
 
 
-def fx_stock(spark: SparkSession, d: str) -> DataFrame:
+def fx_stock(spark: SparkSession, d: str, f: DataFrame, pos: DataFrame) -> DataFrame:
     """Stock-in-trade rows in the nested (struct) shape of the reference."""
-    f = fx_fact_sellout(spark, d)
     p = _part(spark, d)
-    pos = fx_pos(spark, d).select("suppkey", "s_name", "channel_level1")
+    pos = pos.select("suppkey", "s_name", "channel_level1")
     j = f.join(p, f.partkey == p.p_partkey).join(pos, "suppkey")
     size = F.col("p_size")
     brand = (
@@ -351,3 +346,95 @@ def fx_ref_brand(spark: SparkSession, d: str) -> DataFrame:
     """Reference product table: every brand except two, so some stock rows are orphans."""
     p = _part(spark, d)
     return p.filter(~F.col("p_brand").isin("Brand#1", "Brand#2")).select(F.col("p_brand").alias("brand_code"))
+
+
+class FixtureSet:
+    """The fixtures of one driver directory, each built once per session.
+
+    With ``materialize`` (the default) the fixtures that are expensive to
+    derive are written once as parquet under the session's checkpoint folder
+    and read back, so every query scans a plain table (with column pruning
+    and filter pushdown) instead of re-deriving it from the TPC-H tables.
+    """
+
+    _sets: dict[tuple[str, str, bool], "FixtureSet"] = {}
+
+    def __init__(self, spark: SparkSession, d: str, materialize: bool = True):
+        self.spark, self.d, self.materialize = spark, d.rstrip("/"), materialize
+        self._frames: dict[str, DataFrame] = {}
+
+    @classmethod
+    def of(cls, spark: SparkSession, d: str, materialize: bool = True) -> "FixtureSet":
+        key = (spark.sparkContext.applicationId, d.rstrip("/"), materialize)
+        if key not in cls._sets:
+            cls._sets[key] = cls(spark, d, materialize)
+        return cls._sets[key]
+
+    def _root(self) -> str:
+        from ledgerlint.session import ensure_checkpoint_dir
+
+        tag = "".join(ch if ch.isalnum() else "_" for ch in self.d)
+        return f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/fixtures/{self.spark.sparkContext.applicationId}/{tag}"
+
+    def _get(self, name: str, build, store: bool = True) -> DataFrame:
+        if name not in self._frames:
+            df = build()
+            if self.materialize and store:
+                path = f"{self._root()}/{name}"
+                df.write.mode("overwrite").parquet(path)
+                df = self.spark.read.parquet(path)
+            self._frames[name] = df
+        return self._frames[name]
+
+    def pos(self) -> DataFrame:
+        return self._get("pos", lambda: fx_pos(self.spark, self.d))
+
+    def pos_dup(self) -> DataFrame:
+        return fx_pos_dup(self.pos())
+
+    def fact_sellout(self) -> DataFrame:
+        return self._get("fact_sellout", lambda: fx_fact_sellout(self.spark, self.d, self.pos()))
+
+    def fact_nonzero(self) -> DataFrame:
+        return fx_fact_nonzero(self.fact_sellout())
+
+    def mixed_freq(self) -> DataFrame:
+        return fx_mixed_freq(self.fact_nonzero())
+
+    def fact_sellthrough(self) -> DataFrame:
+        return self._get("fact_sellthrough", lambda: fx_fact_sellthrough(self.fact_sellout()))
+
+    def datasource(self, duplicate_ds1: bool = False) -> DataFrame:
+        ds = self._get("datasource", lambda: fx_datasource(self.spark, self.d))
+        return ds.unionByName(ds.filter(F.col("data_source_code") == "DS1")) if duplicate_ds1 else ds
+
+    def product(self) -> DataFrame:
+        return self._get("product", lambda: fx_product(self.spark, self.d))
+
+    def product_sap(self) -> DataFrame:
+        return self._get("product_sap", lambda: fx_product_sap(self.spark, self.d))
+
+    def signature(self) -> DataFrame:
+        return self._get("signature", lambda: fx_signature(self.spark, self.d))
+
+    def calendar(self) -> DataFrame:
+        return self._get("calendar", lambda: fx_calendar(self.spark, self.d))
+
+    def store_start(self) -> DataFrame:
+        return self._get("store_start", lambda: fx_store_start(self.pos()))
+
+    def sku_traffic(self) -> DataFrame:
+        return self._get("sku_traffic", lambda: fx_sku_traffic(self.fact_sellout()))
+
+    def amz(self) -> DataFrame:
+        return self._get("amz", lambda: fx_amz(self.fact_sellout()))
+
+    def distributor(self, duplicate: bool = False) -> DataFrame:
+        name = "distributor_dup" if duplicate else "distributor"
+        return self._get(name, lambda: fx_distributor(self.spark, self.d, duplicate))
+
+    def stock(self) -> DataFrame:
+        return self._get("stock", lambda: fx_stock(self.spark, self.d, self.fact_sellout(), self.pos()))
+
+    def ref_brand(self) -> DataFrame:
+        return self._get("ref_brand", lambda: fx_ref_brand(self.spark, self.d))
