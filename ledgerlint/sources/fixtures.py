@@ -200,14 +200,8 @@ def fx_signature(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def fx_calendar(spark: SparkSession, d: str) -> DataFrame:
-    """One row a day from the Monday before the year preceding the last shipment to that year's end."""
-    last = read_table(spark, d, "lineitem").agg(F.max(F.to_date("l_shipdate")).alias("last"))
-    y = F.year("last")
-    bounds = last.select(
-        F.trunc(F.make_date(y - 1, F.lit(1), F.lit(1)), "week").alias("lo"),
-        F.make_date(y, F.lit(12), F.lit(31)).alias("hi"),
-    )
+def calendar_days(bounds: DataFrame) -> DataFrame:
+    """Calendar rows (date, year, month, Monday week start, ISO week) for each day of ``lo``..``hi``."""
     days = bounds.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("date_time"))
     return days.select(
         "date_time",
@@ -218,6 +212,22 @@ def fx_calendar(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def calendar_between(spark: SparkSession, lo: str, hi: str) -> DataFrame:
+    """Calendar dimension for the dates ``lo``..``hi`` (inclusive)."""
+    return calendar_days(spark.range(1).select(F.lit(lo).cast("date").alias("lo"), F.lit(hi).cast("date").alias("hi")))
+
+
+def fx_calendar(spark: SparkSession, d: str) -> DataFrame:
+    """One row a day from the Monday before the year preceding the last shipment to that year's end."""
+    last = read_table(spark, d, "lineitem").agg(F.max(F.to_date("l_shipdate")).alias("last"))
+    y = F.year("last")
+    bounds = last.select(
+        F.trunc(F.make_date(y - 1, F.lit(1), F.lit(1)), "week").alias("lo"),
+        F.make_date(y, F.lit(12), F.lit(31)).alias("hi"),
+    )
+    return calendar_days(bounds)
+
+
 def fx_store_start(pos: DataFrame) -> DataFrame:
     pos = pos.filter(F.col("suppkey") % 4 == 0)
     return pos.select(
