@@ -18,9 +18,16 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from ledgerlint.plans import dq_queries, mf_queries  # noqa: E402
+from ledgerlint.plans import missing_files as mf  # noqa: E402
 from ledgerlint.session import local_session  # noqa: E402
 from ledgerlint.sources.fixtures import FixtureSet  # noqa: E402
 
+def m6_plain(spark, d):
+    """M6 as a day x store range join, for comparison with the month-collapsed form."""
+    steps = mf_queries.run(spark, d)
+    return mf.expected_daily_plain(steps.starts, steps.calendar, mf_queries.SP)
+
+
 HEADLINE = {
     "r8_fact_uniqueness": dq_queries.q_uniq_1091,
     "r6_pos_uniqueness": dq_queries.q_uniq_1083,
@@ -31,6 +38,7 @@ HEADLINE = {
     "r2_stock_integrity": dq_queries.q_ref_stock,
     "r1_attribute_condition": dq_queries.q_attr_dim,
     "m6_expected_daily": mf_queries.q_expected_daily,
+    "m6_expected_daily_plain_range_join": m6_plain,
     "missing_files_sp": mf_queries.q_final_sp,
     "missing_files_mfs": mf_queries.q_final_mfs,
     "m22_upsert_two_runs": mf_queries.q_merge,

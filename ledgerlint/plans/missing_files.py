@@ -122,6 +122,17 @@ RESULT = ["market_code", "division_code", "point_of_sale_code", "client_name", "
           "channel_level1", "channel_level2", "data_source_frequency", "missing_file_count", "missing_file"]
 
 
+def by_store_month(df: DataFrame) -> DataFrame:
+    """Hash-partition on the six diff-join keys (store and month).
+
+    Every later grouping of the expected and available sides contains these
+    keys, so the group-by, the LEFT join of M14-M17 and its DISTINCT reuse
+    this one partitioning instead of shuffling again.  A store-month holds at
+    most 31 days, so the partitioning cannot concentrate a hot store.
+    """
+    return df.repartition(*DIFF_JOIN_KEYS)
+
+
 def _date(d: dt.date | str) -> Column:
     return F.lit(str(d)).cast("date")
 
@@ -220,19 +231,33 @@ def month_calendar(m3: DataFrame) -> DataFrame:
 def expected_daily(m5: DataFrame, months: DataFrame, cfg: MissingFileConfig) -> DataFrame:
     """M6: per store and calendar month, the ordered bag of days on or after the start."""
     stores = m5.filter(F.col("data_source_frequency") == cfg.daily)
-    j = cal.months_from_start(stores, months, "effective_store_start_date")
+    j = by_store_month(cal.months_from_start(stores, months, "effective_store_start_date"))
     return j.groupBy(*EXPECTED_KEYS).agg(
         F.sort_array(F.flatten(F.collect_list("_values"))).alias("expected_array")
     )
 
 
+def expected_daily_plain(m5: DataFrame, m3: DataFrame, cfg: MissingFileConfig) -> DataFrame:
+    """M6 in the reference's shape: every calendar day joined to every daily store on ``cal_date >= start``.
+
+    Not used by the pipeline (``expected_daily`` gives the same rows from about
+    30x fewer joined rows); kept to check and measure the collapsed form.
+    """
+    stores = m5.filter(F.col("data_source_frequency") == cfg.daily)
+    days = F.broadcast(m3.select("cal_date", "year", "month"))
+    j = stores.join(days, F.col("cal_date") >= F.col("effective_store_start_date"))
+    return j.groupBy(*EXPECTED_KEYS).agg(
+        F.sort_array(F.collect_list(bigint(F.dayofmonth("cal_date")))).alias("expected_array")
+    )
+
+
 def expected_weekly(m5: DataFrame, m3: DataFrame, cfg: MissingFileConfig, as_of: dt.date) -> DataFrame:
     """M7: distinct ordered week numbers, grouped by the year and month of the week start."""
     lo, hi = weekly_window(cfg, as_of)
     stores = m5.filter(F.col("data_source_frequency") == cfg.weekly)
     days = m3.filter(F.col("cal_date").between(lo, hi))
     weeks = cal.collapse(days, bigint(F.year("week_start_date")), bigint(F.month("week_start_date")), F.col("week_num"))
-    j = cal.months_from_start(stores, weeks, "effective_store_start_date")
+    j = by_store_month(cal.months_from_start(stores, weeks, "effective_store_start_date"))
     return j.groupBy(*EXPECTED_KEYS).agg(
         F.sort_array(F.array_distinct(F.flatten(F.collect_list("_values")))).alias("expected_array")
     )
@@ -242,7 +267,7 @@ def expected_monthly(m5: DataFrame, months: DataFrame, cfg: MissingFileConfig) -
     """M8: store x calendar months on or after the start (MFS adds the list [1])."""
     stores = m5.filter(F.col("data_source_frequency") == cfg.monthly)
     j = cal.months_from_start(stores, months, "effective_store_start_date")
-    out = j.select(*EXPECTED_KEYS).distinct()
+    out = by_store_month(j.select(*EXPECTED_KEYS)).distinct()
     if not cfg.monthly_by_count:
         out = out.withColumn("expected_array", F.array(F.lit(1).cast("bigint")))
     return out
@@ -339,10 +364,10 @@ def available_daily(m1: DataFrame, cfg: MissingFileConfig, zero_days: list[DataF
     for z in zero_days:
         days = days.unionByName(z.select(*DELIVERY))
     d = F.col("sellout_date")
-    return days.groupBy(
-        "market_code", "division_code", "point_of_sale_code", bigint(F.year(d)).alias("year"),
-        bigint(F.month(d)).alias("month"), "client_name", "source_project", "channel_level1", "channel_level2",
-    ).agg(F.sort_array(F.collect_set(bigint(F.dayofmonth(d)))).alias("available_array"))
+    days = days.withColumn("year", bigint(F.year(d))).withColumn("month", bigint(F.month(d)))
+    return by_store_month(days).groupBy(*AVAILABLE_KEYS).agg(
+        F.sort_array(F.collect_set(bigint(F.dayofmonth(d)))).alias("available_array")
+    )
 
 
 def available_weekly(m1: DataFrame, m3: DataFrame, cfg: MissingFileConfig, as_of: dt.date) -> DataFrame:
@@ -352,21 +377,18 @@ def available_weekly(m1: DataFrame, m3: DataFrame, cfg: MissingFileConfig, as_of
     c = m3.select("cal_date", "week_start_date", "week_num")
     j = f.join(F.broadcast(c), f.sellout_date == c.cal_date)
     agg = F.collect_list("week_num") if cfg.weekly_available_bag else F.collect_set("week_num")
-    out = j.groupBy(
-        "market_code", "division_code", "point_of_sale_code", bigint(F.year("week_start_date")).alias("year"),
-        bigint(F.month("week_start_date")).alias("month"), "client_name", "source_project", "channel_level1",
-        "channel_level2",
-    ).agg(F.sort_array(agg).alias("available_array"))
+    j = j.withColumn("year", bigint(F.year("week_start_date"))).withColumn("month", bigint(F.month("week_start_date")))
+    out = by_store_month(j).groupBy(*AVAILABLE_KEYS).agg(F.sort_array(agg).alias("available_array"))
     return out.distinct() if cfg.weekly_available_bag else out
 
 
 def available_monthly(m1: DataFrame, cfg: MissingFileConfig) -> DataFrame:
     """Store-months with a monthly delivery (MFS adds the list [1])."""
     d = F.col("sellout_date")
-    out = m1.filter(F.col("data_source_frequency") == cfg.monthly).select(
+    out = by_store_month(m1.filter(F.col("data_source_frequency") == cfg.monthly).select(
         "market_code", "division_code", "point_of_sale_code", bigint(F.year(d)).alias("year"),
         bigint(F.month(d)).alias("month"), "client_name", "source_project", "channel_level1", "channel_level2",
-    ).distinct()
+    )).distinct()
     if not cfg.monthly_by_count:
         out = out.withColumn("available_array", F.array(F.lit(1).cast("bigint")))
     return out
@@ -447,6 +469,11 @@ class MissingFileSteps:
     before_start: DataFrame
     result: DataFrame
 
+    def unpersist(self) -> None:
+        """Release the cached steps (M1, M4, M5)."""
+        for df in (self.deliveries, self.active, self.starts):
+            df.unpersist()
+
 
 def missing_files(inp: MissingFileInputs, as_of: dt.date, cfg: MissingFileConfig = SP,
                   persist: bool = True) -> MissingFileSteps:

@@ -192,3 +192,15 @@ def test_unified_diff_matches_across_frequencies(spark):
     assert sorted(r["missing_file_count"] for r in sp.missing.collect()
                   if r["month"] == 3 and r["data_source_frequency"] == "Daily") == [29]
     spark.catalog.clearCache()
+
+
+def test_month_collapsed_expected_days_equal_the_plain_range_join(spark, sf_small):
+    from ledgerlint.plans import mf_queries
+
+    steps = mf_queries.run(spark, sf_small)
+    plain = mf.expected_daily_plain(steps.starts, steps.calendar, mf_queries.SP)
+    key = lambda r: tuple(str(r[c]) for c in mf.EXPECTED_KEYS) + (tuple(r["expected_array"]),)
+    a = sorted(map(key, steps.expected_daily.collect()))
+    b = sorted(map(key, plain.collect()))
+    assert a == b and len(a) > 0
+    steps.unpersist()
