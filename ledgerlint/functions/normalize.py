@@ -5,7 +5,7 @@ Pure column expressions over built-in functions.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlint.functions.scalar import ColumnOrName, col, ltrim_chars, sql_trim
@@ -48,6 +48,26 @@ def normalize_ean(ean: ColumnOrName) -> Column:
     return sql_trim(ltrim_chars(first, "0"))
 
 
+def join_ean_mapping(amz: DataFrame, mapping: DataFrame) -> DataFrame:
+    """A2: LEFT join of marketplace rows to the prioritised EAN-to-SKU mapping.
+
+    Five conditions: normalised EAN equal to the mapping EAN without leading
+    zeros, same source market, prioritised market equal to market, mapping
+    EAN not all zeros and not blank.  The mapping's columns come back with a
+    ``map_`` prefix.  The missing-file pipeline selects none of them and drops
+    the fan-out with DISTINCT, so it does not use this join.
+    """
+    m = mapping.select(*[F.col(c).alias(f"map_{c}") for c in mapping.columns])
+    cond = (
+        (normalize_ean(amz["ean_code"]) == sql_trim(ltrim_chars(m["map_ean_code"], "0")))
+        & (amz["market_code"] == m["map_src_market_code"])
+        & (m["map_prioritized_market_code"] == m["map_market_code"])
+        & (m["map_ean_code"] != "0000000000000")
+        & (sql_trim(m["map_ean_code"]) != "")
+    )
+    return amz.join(m, cond, "left")
+
+
 def normalize_product_code(code: ColumnOrName) -> Column:
     """A3: longer than 13 -> last 8; NULL/NA/-1/'' -> '-1'; shorter than 8 -> left-pad '0'; else trim."""
     c = col(code)

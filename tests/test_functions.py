@@ -117,3 +117,17 @@ def test_pos_codes_and_division_remap(spark):
         ("-1", "-1", None),
         ("AU__S", "-1", "LDB"),
     ]
+
+
+def test_ean_mapping_join_fans_out_but_keeps_every_row(spark):
+    from ledgerlint.functions.normalize import join_ean_mapping
+
+    amz = spark.createDataFrame([("AU", "0001234"), ("AU", "(blank)"), ("SG", "99")], "market_code string, ean_code string")
+    mapping = spark.createDataFrame(
+        [("001234", "AU", "AU", "AU"), ("1234", "AU", "AU", "AU"), ("1234", "AU", "NZ", "AU"),
+         ("0000000000000", "AU", "AU", "AU")],
+        "ean_code string, src_market_code string, prioritized_market_code string, market_code string")
+    j = join_ean_mapping(amz, mapping)
+    got = sorted((r["ean_code"], r["map_ean_code"]) for r in j.collect())
+    assert got == sorted([("0001234", "001234"), ("0001234", "1234"), ("(blank)", None), ("99", None)])
+    assert j.select("market_code", "ean_code").distinct().count() == amz.count()
