@@ -1,0 +1,7 @@
+"""No streaming operators.
+
+The checks this library reproduces have no watermark, window, state or
+late-data construct: the rules are batch aggregations and the status upsert is
+a periodic batch job (``sources.sinks.StatusTable.upsert``).  The package is
+kept so that a streaming source can be added without changing the layout.
+"""
