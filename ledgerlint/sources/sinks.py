@@ -9,6 +9,7 @@ newest version listed in the manifest, so a failed write is never visible.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,9 +22,20 @@ def append_results(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def stage(df: DataFrame) -> DataFrame:
-    """Materialise a result in the session's (shared) checkpoint folder and cut its lineage."""
-    return df.checkpoint(eager=True)
+def stage(df: DataFrame, name: str = "staged") -> DataFrame:
+    """Write a result once as parquet under the session's checkpoint folder and read it back.
+
+    This cuts the lineage like ``checkpoint()`` but computes the plan only
+    once (a reliable RDD checkpoint of an uncached plan computes it twice) and
+    keeps file statistics for the planner.  On a cluster the checkpoint folder
+    is the shared one named by ``spark.checkpoint.dir``.
+    """
+    from ledgerlint.session import ensure_checkpoint_dir
+
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/staged/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 class StatusTable:
@@ -59,7 +71,7 @@ class StatusTable:
         """Stage ``source``, merge it into the current snapshot, write the next one; return its version."""
         current = self.current_version()
         target = self.read(current) if current else None
-        staged = stage(source)
+        staged = stage(source, "status-source")
         merged = merge_status(target, staged, run_ts)
         nxt = current + 1
         merged.write.mode("errorifexists").parquet(f"{self.root}/v{nxt:06d}")
