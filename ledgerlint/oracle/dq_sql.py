@@ -88,49 +88,53 @@ def dimension_uniqueness(dq_id: str, *, fact_col: str, dim: str, dim_key: str, p
     return with_fixtures(_final(dq_id, [(k, k) for k in SELLOUT_KEYS], True), *fixtures, extra=extra)
 
 
-def attribute_condition(dq_id: str, *, value_expr: str, dim_join: str, cond: str, fixtures: list[str]) -> str:
+def attribute_condition(dq_id: str, *, value_expr: str, dim_join: str, cond: str, fixtures: list[str],
+                        pos: str = "dim_pos") -> str:
     """``value_expr`` over ``f`` (fact) or ``d`` (dimension joined by ``dim_join``)."""
     src = f"""
         SELECT f.division_code, f.market_code, CAST(year(f.sellout_date) AS VARCHAR) AS sellout_year,
                f.point_of_sale_code, {value_expr} AS source_column,
                COALESCE(abs(f.consolidated_sales_eur), 0) AS val_column
         FROM fx_fact_sellout f {dim_join}"""
-    hier = """
+    hier = f"""
         SELECT s.*, h.channel_level1, h.channel_level2, h.client_name
-        FROM src s LEFT JOIN dim_pos h ON s.point_of_sale_code = h.point_of_sale_code"""
+        FROM src s LEFT JOIN {pos} h ON s.point_of_sale_code = h.point_of_sale_code"""
     extra = [("src", src), ("hier", hier), ("g", _group(SELLOUT_KEYS, cond, "val_column", "hier"))]
     return with_fixtures(_final(dq_id, [(k, k) for k in SELLOUT_KEYS], True), *fixtures, extra=extra)
 
 
-def reference_integrity_stock(dq_id: str, year: int) -> str:
-    """R2 on PRODUCT.brand_code against the reference brand list."""
+def reference_integrity_stock(dq_id: str, year: int, value: str = "brand_code", ref: str = "fx_ref_brand",
+                              ref_col: str = "brand_code") -> str:
+    """R2: a stock value (as text) against the distinct reference column."""
     src = f"""
         SELECT division_amaas AS division_code, orga_country_alpha2 AS market_code,
                CAST(year(tech_period_end_date) AS VARCHAR) AS sit_year, distributor_name AS client_name,
                data_file_provider AS data_source, 'Distributor' AS source_type,
-               brand_code AS source_column, abs(total_stock_units) AS total_units
+               CAST({value} AS VARCHAR) AS source_column, abs(total_stock_units) AS total_units
         FROM fx_stock_flat WHERE year(tech_period_end_date) = {year}"""
-    joined = """
+    joined = f"""
         SELECT s.*, r.parent_column FROM src s
-        LEFT JOIN (SELECT DISTINCT brand_code AS parent_column FROM fx_ref_brand) r ON s.source_column = r.parent_column"""
+        LEFT JOIN (SELECT DISTINCT CAST({ref_col} AS VARCHAR) AS parent_column FROM {ref}) r
+          ON s.source_column = r.parent_column"""
     keys = ["division_code", "market_code", "sit_year", "data_source", "source_type", "client_name"]
     cond = ("parent_column IS NULL OR source_column IS NULL OR source_column = '' OR source_column = '-1'"
             " OR source_column = 'unspecified'")
     extra = [("src", src), ("j", joined), ("g", _group(keys, cond, "total_units", "j"))]
-    return with_fixtures(_final(dq_id, [(k, k) for k in keys], False), "fx_stock_flat", "fx_ref_brand", extra=extra)
+    return with_fixtures(_final(dq_id, [(k, k) for k in keys], False), "fx_stock_flat", ref, extra=extra)
 
 
-def reference_integrity_key(dq_id: str) -> str:
-    """R3 on the product key."""
-    src = """
+def reference_integrity_key(dq_id: str, fact_col: str = "product_code", dim: str = "fx_product",
+                            dim_col: str = "product_code") -> str:
+    """A fact key against the distinct keys of its dimension."""
+    src = f"""
         SELECT f.division_code, f.market_code, CAST(year(f.sellout_date) AS VARCHAR) AS sellout_year,
-               COALESCE(abs(f.consolidated_sales_eur), 0) AS soval, f.product_code AS source_column, d.parent_column
+               COALESCE(abs(f.consolidated_sales_eur), 0) AS soval, f.{fact_col} AS source_column, d.parent_column
         FROM fx_fact_sellout f
-        LEFT JOIN (SELECT DISTINCT product_code AS parent_column FROM fx_product) d ON f.product_code = d.parent_column"""
+        LEFT JOIN (SELECT DISTINCT {dim_col} AS parent_column FROM {dim}) d ON f.{fact_col} = d.parent_column"""
     keys = ["division_code", "market_code", "sellout_year"]
     cond = "parent_column IS NULL OR source_column IS NULL OR source_column = ''"
     extra = [("src", src), ("g", _group(keys, cond, "soval", "src"))]
-    return with_fixtures(_final(dq_id, [(k, k) for k in keys], False), "fx_fact_sellout", "fx_product", extra=extra)
+    return with_fixtures(_final(dq_id, [(k, k) for k in keys], False), "fx_fact_sellout", dim, extra=extra)
 
 
 def queries() -> dict[str, str]:
@@ -177,4 +181,15 @@ def queries() -> dict[str, str]:
         "dq_ref_stock": reference_integrity_stock("DQ_REF_BRAND", 2000),
         "dq_empty_cross": reference_integrity_stock("DQ_REF_BRAND", 2100),
         "dq_ref_key_product": reference_integrity_key("DQ_REF_PRODUCT"),
+        "dq_uniq_generic_datasource": dimension_uniqueness("DQ_UNQ_DS", fact_col="data_source",
+                                                           dim="fx_datasource_dup", dim_key="data_source_code",
+                                                           pos="dim_pos", fixtures=so + ["fx_datasource_dup"]),
+        "dq_attr_pos": attribute_condition(
+            "DQ_ATTR_CHANNEL", value_expr="d.channel_level2",
+            dim_join="LEFT JOIN dim_pos_dup d ON f.point_of_sale_code = d.point_of_sale_code",
+            cond="source_column = 'L0'", fixtures=so + ["dim_pos_dup"], pos="dim_pos_dup"),
+        "dq_ref_stock_rate": reference_integrity_stock("DQ_REF_RATE", 2000, value="conversion_rate",
+                                                       ref="fx_ref_rate", ref_col="exchange_rate"),
+        "dq_ref_key_datasource": reference_integrity_key("DQ_REF_DS", fact_col="data_source", dim="fx_datasource",
+                                                         dim_col="data_source_code"),
     }

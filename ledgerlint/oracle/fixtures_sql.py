@@ -145,9 +145,11 @@ FIXTURES: dict[str, tuple[list[str], str]] = {
                     WHEN f.linenumber = 1 THEN -CAST(f.quantity AS BIGINT)
                     ELSE CAST(f.quantity AS BIGINT) END AS total_stock_units,
                CASE pt.p_size WHEN 1 THEN '' WHEN 2 THEN '-1' WHEN 3 THEN 'unspecified' WHEN 4 THEN NULL
-                    ELSE pt.p_brand END AS brand_code
+                    ELSE pt.p_brand END AS brand_code,
+               1.0 + (f.suppkey % 4) * 0.25 AS conversion_rate
         FROM fx_fact_sellout f JOIN part pt ON f.partkey = pt.p_partkey JOIN fx_pos p ON f.suppkey = p.suppkey"""),
     "fx_ref_brand": ([], "SELECT p_brand AS brand_code FROM part WHERE p_brand NOT IN ('Brand#1', 'Brand#2')"),
+    "fx_ref_rate": ([], "SELECT 1.0 + (s_suppkey % 4) * 0.25 AS exchange_rate FROM supplier WHERE s_suppkey % 4 <> 3"),
 }
 
 

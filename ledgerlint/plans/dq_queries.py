@@ -37,13 +37,13 @@ def _pos(f: FixtureSet, dup: bool = False) -> DataFrame:
     return dim_pos(f.pos_dup() if dup else f.pos())
 
 
-def _tables(spark: SparkSession, d: str, pos_dup: bool = False) -> dict[str, DataFrame]:
+def _tables(spark: SparkSession, d: str, pos_dup: bool = False, ds_dup: bool = False) -> dict[str, DataFrame]:
     f = _fx(spark, d)
     return {
         reg.FACT_SELLOUT: f.fact_sellout(),
         reg.DIM_PRODUCT: f.product(),
         reg.DIM_POS: _pos(f, pos_dup),
-        reg.DIM_DATASOURCE: f.datasource(),
+        reg.DIM_DATASOURCE: f.datasource(duplicate_ds1=ds_dup),
     }
 
 
@@ -116,6 +116,19 @@ def q_attr_fact(spark, d):
     return flatten_result(r, R.SELLOUT_KEYS)
 
 
+def q_uniq_generic_datasource(spark, d):
+    """R4 on the data-source key: the fact's ``data_source`` against the dimension's ``data_source_code``."""
+    r = R.dimension_key_uniqueness(spark, _p("DQ_UNQ_DS"), _tables(spark, d, ds_dup=True), "data_source_code")
+    return flatten_result(r, R.SELLOUT_KEYS)
+
+
+def q_attr_pos(spark, d):
+    """R1 on a POS attribute: POS joined for the value and again for the hierarchy (duplicates fan out twice)."""
+    r = R.attribute_condition(spark, _p("DQ_ATTR_CHANNEL"), _tables(spark, d, pos_dup=True), reg.DIM_POS,
+                              "channel_level2", "source_column = 'L0'")
+    return flatten_result(r, R.SELLOUT_KEYS)
+
+
 def q_attr_dim(spark, d):
     r = R.attribute_condition(spark, _p("DQ_ATTR_BRAND"), _tables(spark, d), reg.DIM_PRODUCT, "brand_name",
                               "source_column IS NULL OR source_column IN ('Brand#1', 'Brand#2')")
@@ -137,6 +150,18 @@ def q_empty_cross(spark, d):
     return _stock(spark, d, 2100)
 
 
+def q_ref_stock_rate(spark, d):
+    """R2 on a numeric struct value (conversion rate), compared as text."""
+    r = R.reference_integrity_stock(spark, _p("DQ_REF_RATE"), _fx(spark, d).stock(), _fx(spark, d).ref_rate(),
+                                    "CURRENCY.conversion_rate", STOCK_YEAR)
+    return flatten_result(r, R.STOCK_KEYS)
+
+
+def q_ref_key_datasource(spark, d):
+    r = R.reference_integrity_key(spark, _p("DQ_REF_DS"), _tables(spark, d), "DATA_SOURCE.data_source_code")
+    return flatten_result(r, R.INTEGRITY_KEYS)
+
+
 def q_ref_key_product(spark, d):
     r = R.reference_integrity_key(spark, _p("DQ_REF_PRODUCT"), _tables(spark, d), "PRODUCT.product_code")
     return flatten_result(r, R.INTEGRITY_KEYS)
@@ -160,4 +185,8 @@ def queries() -> dict[str, Query]:
         "dq_attr_dim": q_attr_dim,
         "dq_ref_stock": q_ref_stock,
         "dq_ref_key_product": q_ref_key_product,
+        "dq_uniq_generic_datasource": q_uniq_generic_datasource,
+        "dq_attr_pos": q_attr_pos,
+        "dq_ref_stock_rate": q_ref_stock_rate,
+        "dq_ref_key_datasource": q_ref_key_datasource,
     }

@@ -352,6 +352,14 @@ def fx_stock(spark: SparkSession, d: str, f: DataFrame, pos: DataFrame) -> DataF
     )
 
 
+def fx_ref_rate(spark: SparkSession, d: str) -> DataFrame:
+    """Reference exchange rates: the rates of supplier keys 0-2 modulo 4 (rate 1.75 is an orphan)."""
+    s = read_table(spark, d, "supplier").select("s_suppkey")
+    return s.filter(F.col("s_suppkey") % 4 != 3).select(
+        (F.lit(1.0) + (F.col("s_suppkey") % 4) * F.lit(0.25)).alias("exchange_rate")
+    )
+
+
 def fx_ref_brand(spark: SparkSession, d: str) -> DataFrame:
     """Reference product table: every brand except two, so some stock rows are orphans."""
     p = _part(spark, d)
@@ -448,3 +456,6 @@ class FixtureSet:
 
     def ref_brand(self) -> DataFrame:
         return self._get("ref_brand", lambda: fx_ref_brand(self.spark, self.d))
+
+    def ref_rate(self) -> DataFrame:
+        return self._get("ref_rate", lambda: fx_ref_rate(self.spark, self.d))
