@@ -394,11 +394,19 @@ class FixtureSet:
         tag = "".join(ch if ch.isalnum() else "_" for ch in self.d)
         return f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/fixtures/{self.spark.sparkContext.applicationId}/{tag}"
 
-    def _get(self, name: str, build, store: bool = True) -> DataFrame:
+    def _get(self, name: str, build, store: bool = True, large: bool = False) -> DataFrame:
+        """Build (and materialise) a fixture once.
+
+        ``large`` fixtures (facts) are spread round-robin over as many files
+        as the session has cores, so their scans run in parallel; the driver
+        files they come from hold a single row group, which Spark cannot split.
+        """
         if name not in self._frames:
             df = build()
             if self.materialize and store:
                 path = f"{self._root()}/{name}"
+                if large:
+                    df = df.repartition(self.spark.sparkContext.defaultParallelism)
                 df.write.mode("overwrite").parquet(path)
                 df = self.spark.read.parquet(path)
             self._frames[name] = df
@@ -411,7 +419,7 @@ class FixtureSet:
         return fx_pos_dup(self.pos())
 
     def fact_sellout(self) -> DataFrame:
-        return self._get("fact_sellout", lambda: fx_fact_sellout(self.spark, self.d, self.pos()))
+        return self._get("fact_sellout", lambda: fx_fact_sellout(self.spark, self.d, self.pos()), large=True)
 
     def fact_nonzero(self) -> DataFrame:
         return fx_fact_nonzero(self.fact_sellout())
@@ -420,7 +428,7 @@ class FixtureSet:
         return fx_mixed_freq(self.fact_nonzero())
 
     def fact_sellthrough(self) -> DataFrame:
-        return self._get("fact_sellthrough", lambda: fx_fact_sellthrough(self.fact_sellout()))
+        return self._get("fact_sellthrough", lambda: fx_fact_sellthrough(self.fact_sellout()), large=True)
 
     def datasource(self, duplicate_ds1: bool = False) -> DataFrame:
         ds = self._get("datasource", lambda: fx_datasource(self.spark, self.d))
@@ -442,17 +450,17 @@ class FixtureSet:
         return self._get("store_start", lambda: fx_store_start(self.pos()))
 
     def sku_traffic(self) -> DataFrame:
-        return self._get("sku_traffic", lambda: fx_sku_traffic(self.fact_sellout()))
+        return self._get("sku_traffic", lambda: fx_sku_traffic(self.fact_sellout()), large=True)
 
     def amz(self) -> DataFrame:
-        return self._get("amz", lambda: fx_amz(self.fact_sellout()))
+        return self._get("amz", lambda: fx_amz(self.fact_sellout()), large=True)
 
     def distributor(self, duplicate: bool = False) -> DataFrame:
         name = "distributor_dup" if duplicate else "distributor"
         return self._get(name, lambda: fx_distributor(self.spark, self.d, duplicate))
 
     def stock(self) -> DataFrame:
-        return self._get("stock", lambda: fx_stock(self.spark, self.d, self.fact_sellout(), self.pos()))
+        return self._get("stock", lambda: fx_stock(self.spark, self.d, self.fact_sellout(), self.pos()), large=True)
 
     def ref_brand(self) -> DataFrame:
         return self._get("ref_brand", lambda: fx_ref_brand(self.spark, self.d))
