@@ -107,8 +107,6 @@ class MissingFileInputs:
     signature: DataFrame | None = None  # dim_group_signature (SP only)
 
 
-STORE = ["market_code", "division_code", "point_of_sale_code", "client_name", "source_project",
-         "channel_level1", "channel_level2"]
 DELIVERY = ["market_code", "division_code", "source_project", "point_of_sale_code", "sellout_date",
             "client_name", "channel_level1", "channel_level2"]
 MARKET_DTL = ["market_code", "division_code", "point_of_sale_code", "client_name", "source_project",

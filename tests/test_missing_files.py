@@ -204,3 +204,34 @@ def test_month_collapsed_expected_days_equal_the_plain_range_join(spark, sf_smal
     b = sorted(map(key, plain.collect()))
     assert a == b and len(a) > 0
     steps.unpersist()
+
+
+def test_properties_and_variant_differences_on_driver_data(spark, sf_small):
+    from pyspark.sql import functions as F
+
+    from ledgerlint.operators.bagdiff import missing_count
+    from ledgerlint.plans import mf_queries
+
+    sp = mf_queries.run(spark, sf_small, mf_queries.SP)
+    mfs = mf_queries.run(spark, sf_small, mf_queries.MFS)
+    # missing never exceeds the expected list, and the flag follows the count
+    for steps in (sp, mfs):
+        e, a = steps.expected_daily.alias("e"), steps.available_daily.alias("a")
+        j = e.join(a, [F.col(f"e.{k}") == F.col(f"a.{k}") for k in mf.DIFF_JOIN_KEYS], "left")
+        bad = j.filter(missing_count("e.expected_array", "a.available_array") > F.size("e.expected_array"))
+        assert bad.count() == 0
+        res = steps.result
+        assert res.filter((F.col("missing_file") == 1) != (F.col("missing_file_count") > 0)).count() == 0
+    # 9: before-start flag 2 vs 0;  2: frequency text as is vs upper-cased
+    assert {r[0] for r in sp.before_start.select("missing_file").distinct().collect()} <= {2}
+    assert {r[0] for r in mfs.before_start.select("missing_file").distinct().collect()} <= {0}
+    assert {r[0] for r in sp.result.select("data_source_frequency").distinct().collect()} <= {"Daily", "Weekly", "Monthly"}
+    assert {r[0] for r in mfs.result.select("data_source_frequency").distinct().collect()} <= {"DAILY", "WEEKLY", "MONTHLY"}
+    # 5: marketplace zero days count as delivered only in SP
+    assert mfs.zero_marketplace is None and sp.zero_marketplace.count() > 0
+    # 7: the list form of the monthly diff gives 0/1 just like the count form on unique stores
+    mcount = {tuple(r[:7]): r[7] for r in mf.missing_monthly_by_count(sp.expected_monthly, sp.available_monthly)
+              .select(*mf.RESULT[:7], "missing_file_count").collect()}
+    assert set(mcount.values()) <= {0, 1}
+    for s in (sp, mfs):
+        s.unpersist()

@@ -4,9 +4,9 @@ import datetime as dt
 import random
 from decimal import Decimal
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ledgerlint.operators.keycount import window_key_count
 from ledgerlint.operators.measure import flatten_result
 from ledgerlint.params import RunParams
 from ledgerlint.plans import registry as reg
@@ -153,8 +153,8 @@ def test_fact_uniqueness_equals_plain_window_count(spark):
     fct = fact(spark, rows)
     pos = pos_dim(spark, [("p1", "c1", "L1", "L2"), ("p2", "c2", "L1", "L2"), ("p2", "c2", "L1", "L2")])
     got = flat(R.fact_uniqueness_sellout(spark, P, fct, pos))
-    # the plain form: window count over the fact, inner join, conditional sums
-    w = fct.withColumn("cnt", F.count(F.lit(1)).over(Window.partitionBy("unique_id")))
+    # the plain form: window count over the fact (S3 as written), inner join, conditional sums
+    w = window_key_count(fct, "unique_id")
     j = w.join(pos, "point_of_sale_code").withColumn("soval", F.coalesce(F.abs("consolidated_sales_eur"), F.lit(0)))
     exp = j.groupBy("division_code", "market_code", F.year("sellout_date").cast("string").alias("sellout_year"),
                     "channel_level1", "channel_level2", "client_name").agg(
