@@ -46,6 +46,25 @@ def measure(df: DataFrame, keys: Sequence[str], invalid: Column, value: Column)
     )
 
 
+def combine_measures(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Sum partial measures (from ``measure`` at a finer grain) up to ``keys``.
+
+    Sums of partial sums equal the row-level sums, NULL included: a NULL
+    partial comes only from rows that were all NULL, and SUM skips it.  This
+    lets a rule aggregate *before* joining a hierarchy whose key is a group
+    key (eager aggregation): the join then sees one row per store instead of
+    one per fact row, whether or not the dimension is small enough to
+    broadcast.
+    """
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    return df.groupBy(*keys).agg(
+        F.sum("invalid_value").cast(types["invalid_value"]).alias("invalid_value"),
+        F.sum("total_value").cast(types["total_value"]).alias("total_value"),
+        F.sum("invalid_rows").cast("bigint").alias("invalid_rows"),
+        F.sum("total_rows").cast("bigint").alias("total_rows"),
+    )
+
+
 def finalize(spark: SparkSession, agg: DataFrame, params: RunParams, attributes: Sequence[tuple[str, str]],
              keep_empty: bool = True, safe_score: bool = False) -> DataFrame:
     """Attach run parameters, build the attribute array and the score.

@@ -6,6 +6,13 @@ measured size is under the threshold, shuffled otherwise), and aggregate to
 one row per attribute group with map-side partial aggregation.  Only the
 fact-keyed uniqueness rules (R8, R10) must shuffle the fact itself, and they
 pre-aggregate it first (see ``operators.keycount.fact_key_count``).
+
+The uniqueness rules (fixed condition ``cnt > 1``) aggregate per store before
+joining the POS or distributor hierarchy, whose key is a group key: the
+hierarchy join then reads one row per store and year, so a hierarchy too large
+to broadcast never causes a shuffle of the fact.  R1 and R4 take a caller's
+condition that may read hierarchy columns or row values, so they join the
+hierarchy at row level.
 """
 
 from __future__ import annotations
@@ -18,7 +25,7 @@ from pyspark.sql import functions as F
 from ledgerlint.functions.scalar import abs_measure, year_text
 from ledgerlint.operators.enrich import enrich_distributor, enrich_pos
 from ledgerlint.operators.keycount import CNT, fact_key_count, join_key_counts
-from ledgerlint.operators.measure import finalize, measure
+from ledgerlint.operators.measure import combine_measures, finalize, measure
 from ledgerlint.params import RunParams
 from ledgerlint.plans import registry as reg
 
@@ -89,13 +96,16 @@ def key_uniqueness(
         *([fact_key] if fact_key != entity else []),
         abs_measure(SALES).alias("soval"),
     )
+    store_grain = ["division_code", "market_code", year_name, entity]
     if dim is not None:
         keyed = join_key_counts(base, fact_key, dim, dim_key or fact_key, how=how)
     else:
-        keyed = fact_key_count(base, fact_key, ["division_code", "market_code", year_name, entity], ["soval"])
-    enriched = enrich_distributor(keyed, hierarchy) if sellthrough else enrich_pos(keyed, hierarchy, "inner")
+        keyed = fact_key_count(base, fact_key, store_grain, ["soval"])
+    # Eager aggregation: the measures per store first, then the hierarchy join on one row per store.
+    per_store = measure(keyed, store_grain, F.col(CNT) > 1, F.col("soval"))
+    enriched = enrich_distributor(per_store, hierarchy) if sellthrough else enrich_pos(per_store, hierarchy, "inner")
     group = SELLTHROUGH_GROUP if sellthrough else SELLOUT_GROUP
-    agg = measure(enriched, group, F.col(CNT) > 1, F.col("soval"))
+    agg = combine_measures(enriched, group)
     return finalize(spark, agg, params, SELLTHROUGH_ATTRS if sellthrough else SELLOUT_ATTRS)
 
 
