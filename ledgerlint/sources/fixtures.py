@@ -7,6 +7,8 @@ rows.  The definitions follow FIXTURES.md section 2.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -376,6 +378,7 @@ class FixtureSet:
     """
 
     _sets: dict[tuple[str, str, bool], "FixtureSet"] = {}
+    _lock = threading.RLock()
 
     def __init__(self, spark: SparkSession, d: str, materialize: bool = True):
         self.spark, self.d, self.materialize = spark, d.rstrip("/"), materialize
@@ -384,9 +387,10 @@ class FixtureSet:
     @classmethod
     def of(cls, spark: SparkSession, d: str, materialize: bool = True) -> "FixtureSet":
         key = (spark.sparkContext.applicationId, d.rstrip("/"), materialize)
-        if key not in cls._sets:
-            cls._sets[key] = cls(spark, d, materialize)
-        return cls._sets[key]
+        with cls._lock:
+            if key not in cls._sets:
+                cls._sets[key] = cls(spark, d, materialize)
+            return cls._sets[key]
 
     def _root(self) -> str:
         from ledgerlint.session import ensure_checkpoint_dir
@@ -401,6 +405,10 @@ class FixtureSet:
         as the session has cores, so their scans run in parallel; the driver
         files they come from hold a single row group, which Spark cannot split.
         """
+        with self._lock:
+            return self._get_locked(name, build, store, large)
+
+    def _get_locked(self, name: str, build, store: bool, large: bool) -> DataFrame:
         if name not in self._frames:
             df = build()
             if self.materialize and store:

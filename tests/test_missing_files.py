@@ -235,3 +235,15 @@ def test_properties_and_variant_differences_on_driver_data(spark, sf_small):
     assert set(mcount.values()) <= {0, 1}
     for s in (sp, mfs):
         s.unpersist()
+
+
+def test_leap_february_expects_29_days(spark):
+    cfg = mf.SP.with_floor(2024)
+    fact = [("AU", "A", "P", "AU_C_S1", D(2024, 2, 1), "DSD"), ("AU", "A", "P", "AU_C_S1", D(2024, 2, 29), "DSD")]
+    inp = inputs(spark, fact)
+    inp = mf.MissingFileInputs(**{**inp.__dict__, "calendar": calendar_between(spark, "2024-01-01", "2024-12-31")})
+    steps = mf.missing_files(inp, D(2024, 3, 15), cfg)
+    exp = {r["month"]: list(r["expected_array"]) for r in steps.expected_daily.collect()}
+    assert exp == {2: list(range(1, 30))}
+    assert [(r["month"], r["missing_file_count"]) for r in steps.missing.collect()] == [(2, 27)]
+    spark.catalog.clearCache()
