@@ -30,6 +30,7 @@ def m6_plain(spark, d):
 
 HEADLINE = {
     "r8_fact_uniqueness": dq_queries.q_uniq_1091,
+    "r8_fact_uniqueness_hot_key": dq_queries.q_uniq_1091_hot_key,
     "r6_pos_uniqueness": dq_queries.q_uniq_1083,
     "r5_product_uniqueness": dq_queries.q_uniq_1032,
     "r9_distributor_uniqueness": dq_queries.q_uniq_1238,

@@ -39,9 +39,10 @@ def _group(keys: list[str], cond: str, val: str, src: str) -> str:
 
 
 def uniqueness(dq_id: str, *, sellthrough: bool, key: str, dim: str | None, dim_key: str | None,
-               how: str, hierarchy: str, fixtures: list[str], fact_filter: str = "TRUE") -> str:
+               how: str, hierarchy: str, fixtures: list[str], fact_filter: str = "TRUE",
+               fact: str | None = None) -> str:
     """R5-R12 and the empty-input variant."""
-    fact = "fx_fact_sellthrough" if sellthrough else "fx_fact_sellout"
+    fact = fact or ("fx_fact_sellthrough" if sellthrough else "fx_fact_sellout")
     date_col = "sellthrough_date" if sellthrough else "sellout_date"
     year = "sellthrough_year" if sellthrough else "sellout_year"
     entity = "distributor_code" if sellthrough else "point_of_sale_code"
@@ -152,6 +153,9 @@ def queries() -> dict[str, str]:
                                    fixtures=so + ["fx_datasource_dup"]),
         "dq_uniq_1091": uniqueness("DQ1091", sellthrough=False, key="unique_id", dim=None, dim_key=None,
                                    how="", hierarchy="dim_pos", fixtures=so),
+        "dq_uniq_1091_hot_key": uniqueness("DQ1091", sellthrough=False, key="unique_id", dim=None, dim_key=None,
+                                           how="", hierarchy="dim_pos", fixtures=so + ["fx_fact_hot_key"],
+                                           fact="fx_fact_hot_key"),
         "dq_uniq_1238": uniqueness("DQ1238", sellthrough=True, key="distributor_code", dim="fx_distributor_dup",
                                    dim_key="distributor_code", how="INNER", hierarchy="fx_distributor_dup",
                                    fixtures=st + ["fx_distributor_dup"]),

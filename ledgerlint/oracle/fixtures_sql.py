@@ -51,6 +51,8 @@ FIXTURES: dict[str, tuple[list[str], str]] = {
                l.l_suppkey AS suppkey, p.nationkey, l.l_partkey AS partkey, l.l_linenumber AS linenumber,
                l.l_quantity AS quantity
         FROM lineitem l JOIN fx_pos p ON l.l_suppkey = p.suppkey"""),
+    "fx_fact_hot_key": (["fx_fact_sellout"], """
+        SELECT * REPLACE (CASE WHEN partkey % 3 = 0 THEN '-1' ELSE unique_id END AS unique_id) FROM fx_fact_sellout"""),
     "fx_fact_nonzero": (["fx_fact_sellout"], """
         SELECT * FROM fx_fact_sellout WHERE NOT (quantity <= 5 AND suppkey % 3 IN (0, 1))"""),
     "fx_mixed_freq": (["fx_fact_nonzero"], """

@@ -69,6 +69,12 @@ def q_uniq_1091(spark, d):
     return flatten_result(r, R.SELLOUT_KEYS)
 
 
+def q_uniq_1091_hot_key(spark, d):
+    """R8 on a fact where a third of all rows share one ``unique_id``."""
+    r = R.fact_uniqueness_sellout(spark, _p("DQ1091"), _fx(spark, d).fact_hot_key(), _pos(_fx(spark, d)))
+    return flatten_result(r, R.SELLOUT_KEYS)
+
+
 def q_empty_left(spark, d):
     """R8 for a period without deliveries: one row with NULL metrics."""
     fact = _fx(spark, d).fact_sellout().filter(F.col("sellout_date") >= F.lit("2101-01-01").cast("date"))
@@ -170,6 +176,7 @@ def q_ref_key_product(spark, d):
 def queries() -> dict[str, Query]:
     return {
         "dq_uniq_1091": q_uniq_1091,
+        "dq_uniq_1091_hot_key": q_uniq_1091_hot_key,
         "dq_uniq_1032": q_uniq_1032,
         "dq_uniq_1083": q_uniq_1083,
         "dq_uniq_1084": q_uniq_1084,

@@ -103,6 +103,11 @@ def fx_fact_sellout(spark: SparkSession, d: str, pos: DataFrame) -> DataFrame:
     )
 
 
+def fx_fact_hot_key(f: DataFrame) -> DataFrame:
+    """The sell-out fact with a hot key: a third of all rows (part key divisible by 3) share ``unique_id = '-1'``."""
+    return f.withColumn("unique_id", F.when(F.col("partkey") % 3 == 0, F.lit("-1")).otherwise(F.col("unique_id")))
+
+
 def fx_fact_nonzero(f: DataFrame) -> DataFrame:
     """The sell-out fact without the low-quantity lines of the two e-commerce projects."""
     return f.filter(~((F.col("quantity") <= 5) & ((F.col("suppkey") % 3).isin(0, 1))))
@@ -429,6 +434,9 @@ class FixtureSet:
     def fact_sellout(self) -> DataFrame:
         return self._get("fact_sellout", lambda: fx_fact_sellout(self.spark, self.d, self.pos()), large=True)
 
+    def fact_hot_key(self) -> DataFrame:
+        return fx_fact_hot_key(self.fact_sellout())
+
     def fact_nonzero(self) -> DataFrame:
         return fx_fact_nonzero(self.fact_sellout())
 
