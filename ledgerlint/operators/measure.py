@@ -11,6 +11,10 @@ from ledgerlint.functions.scalar import attribute_array, dq_score
 from ledgerlint.operators.keycount import COPIES, ROWS
 from ledgerlint.params import RunParams
 
+# The result table holds every rule's rows, so its value columns have one type
+# (the warehouse NUMERIC: 38 digits, 9 decimals), whatever the measure's type.
+VALUE_TYPE = "decimal(38,9)"
+
 RESULT_COLUMNS = [
     "dq_id", "run_timestamp", "attribute_arr", "dq_score", "invalid_rows",
     "total_rows", "invalid_value", "total_value", "param_date",
@@ -87,8 +91,8 @@ def finalize(spark: SparkSession, agg: DataFrame, params: RunParams, attributes:
         dq_score("invalid_rows", "total_rows", safe=safe_score).alias("dq_score"),
         "invalid_rows",
         "total_rows",
-        "invalid_value",
-        "total_value",
+        F.col("invalid_value").cast(VALUE_TYPE).alias("invalid_value"),
+        F.col("total_value").cast(VALUE_TYPE).alias("total_value"),
         "param_date",
     )
 

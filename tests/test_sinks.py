@@ -30,3 +30,23 @@ def test_timestamp_view(spark):
     assert df.columns == ["dt"]
     row = spark.sql("SELECT dt FROM missing").first()
     assert isinstance(row["dt"], dt.datetime)
+
+
+def test_every_rule_returns_the_same_result_schema(spark, sf_small):
+    from ledgerlint.plans import registry as reg
+
+    f = FixtureSet.of(spark, sf_small)
+    p = dq_queries.RunParams("X", dt.datetime(2024, 1, 1), "2024-01-01")
+    tables = {reg.FACT_SELLOUT: f.fact_sellout(), reg.DIM_PRODUCT: f.product(), reg.DIM_POS: dim_pos(f.pos()),
+              reg.DIM_DATASOURCE: f.datasource()}
+    results = [
+        R.fact_uniqueness_sellout(spark, p, f.fact_sellout(), dim_pos(f.pos())),
+        R.product_uniqueness_sellout(spark, p, f.fact_sellout(), f.product(), dim_pos(f.pos())),
+        R.reference_integrity_stock(spark, p, f.stock(), f.ref_brand(), "PRODUCT.brand_code", 2000,
+                                    reference_column="brand_code"),
+        R.reference_integrity_key(spark, p, tables, "PRODUCT.product_code"),
+        R.dimension_key_uniqueness(spark, p, tables, "product_code"),
+        R.attribute_condition(spark, p, tables, reg.FACT_SELLOUT, "market_code", "source_column = 'XX'"),
+    ]
+    schemas = {r.schema.simpleString() for r in results}
+    assert len(schemas) == 1, schemas
