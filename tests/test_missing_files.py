@@ -203,7 +203,6 @@ def test_month_collapsed_expected_days_equal_the_plain_range_join(spark, sf_smal
     a = sorted(map(key, steps.expected_daily.collect()))
     b = sorted(map(key, plain.collect()))
     assert a == b and len(a) > 0
-    steps.unpersist()
 
 
 def test_properties_and_variant_differences_on_driver_data(spark, sf_small):
@@ -233,8 +232,7 @@ def test_properties_and_variant_differences_on_driver_data(spark, sf_small):
     mcount = {tuple(r[:7]): r[7] for r in mf.missing_monthly_by_count(sp.expected_monthly, sp.available_monthly)
               .select(*mf.RESULT[:7], "missing_file_count").collect()}
     assert set(mcount.values()) <= {0, 1}
-    for s in (sp, mfs):
-        s.unpersist()
+
 
 
 def test_leap_february_expects_29_days(spark):
