@@ -10,7 +10,10 @@ Plan notes for large inputs:
 - Dimensions (data source, POS, store starts, products, signatures) are joined
   without hints: Spark broadcasts them while under the broadcast threshold and
   shuffles otherwise; AQE re-plans from the measured sizes.
-- M1 (distinct store-days) feeds five steps and is persisted.
+- M1 (distinct store-days) feeds five steps; it, M4 and M5 are staged as
+  small parquet tables under the checkpoint folder (or persisted), so later
+  plans start from them and a lost executor never sends the job back to the
+  fact.
 - The calendar is collapsed to one row per month before it meets the stores
   (``operators.calendar``), so no day x store product is formed.
 - Every aggregation is by store (and month or day); partial aggregation
@@ -468,31 +471,39 @@ class MissingFileSteps:
     result: DataFrame
 
     def unpersist(self) -> None:
-        """Release the cached steps (M1, M4, M5)."""
+        """Release the cached steps (M1, M4, M5) when they were persisted rather than staged."""
         for df in (self.deliveries, self.active, self.starts):
             df.unpersist()
 
 
 def missing_files(inp: MissingFileInputs, as_of: dt.date, cfg: MissingFileConfig = SP,
-                  persist: bool = True) -> MissingFileSteps:
+                  materialize: str = "stage") -> MissingFileSteps:
     """Run M1-M20 for one as-of date; ``.result`` holds the 12 result columns.
 
-    With ``persist`` the relations read by several later steps are cached:
     M1 (distinct store-days, read by five steps), M4 (active stores) and M5
-    (one row per store).  A lost cached partition is recomputed from its
-    lineage.
+    (one row per store) feed several later steps.  ``materialize`` decides
+    how they are kept:
+    - ``"persist"``: cached lazily; a lost cached partition is recomputed
+      from its lineage (which re-reads the fact);
+    - ``"stage"``: written now as parquet under the session's checkpoint
+      folder and read back; later plans start from these small tables, and a
+      lost executor never sends the job back to the fact;
+    - ``"none"``: everything stays one lazy plan.
     """
-    m1 = deliveries(inp, cfg, as_of)
-    if persist:
-        m1 = m1.persist()
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        if materialize == "persist":
+            return df.persist()
+        if materialize == "stage":
+            from ledgerlint.sources.sinks import stage
+
+            return stage(df, f"missing-files-{name}")
+        return df
+
+    m1 = keep(deliveries(inp, cfg, as_of), "m1")
     m2 = pos_attributes(inp, cfg)
     m3 = complete_months_calendar(inp, cfg, as_of)
-    m4 = active_stores(m1, as_of)
-    if persist:
-        m4 = m4.persist()
-    m5 = store_starts(m1, inp, cfg, m4)
-    if persist:
-        m5 = m5.persist()
+    m4 = keep(active_stores(m1, as_of), "m4")
+    m5 = keep(store_starts(m1, inp, cfg, m4), "m5")
     months = month_calendar(m3)
     e_d, e_w = expected_daily(m5, months, cfg), expected_weekly(m5, m3, cfg, as_of)
     e_m = expected_monthly(m5, months, cfg)
