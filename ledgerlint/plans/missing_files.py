@@ -10,10 +10,10 @@ Plan notes for large inputs:
 - Dimensions (data source, POS, store starts, products, signatures) are joined
   without hints: Spark broadcasts them while under the broadcast threshold and
   shuffles otherwise; AQE re-plans from the measured sizes.
-- M1 (distinct store-days) feeds five steps; it, M4 and M5 are staged as
-  small parquet tables under the checkpoint folder (or persisted), so later
-  plans start from them and a lost executor never sends the job back to the
-  fact.
+- M1 (distinct store-days) feeds five steps; it is staged as a parquet
+  table under the checkpoint folder, so later plans start from it and a lost
+  executor never sends the job back to the fact.  M4 and M5 (per store) are
+  persisted.
 - The calendar is collapsed to one row per month before it meets the stores
   (``operators.calendar``), so no day x store product is formed.
 - Every aggregation is by store (and month or day); partial aggregation
@@ -485,25 +485,26 @@ def missing_files(inp: MissingFileInputs, as_of: dt.date, cfg: MissingFileConfig
     how they are kept:
     - ``"persist"``: cached lazily; a lost cached partition is recomputed
       from its lineage (which re-reads the fact);
-    - ``"stage"``: written now as parquet under the session's checkpoint
-      folder and read back; later plans start from these small tables, and a
-      lost executor never sends the job back to the fact;
+    - ``"stage"``: M1 is written now as parquet under the session's
+      checkpoint folder and read back, so later plans start from that table
+      and a lost executor never sends the job back to the fact; M4 and M5,
+      one row per store and cheap to rebuild from M1, are persisted;
     - ``"none"``: everything stays one lazy plan.
     """
-    def keep(df: DataFrame, name: str) -> DataFrame:
-        if materialize == "persist":
-            return df.persist()
-        if materialize == "stage":
+    def keep(df: DataFrame, name: str, small: bool) -> DataFrame:
+        if materialize == "stage" and not small:
             from ledgerlint.sources.sinks import stage
 
             return stage(df, f"missing-files-{name}")
+        if materialize in ("stage", "persist"):
+            return df.persist()
         return df
 
-    m1 = keep(deliveries(inp, cfg, as_of), "m1")
+    m1 = keep(deliveries(inp, cfg, as_of), "m1", small=False)
     m2 = pos_attributes(inp, cfg)
     m3 = complete_months_calendar(inp, cfg, as_of)
-    m4 = keep(active_stores(m1, as_of), "m4")
-    m5 = keep(store_starts(m1, inp, cfg, m4), "m5")
+    m4 = keep(active_stores(m1, as_of), "m4", small=True)
+    m5 = keep(store_starts(m1, inp, cfg, m4), "m5", small=True)
     months = month_calendar(m3)
     e_d, e_w = expected_daily(m5, months, cfg), expected_weekly(m5, m3, cfg, as_of)
     e_m = expected_monthly(m5, months, cfg)
