@@ -47,3 +47,22 @@ def test_cli_rule_and_missing_files(spark, sf_small):
     assert status.count() > 0
     assert {r[0] for r in status.select("last_invoked_timestamp").distinct().collect()} == {
         __import__("datetime").datetime(2001, 8, 15, 6, 0)}
+
+
+def test_every_catalogued_rule_runs_by_id(spark, sf_small):
+    import datetime as dt
+
+    from ledgerlint.plans import registry as reg
+
+    f = FixtureSet.of(spark, sf_small)
+    tables = {reg.FACT_SELLOUT: f.fact_sellout(), reg.FACT_SELLTHROUGH: f.fact_sellthrough(),
+              reg.DIM_PRODUCT: f.product(), reg.DIM_POS: dim_pos(f.pos()), reg.DIM_DATASOURCE: f.datasource(),
+              reg.DIM_DISTRIBUTOR: f.distributor()}
+    schemas = set()
+    for dq_id in catalog.RULES:
+        res = catalog.run_rule(spark, dq_id, tables, dt.datetime(2024, 1, 1), "2024-01-01")
+        rows = res.collect()
+        assert rows and all(r["dq_id"] == dq_id for r in rows)
+        assert all(r["invalid_rows"] <= r["total_rows"] for r in rows)
+        schemas.add(res.schema.simpleString())
+    assert len(schemas) == 1
