@@ -1 +1,11 @@
-"""Training-data operators: one module per operator, queries in ``queries.py``."""
+"""Training-data operators: one module per operator, queries in ``queries.py``.
+
+Functions that run inside Spark tasks are sent by value, so executors need no
+copy of this package.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerlint.session import configure
 from ledgerlint.sources.tables import read_table
 
-from . import chat_format, decontam, exact_dedup, pii, url_filter
+from . import chat_format, decontam, exact_dedup, language_id, near_dedup, pii, url_filter
 from .common import documents
 
 
@@ -45,8 +45,16 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir))
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_classes(documents(spark, sf_dir))
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(documents(spark, sf_dir))
+
+
 def queries() -> dict:
-    named = [op1_decontam, op2_url_filter, op4_pii, op5_chat_format, op6_exact_dedup]
+    named = [op1_decontam, op2_url_filter, op4_pii, op5_chat_format, op6_exact_dedup, op7_near_dedup, op10_language]
     return {f.__name__: f for f in named}
 
 
