@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerlint.session import configure
 from ledgerlint.sources.tables import read_table
 
-from . import chat_format, decontam, exact_dedup, language_id, near_dedup, pii, url_filter
+from . import chat_format, decontam, exact_dedup, language_id, near_dedup, packing, pii, url_filter
 from .common import documents
 
 
@@ -21,6 +21,21 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(read_table(spark, sf_dir, "pages"), url_filter.seed_model(spark))
 
 
+#: The public tokenizer of the packing query; the operator takes any file of its kind.
+TOKENIZER = "word_bpe_49k.json"
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), tokenizer_path()).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest_spans(pii.find_pii(documents(spark, sf_dir)))
 
@@ -54,7 +69,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    named = [op1_decontam, op2_url_filter, op4_pii, op5_chat_format, op6_exact_dedup, op7_near_dedup, op10_language]
+    named = [op1_decontam, op2_url_filter, op3_packing, op4_pii, op5_chat_format, op6_exact_dedup, op7_near_dedup, op10_language]
     return {f.__name__: f for f in named}
 
 
