@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerlint.session import configure
 from ledgerlint.sources.tables import read_table
 
-from . import chat_format, decontam, exact_dedup, language_id, near_dedup, packing, pii, url_filter
+from . import chat_format, decontam, exact_dedup, language_id, near_dedup, packing, pii, substring_dedup, suffix_dedup, url_filter
 from .common import documents
 
 
@@ -64,12 +64,23 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_classes(documents(spark, sf_dir))
 
 
+def op8_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeats(documents(spark, sf_dir)).removed().select(
+        "doc_id", F.col("n_units").alias("n_words"), "n_removed", "kept_sha256")
+
+
+def op9_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeats(documents(spark, sf_dir)).removed().select(
+        "doc_id", F.col("n_units").alias("n_bytes"), "n_removed", "n_spans", "kept_sha256")
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(documents(spark, sf_dir))
 
 
 def queries() -> dict:
-    named = [op1_decontam, op2_url_filter, op3_packing, op4_pii, op5_chat_format, op6_exact_dedup, op7_near_dedup, op10_language]
+    named = [op1_decontam, op2_url_filter, op3_packing, op4_pii, op5_chat_format, op6_exact_dedup, op7_near_dedup,
+             op8_substring, op9_suffix, op10_language]
     return {f.__name__: f for f in named}
 
 
