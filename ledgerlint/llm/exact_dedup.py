@@ -29,7 +29,11 @@ from pyspark.sql import functions as F
 
 from .common import scratch, stage
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: State on disk, and closed after each batch: an open store holds a few MB of disk, whatever its size.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
+}
 DIGESTS = "digest string, n_points int, neg_id decimal(20,0), doc_id bigint, file string, row bigint"
 
 
@@ -69,8 +73,9 @@ class StreamDedup:
     def ingest(self, docs: DataFrame) -> None:
         """Feed located documents through the stream; returns when all of them are in the state."""
         self._digests(docs).write.mode("append").parquet(f"{self.root}/in")
-        before = {k: self.spark.conf.get(k, None) for k in ("spark.sql.streaming.stateStore.providerClass",)}
-        self.spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+        before = {k: self.spark.conf.get(k, None) for k in STATE_CONF}
+        for k, v in STATE_CONF.items():
+            self.spark.conf.set(k, v)
         try:
             query = (
                 self.spark.readStream.schema(DIGESTS).parquet(f"{self.root}/in")
