@@ -104,11 +104,12 @@ def format_chats(conversations: DataFrame, template: Template | None = None) ->
     turns = conversations.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct(
         "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")))).alias("turns"))
     table = F.create_map(*(F.lit(x) for s, to in t.transitions.items() for r, n in to.items() for x in (f"{s}\n{r}", n)))
-    # state: the automaton's state, or null after a fault; at: turns read before it
+    # state: the automaton's state, or empty after a fault; at: turns read before it
     walked = F.aggregate(
         "turns", F.struct(F.lit(t.start).alias("state"), F.lit(0).alias("at")),
-        lambda a, x: F.when(a["state"].isNull(), a).otherwise(F.struct(
-            F.element_at(table, F.concat(a["state"], F.lit("\n"), x["role"])).alias("state"), (a["at"] + 1).alias("at"))))
+        lambda a, x: F.when(a["state"] == "", a).otherwise(F.struct(
+            F.coalesce(F.element_at(table, F.concat(a["state"], F.lit("\n"), x["role"])), F.lit("")).alias("state"),
+            (a["at"] + 1).alias("at"))))
     parts = F.flatten(F.transform("turns", lambda x: _segments(x, t)))
     parts = F.concat(F.array(F.struct(F.lit(t.bos).alias("text"), F.lit(False).alias("loss"))), parts)
     placed = F.aggregate(
@@ -121,8 +122,8 @@ def format_chats(conversations: DataFrame, template: Template | None = None) ->
             "conv_id",
             F.array_join(F.transform("parts", lambda x: x["text"]), "").alias("formatted"),
             placed["out"].alias("segments"),
-            F.coalesce(F.col("walked.state").isin(*t.accepting), F.lit(False)).alias("valid"),
-            F.when(F.col("walked.state").isNull(), F.col("walked.at") - 1).alias("bad_turn"),
+            F.col("walked.state").isin(*t.accepting).alias("valid"),
+            F.when(F.col("walked.state") == "", F.col("walked.at") - 1).alias("bad_turn"),
         )
     )
 

@@ -20,8 +20,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path below the folder that ``spark.checkpoint.dir`` names (shared on a cluster)."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
+    """A fresh path below the folder that ``spark.checkpoint.dir`` names (shared on a cluster).
+
+    All paths of an application are in one folder of its name, to delete when it has ended.
+    """
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

@@ -23,6 +23,9 @@ empty table gives no rows.
 
 from __future__ import annotations
 
+import contextlib
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,11 +53,17 @@ def sha256(norm: Column) -> Column:
 
 
 def located(docs: DataFrame) -> DataFrame:
-    """``docs`` with its file and row number as ``__file`` and ``__row``; staged first if it isn't a plain scan."""
-    try:
-        return docs.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
-    except AnalysisException:
-        return located(stage(docs, "dedup-input"))
+    """``docs`` with its file and row number as ``__file`` and ``__row``.
+
+    Anything but a scan with filters and projections is written to the shared folder
+    first, since only a scan's rows have a number of their own.  Column names that
+    begin with two underscores are reserved.
+    """
+    nodes = set(re.findall(r"^[ :+-]*'?(\w+)", docs._jdf.queryExecution().analyzed().toString(), re.M))
+    if nodes <= {"Project", "Filter", "Relation"}:
+        with contextlib.suppress(AnalysisException):
+            return docs.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
+    return located(stage(docs, "located"))
 
 
 class StreamDedup:
@@ -117,8 +126,8 @@ def _false_hits(rows: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def dedup_groups(docs: DataFrame, digest=sha256) -> tuple[DataFrame, DataFrame]:
-    """(located rows with their digest, digest -> group_size and keep), checked on full bytes."""
-    docs = located(docs)
+    """(doc_id, text, place and digest of located documents, digest -> group_size and keep), checked on full bytes."""
+    docs = docs.select("doc_id", "text", "__file", "__row")
     stream = StreamDedup(docs.sparkSession, digest=digest)
     stream.ingest(docs)
     rows = docs.withColumn("digest", digest(normalise(F.col("text"))))
@@ -136,7 +145,7 @@ def dedup_groups(docs: DataFrame, digest=sha256) -> tuple[DataFrame, DataFrame]:
 
 def exact_groups(docs: DataFrame, digest=sha256) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
-    rows, groups = dedup_groups(docs, digest)
+    rows, groups = dedup_groups(located(docs.select("doc_id", "text")), digest)
     sha = F.col("digest") if digest is sha256 else sha256(normalise(F.col("text")))
     narrow = rows.select("doc_id", "digest", "__file", "__row", sha.alias("text_sha256"))
     return narrow.join(groups, "digest").select(
@@ -146,7 +155,7 @@ def exact_groups(docs: DataFrame, digest=sha256) -> DataFrame:
 
 def drop_exact_duplicates(docs: DataFrame, digest=sha256) -> DataFrame:
     """The documents that stay, with their own columns."""
-    rows, groups = dedup_groups(docs, digest)
-    kept = groups.select("digest", F.col("keep.file").alias("__keep_file"), F.col("keep.row").alias("__keep_row"))
-    return rows.join(kept, "digest").where("__file = __keep_file and __row = __keep_row").select(
-        *(F.col(f"`{c}`") for c in docs.columns))
+    docs, columns = located(docs), docs.columns
+    _, groups = dedup_groups(docs, digest)
+    kept = groups.select(F.col("keep.file").alias("__file"), F.col("keep.row").alias("__row"))
+    return docs.join(kept, ["__file", "__row"], "left_semi").select(*(F.col(f"`{c}`") for c in columns))

@@ -108,4 +108,16 @@ def oracle_sql() -> dict[str, str]:
                     regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g') AS norm FROM documents),
                 g AS (SELECT norm, count(*) AS group_size, first(doc_id ORDER BY n DESC, doc_id) AS keep_id FROM t GROUP BY norm)
             SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM t JOIN g USING (norm)""",
+        "op8_substring": """
+            WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+                    FROM documents),
+                starts AS (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS p FROM d WHERE len(w) >= 35),
+                seen AS (SELECT doc_id, p, count(*) OVER (PARTITION BY array_to_string(w[p:p + 34], ' ')) AS n FROM starts),
+                words AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS word FROM d),
+                near AS (SELECT words.doc_id, words.p, word, max(seen.p) OVER (PARTITION BY words.doc_id ORDER BY words.p) AS last
+                    FROM words LEFT JOIN seen ON seen.doc_id = words.doc_id AND seen.p = words.p AND seen.n > 1),
+                kept AS (SELECT doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY p) AS text FROM near
+                    WHERE last IS NULL OR p - last > 34 GROUP BY doc_id)
+            SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n_kept, 0) AS BIGINT) AS n_removed,
+                sha256(coalesce(kept.text, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)""",
     }
