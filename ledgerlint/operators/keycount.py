@@ -55,14 +55,15 @@ def window_key_count(df: DataFrame, key: str) -> DataFrame:
 def fact_key_count(fact: DataFrame, key: str, group_cols: list[str], sum_cols: list[str]) -> DataFrame:
     """``cnt`` of ``key`` over the whole fact, returned pre-aggregated.
 
-    Equivalent to S3 on the fact followed by an aggregation by ``group_cols``:
-    the fact is first reduced to one row per (key, group_cols) with a row count
-    and partial sums.  Map-side partial aggregation collapses repeated and hot
-    keys before the shuffle, and the window afterwards sees at most one row per
-    (key, group) - a key holding a third of all rows no longer lands whole in
-    one task.  NULL keys form one partition, as in the window form.
+    Equivalent to S3 on the fact followed by an aggregation by ``group_cols``.
+    The keys that occur more than once are counted from a scan of the key column
+    alone (partial aggregation, so a hot key moves one row a task).  They are
+    joined back null-safely: few of them are broadcast by Spark, many are shuffled
+    and Spark splits a skewed key, for no window needs all rows of a key together.
+    Rows without a match have ``cnt`` 1.
     """
-    pre = fact.groupBy(key, *group_cols).agg(
+    repeated = fact.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias(CNT)).filter(F.col(CNT) > 1)
+    joined = fact.join(repeated, fact[key].eqNullSafe(repeated["_key"]), "left")
+    return joined.groupBy(F.coalesce(CNT, F.lit(1)).alias(CNT), *group_cols).agg(
         F.count(F.lit(1)).alias(ROWS), *[F.sum(c).alias(c) for c in sum_cols]
     )
-    return pre.withColumn(CNT, F.sum(ROWS).over(Window.partitionBy(key)))

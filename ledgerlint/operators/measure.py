@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,7 +28,7 @@ def measure(df: DataFrame, keys: Sequence[str], invalid: Column, value: Column)
     ``invalid`` is a boolean column: a NULL condition counts as valid.  The value
     sum has ELSE 0, the invalid row count counts TRUE only.  When the frame has
     copy or row weights (see ``keycount``) rows count ``_rows * _copies`` and
-    values count ``_copies`` times; value sums are cast back to the type an
+    values count ``_copies`` times, exactly; value sums have the type that an
     unweighted sum would have.
     """
     has_rows, has_copies = ROWS in df.columns, COPIES in df.columns
@@ -38,18 +39,38 @@ def measure(df: DataFrame, keys: Sequence[str], invalid: Column, value: Column)
             F.count(F.when(invalid, F.lit(1))).alias("invalid_rows"),
             F.count(F.lit(1)).alias("total_rows"),
         )
+    # Sum the unweighted rows of each copy weight first, then weight the sums: exact
+    # in the measure's own type, and the partial aggregation sees plain sums.
     copies = F.col(COPIES) if has_copies else F.lit(1).cast("bigint")
-    rows = (F.col(ROWS) * copies) if has_rows else copies
-    v = (value * copies) if has_copies else value
-    sum_type = df.select(F.sum(value).alias("t")).schema["t"].dataType.simpleString()
-    return df.groupBy(*keys).agg(
-        F.sum(F.when(invalid, v).otherwise(F.lit(0))).cast(sum_type).alias("invalid_value"),
+    part = df.withColumn("_inv", F.coalesce(invalid, F.lit(False))).groupBy(*keys, "_inv", copies.alias("_w")).agg(
+        F.sum(value).alias("_v"),
+        F.sum(F.col(ROWS)).alias("_n") if has_rows else F.count(F.lit(1)).alias("_n"),
+    )
+    sum_type = part.schema["_v"].dataType.simpleString()
+    v, n = times(F.col("_v"), F.col("_w"), sum_type), F.col("_n") * F.col("_w")
+    return part.groupBy(*keys).agg(
+        F.sum(F.when(F.col("_inv"), v).otherwise(F.lit(0))).cast(sum_type).alias("invalid_value"),
         F.sum(v).cast(sum_type).alias("total_value"),
-        F.sum(F.when(invalid, rows).otherwise(F.lit(0))).cast("bigint").alias("invalid_rows"),
-        F.sum(rows).cast("bigint").alias("total_rows"),
+        F.sum(F.when(F.col("_inv"), n).otherwise(F.lit(0))).cast("bigint").alias("invalid_rows"),
+        F.sum(n).cast("bigint").alias("total_rows"),
     )
 
 
+def times(value: Column, weight: Column, value_type: str) -> Column:
+    """``value * weight`` without losing a decimal; raises where 28 integer digits don't hold it.
+
+    Spark cuts the product of DECIMAL(38,9) and BIGINT to six decimals.  The
+    fraction (one integer digit at most) times the weight keeps all its decimals,
+    and so does the whole part, which has none.
+    """
+    m = re.fullmatch(r"decimal\((\d+),(\d+)\)", value_type)
+    if not m or int(m[2]) == 0:
+        return value * weight
+    fraction = value % F.lit(1)
+    whole = (value - fraction).cast("decimal(28,0)")
+    return ((whole * weight).cast("decimal(28,0)") + fraction * weight).cast(value_type)
+
+
 def combine_measures(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Sum partial measures (from ``measure`` at a finer grain) up to ``keys``.
 
@@ -74,16 +95,16 @@ def finalize(spark: SparkSession, agg: DataFrame, params: RunParams, attributes:
     """Attach run parameters, build the attribute array and the score.
 
     ``attributes`` pairs an output key with the group column holding its
-    value.  With ``keep_empty`` the parameters are LEFT joined on TRUE, so an
-    empty input still yields one row (NULL metrics, keys with NULL values).
-    Without it the parameters are literal columns and empty input yields none.
-    The aggregate is small (one row per group), so the join is a broadcast
-    nested loop against a one-row relation.
+    value.  The parameters are literal columns on the aggregate.  With
+    ``keep_empty`` an empty aggregate yields one row (NULL metrics, keys with
+    NULL values): a one-row frame without a match in the aggregate's first row is
+    added, so only that row, never the aggregate, goes through a broadcast.
+    Without it empty input yields none.
     """
+    joined = agg.select(*params.columns(), *agg.columns)
     if keep_empty:
-        joined = params.frame(spark).join(agg, F.lit(True), "left")
-    else:
-        joined = agg.select(*params.columns(), *agg.columns)
+        blank = params.frame(spark).select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in agg.schema.fields])
+        joined = joined.unionByName(blank.join(agg.limit(1).select(F.lit(1).alias("_any")), F.lit(True), "left_anti"))
     return joined.select(
         "dq_id",
         "run_timestamp",
@@ -97,10 +118,15 @@ def finalize(spark: SparkSession, agg: DataFrame, params: RunParams, attributes:
     )
 
 
-def flatten_result(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The result with scalar columns only (``attr_<key>``), for comparison and reports."""
+def flatten_result(df: DataFrame, keys: Sequence[str], exact: bool = False) -> DataFrame:
+    """The result with scalar columns only (``attr_<key>``), for comparison and reports.
+
+    Values are doubles, or with ``exact`` decimal text with all nine decimals.
+    """
+    value_type = "string" if exact else "double"
+
     def value_of(key: str) -> Column:
-        return F.element_at(F.filter("attribute_arr", lambda x: x["key"] == F.lit(key)), 1)["value"]
+        return F.get(F.filter("attribute_arr", lambda x: x["key"] == F.lit(key)), 0)["value"]
 
     attrs = [value_of(k).alias(f"attr_{k}") for k in keys]
     return df.select(
@@ -110,7 +136,7 @@ def flatten_result(df: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.col("dq_score").cast("double").alias("dq_score"),
         F.col("invalid_rows").cast("bigint").alias("invalid_rows"),
         F.col("total_rows").cast("bigint").alias("total_rows"),
-        F.col("invalid_value").cast("double").alias("invalid_value"),
-        F.col("total_value").cast("double").alias("total_value"),
+        F.col("invalid_value").cast(value_type).alias("invalid_value"),
+        F.col("total_value").cast(value_type).alias("total_value"),
         "param_date",
     )

@@ -14,7 +14,7 @@ PARAM_DATE = "2001-08-31"
 SELLOUT_KEYS = ["division_code", "market_code", "sellout_year", "channel_level1", "channel_level2", "client_name"]
 
 
-def _final(dq_id: str, cols: list[tuple[str, str]], keep_empty: bool) -> str:
+def _final(dq_id: str, cols: list[tuple[str, str]], keep_empty: bool, value_type: str = "DOUBLE") -> str:
     attrs = ", ".join(f"g.{c} AS attr_{k}" for k, c in cols)
     src = "(SELECT 1 AS one) p LEFT JOIN g ON TRUE" if keep_empty else "g"
     return f"""
@@ -22,7 +22,7 @@ SELECT '{dq_id}' AS dq_id, '{RUN_TS}' AS run_timestamp, {attrs},
        CAST(CAST(CASE WHEN g.total_rows IS NOT NULL AND g.total_rows <> 0
                       THEN (1 - g.invalid_rows / g.total_rows) * 100 END AS DECIMAL(38,9)) AS DOUBLE) AS dq_score,
        CAST(g.invalid_rows AS BIGINT) AS invalid_rows, CAST(g.total_rows AS BIGINT) AS total_rows,
-       CAST(g.invalid_value AS DOUBLE) AS invalid_value, CAST(g.total_value AS DOUBLE) AS total_value,
+       CAST(g.invalid_value AS {value_type}) AS invalid_value, CAST(g.total_value AS {value_type}) AS total_value,
        '{PARAM_DATE}' AS param_date
 FROM {src}"""
 
@@ -40,7 +40,7 @@ def _group(keys: list[str], cond: str, val: str, src: str) -> str:
 
 def uniqueness(dq_id: str, *, sellthrough: bool, key: str, dim: str | None, dim_key: str | None,
                how: str, hierarchy: str, fixtures: list[str], fact_filter: str = "TRUE",
-               fact: str | None = None) -> str:
+               fact: str | None = None, value_type: str = "DOUBLE") -> str:
     """R5-R12 and the empty-input variant."""
     fact = fact or ("fx_fact_sellthrough" if sellthrough else "fx_fact_sellout")
     date_col = "sellthrough_date" if sellthrough else "sellout_date"
@@ -70,7 +70,7 @@ def uniqueness(dq_id: str, *, sellthrough: bool, key: str, dim: str | None, dim_
     keys = ["division_code", "market_code", year, "channel_level1", "channel_level2", "client_name"]
     cols = [(k if k != "sellthrough_year" else "sellout_year", k) for k in keys]
     extra = [("src", src), ("hier", hier), ("g", _group(keys, "cnt > 1", "soval", "hier"))]
-    return with_fixtures(_final(dq_id, cols, keep_empty=True), *fixtures, extra=extra)
+    return with_fixtures(_final(dq_id, cols, True, value_type), *fixtures, extra=extra)
 
 
 def dimension_uniqueness(dq_id: str, *, fact_col: str, dim: str, dim_key: str, pos: str, fixtures: list[str]) -> str:
@@ -106,36 +106,69 @@ def attribute_condition(dq_id: str, *, value_expr: str, dim_join: str, cond: str
 
 def reference_integrity_stock(dq_id: str, year: int, value: str = "brand_code", ref: str = "fx_ref_brand",
                               ref_col: str = "brand_code") -> str:
-    """R2: a stock value (as text) against the distinct reference column."""
+    """R2: a stock value against the distinct reference column, in their own types."""
     src = f"""
         SELECT division_amaas AS division_code, orga_country_alpha2 AS market_code,
                CAST(year(tech_period_end_date) AS VARCHAR) AS sit_year, distributor_name AS client_name,
                data_file_provider AS data_source, 'Distributor' AS source_type,
-               CAST({value} AS VARCHAR) AS source_column, abs(total_stock_units) AS total_units
+               {value} AS source_column, abs(total_stock_units) AS total_units
         FROM fx_stock_flat WHERE year(tech_period_end_date) = {year}"""
     joined = f"""
         SELECT s.*, r.parent_column FROM src s
-        LEFT JOIN (SELECT DISTINCT CAST({ref_col} AS VARCHAR) AS parent_column FROM {ref}) r
+        LEFT JOIN (SELECT DISTINCT {ref_col} AS parent_column FROM {ref}) r
           ON s.source_column = r.parent_column"""
     keys = ["division_code", "market_code", "sit_year", "data_source", "source_type", "client_name"]
-    cond = ("parent_column IS NULL OR source_column IS NULL OR source_column = '' OR source_column = '-1'"
-            " OR source_column = 'unspecified'")
+    cond = "parent_column IS NULL OR coalesce(CAST(source_column AS VARCHAR), '') IN ('', '-1', 'unspecified')"
     extra = [("src", src), ("j", joined), ("g", _group(keys, cond, "total_units", "j"))]
     return with_fixtures(_final(dq_id, [(k, k) for k in keys], False), "fx_stock_flat", ref, extra=extra)
 
 
 def reference_integrity_key(dq_id: str, fact_col: str = "product_code", dim: str = "fx_product",
-                            dim_col: str = "product_code") -> str:
+                            dim_col: str = "product_code", fact: str = "fx_fact_sellout") -> str:
     """A fact key against the distinct keys of its dimension."""
     src = f"""
         SELECT f.division_code, f.market_code, CAST(year(f.sellout_date) AS VARCHAR) AS sellout_year,
                COALESCE(abs(f.consolidated_sales_eur), 0) AS soval, f.{fact_col} AS source_column, d.parent_column
-        FROM fx_fact_sellout f
+        FROM {fact} f
         LEFT JOIN (SELECT DISTINCT {dim_col} AS parent_column FROM {dim}) d ON f.{fact_col} = d.parent_column"""
     keys = ["division_code", "market_code", "sellout_year"]
     cond = "parent_column IS NULL OR source_column IS NULL OR source_column = ''"
     extra = [("src", src), ("g", _group(keys, cond, "soval", "src"))]
-    return with_fixtures(_final(dq_id, [(k, k) for k in keys], False), "fx_fact_sellout", dim, extra=extra)
+    return with_fixtures(_final(dq_id, [(k, k) for k in keys], False), fact, dim, extra=extra)
+
+
+#: C2 paths: column of the flat stock fixture, reference fixture and column.
+STOCK_PATHS = {
+    "DISTRIBUTOR.distributor_code": ("fx_general_data", "business_partner_number_external_system"),
+    "DISTRIBUTOR.distributor_name": ("fx_general_data", "organization_legal_name_1"),
+    "CURRENCY.conversion_rate": ("fx_ref_rate", "exchange_rate"),
+    "GEOGRAPHY.orga_region_description": ("fx_ref_market", "zone_code"),
+    "PRODUCT.orga_division": ("fx_ref_product", "division_code"),
+    "PRODUCT.signature_code": ("fx_ref_product", "signature_code"),
+    "PRODUCT.signature_desc": ("fx_ref_product", "signature_name"),
+    "PRODUCT.axis_code": ("fx_ref_product", "axe_code"),
+    "PRODUCT.axis_desc": ("fx_ref_product", "axe_name"),
+    "PRODUCT.brand_code": ("fx_ref_product", "brand_code"),
+    "PRODUCT.brand_desc": ("fx_ref_product", "brand_name"),
+    "PRODUCT.subaxis_code": ("fx_ref_product", "sub_axe_code"),
+    "PRODUCT.subaxis_desc": ("fx_ref_product", "sub_axe_name"),
+    "PRODUCT.subbrand_code": ("fx_ref_product", "sub_brand_code"),
+    "PRODUCT.subbrand_desc": ("fx_ref_product", "sub_brand_name"),
+}
+
+ATTR_CONDITION = "coalesce(source_column, '') = '' OR contains(source_column, '1')"
+#: C1 entries: columns by table, with the join that provides them as ``d``.
+ATTR_COLUMNS = {
+    "": ["market_code", "order_number", "data_source"],
+    "LEFT JOIN fx_product d ON f.product_code = d.product_code":
+        ["product_name", "signature_name", "brand_name", "material_group_code"],
+    "LEFT JOIN dim_pos d ON f.point_of_sale_code = d.point_of_sale_code":
+        ["point_of_sale_code", "channel_level2", "channel_level1"],
+}
+
+
+def union(statements: list[str]) -> str:
+    return "\nUNION ALL\n".join(f"SELECT * FROM ({s})" for s in statements)
 
 
 def queries() -> dict[str, str]:
@@ -194,6 +227,32 @@ def queries() -> dict[str, str]:
             cond="source_column = 'L0'", fixtures=so + ["dim_pos_dup"], pos="dim_pos_dup"),
         "dq_ref_stock_rate": reference_integrity_stock("DQ_REF_RATE", 2000, value="conversion_rate",
                                                        ref="fx_ref_rate", ref_col="exchange_rate"),
+        "dq_ref_stock_catalogue": union([
+            reference_integrity_stock("DQ_REF_" + path, 2000, value=path.split(".")[1], ref=ref, ref_col=col)
+            for path, (ref, col) in STOCK_PATHS.items()]),
+        "dq_attr_catalogue": union([
+            attribute_condition(f"DQ_ATTR_{c}", value_expr=f"{'d' if join else 'f'}.{c}", dim_join=join,
+                                cond=ATTR_CONDITION, fixtures=so + ["fx_product"])
+            for join, columns in ATTR_COLUMNS.items() for c in columns]),
+        "dq_ref_key_pos": reference_integrity_key("DQ_REF_POS", fact_col="point_of_sale_code", dim="dim_pos",
+                                                  dim_col="point_of_sale_code", fact="fx_fact_nulls"),
+        "dq_uniq_1032_exact": uniqueness("DQ1032", sellthrough=False, key="product_code", dim="fx_product",
+                                         dim_key="product_code", how="LEFT", hierarchy="dim_pos",
+                                         fixtures=so + ["fx_product", "fx_fact_exact"], fact="fx_fact_exact",
+                                         value_type="VARCHAR"),
+        "dq_uniq_1032_nulls": uniqueness("DQ1032", sellthrough=False, key="product_code", dim="fx_product",
+                                         dim_key="product_code", how="LEFT", hierarchy="dim_pos",
+                                         fixtures=so + ["fx_product", "fx_fact_nulls"], fact="fx_fact_nulls"),
+        "dq_uniq_1091_nulls": uniqueness("DQ1091", sellthrough=False, key="unique_id", dim=None, dim_key=None,
+                                         how="", hierarchy="dim_pos", fixtures=so + ["fx_fact_nulls"],
+                                         fact="fx_fact_nulls"),
+        "dq_append_two_runs": union([
+            uniqueness("DQ1091", sellthrough=False, key="unique_id", dim=None, dim_key=None, how="",
+                       hierarchy="dim_pos", fixtures=so),
+            f"""SELECT dq_id, run_timestamp, attr_division_code, attr_market_code, attr_sellout_year,
+                       CAST(NULL AS VARCHAR) AS attr_channel_level1, CAST(NULL AS VARCHAR) AS attr_channel_level2,
+                       CAST(NULL AS VARCHAR) AS attr_client_name, dq_score, invalid_rows, total_rows, invalid_value,
+                       total_value, param_date FROM ({reference_integrity_key("DQ_REF_PRODUCT")})"""]),
         "dq_ref_key_datasource": reference_integrity_key("DQ_REF_DS", fact_col="data_source", dim="fx_datasource",
                                                          dim_col="data_source_code"),
     }

@@ -7,6 +7,8 @@ ones a statement needs (dependencies first).
 
 from __future__ import annotations
 
+import re
+
 GARBLED_NBSP = "┬á"
 
 _AMOUNT = (
@@ -88,10 +90,10 @@ FIXTURES: dict[str, tuple[list[str], str]] = {
         SELECT d AS date_time, CAST(year(d) AS BIGINT) AS year, CAST(month(d) AS BIGINT) AS month,
                CAST(d - (isodow(d) - 1) * INTERVAL 1 DAY AS DATE) AS week_start_date,
                CAST(weekofyear(d) AS BIGINT) AS week_num
-        FROM (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS d
-              FROM (SELECT CAST(date_trunc('week', make_date(CAST(y - 1 AS BIGINT), 1, 1)) AS DATE) AS lo,
-                           make_date(CAST(y AS BIGINT), 12, 31) AS hi
-                    FROM (SELECT year(max(CAST(l_shipdate AS DATE))) AS y FROM lineitem)))"""),
+        FROM (SELECT CAST(unnest(generate_series(date_trunc('week', make_date(CAST(a AS BIGINT), 1, 1)),
+                                                 make_date(CAST(b AS BIGINT), 12, 31), INTERVAL 1 DAY)) AS DATE) AS d
+              FROM (SELECT year(min(CAST(l_shipdate AS DATE))) AS a, year(max(CAST(l_shipdate AS DATE))) AS b
+                    FROM lineitem))"""),
     "fx_store_start": (["fx_pos"], """
         SELECT market_code AS market, 'N' || CAST(nationkey AS VARCHAR) AS platform,
                'S' || CAST(suppkey AS VARCHAR) AS oms_store_code,
@@ -148,10 +150,53 @@ FIXTURES: dict[str, tuple[list[str], str]] = {
                     ELSE CAST(f.quantity AS BIGINT) END AS total_stock_units,
                CASE pt.p_size WHEN 1 THEN '' WHEN 2 THEN '-1' WHEN 3 THEN 'unspecified' WHEN 4 THEN NULL
                     ELSE pt.p_brand END AS brand_code,
-               1.0 + (f.suppkey % 4) * 0.25 AS conversion_rate
+               CAST(1.0 + (f.suppkey % 4) * 0.25 AS DOUBLE) AS conversion_rate,
+               'D' || CAST(f.suppkey AS VARCHAR) AS distributor_code, p.channel_level1 AS orga_region_description,
+               CASE pt.p_size % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'N' ELSE 'R' END AS orga_division,
+               '00' || CAST(f.partkey % 7 AS VARCHAR) AS signature_code, pt.p_type AS signature_desc,
+               'AX' || CAST(pt.p_size % 4 AS VARCHAR) AS axis_code, 'Axis ' || CAST(pt.p_size % 4 AS VARCHAR) AS axis_desc,
+               pt.p_brand AS brand_desc,
+               'SX' || CAST(pt.p_size % 6 AS VARCHAR) AS subaxis_code,
+               'Sub axis ' || CAST(pt.p_size % 6 AS VARCHAR) AS subaxis_desc,
+               'SB' || CAST(pt.p_size % 5 AS VARCHAR) AS subbrand_code,
+               'Sub brand ' || CAST(pt.p_size % 5 AS VARCHAR) AS subbrand_desc
         FROM fx_fact_sellout f JOIN part pt ON f.partkey = pt.p_partkey JOIN fx_pos p ON f.suppkey = p.suppkey"""),
     "fx_ref_brand": ([], "SELECT p_brand AS brand_code FROM part WHERE p_brand NOT IN ('Brand#1', 'Brand#2')"),
-    "fx_ref_rate": ([], "SELECT 1.0 + (s_suppkey % 4) * 0.25 AS exchange_rate FROM supplier WHERE s_suppkey % 4 <> 3"),
+    "fx_ref_rate": ([], """
+        SELECT CAST(1.0 + (s_suppkey % 4) * 0.25 AS DECIMAL(38,9)) AS exchange_rate FROM supplier
+        WHERE s_suppkey % 4 <> 3"""),
+    "fx_ref_product": ([], """
+        SELECT CASE p_size % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'N' END AS division_code,
+               CASE WHEN p_partkey % 7 <= 4 THEN '00' || CAST(p_partkey % 7 AS VARCHAR) END AS signature_code,
+               CASE WHEN p_size % 2 = 0 THEN p_type END AS signature_name,
+               CASE WHEN p_size % 4 < 3 THEN 'AX' || CAST(p_size % 4 AS VARCHAR) END AS axe_code,
+               CASE WHEN p_size % 4 < 3 THEN 'Axis ' || CAST(p_size % 4 AS VARCHAR) END AS axe_name,
+               CASE WHEN p_brand NOT IN ('Brand#1', 'Brand#2') THEN p_brand END AS brand_code,
+               CASE WHEN p_brand NOT IN ('Brand#1', 'Brand#2') THEN p_brand END AS brand_name,
+               CASE WHEN p_size % 6 < 4 THEN 'SX' || CAST(p_size % 6 AS VARCHAR) END AS sub_axe_code,
+               CASE WHEN p_size % 6 < 4 THEN 'Sub axis ' || CAST(p_size % 6 AS VARCHAR) END AS sub_axe_name,
+               CASE WHEN p_size % 5 <> 2 THEN 'SB' || CAST(p_size % 5 AS VARCHAR) END AS sub_brand_code,
+               CASE WHEN p_size % 5 <> 2 THEN 'Sub brand ' || CAST(p_size % 5 AS VARCHAR) END AS sub_brand_name
+        FROM part"""),
+    "fx_general_data": ([], """
+        SELECT CASE WHEN s_suppkey % 10 <> 3 THEN 'D' || CAST(s_suppkey AS VARCHAR) END
+                   AS business_partner_number_external_system,
+               CASE WHEN s_suppkey % 4 <> 1 THEN s_name END AS organization_legal_name_1
+        FROM supplier"""),
+    "fx_ref_market": ([], "SELECT r_name AS zone_code FROM region WHERE r_regionkey <> 2"),
+    "fx_fact_exact": (["fx_fact_sellout"], """
+        SELECT * REPLACE (CAST(CAST(consolidated_sales_eur AS DECIMAL(20,9))
+                               + CAST(CAST('0.123456789' AS DECIMAL(10,9)) * CAST(linenumber AS DECIMAL(2,0)) AS DECIMAL(20,9))
+                          AS DECIMAL(38,9)) AS consolidated_sales_eur) FROM fx_fact_sellout"""),
+    "fx_fact_nulls": (["fx_fact_sellout"], """
+        SELECT * REPLACE (
+            CASE WHEN partkey % 7 <> 0 THEN unique_id END AS unique_id,
+            CASE WHEN partkey % 11 <> 0 THEN product_code END AS product_code,
+            CASE WHEN partkey % 13 <> 0 THEN point_of_sale_code END AS point_of_sale_code,
+            CASE WHEN partkey % 17 <> 0 THEN data_source END AS data_source,
+            CASE WHEN partkey % 19 <> 0 THEN market_code END AS market_code,
+            CASE WHEN partkey % 23 <> 0 THEN division_code END AS division_code,
+            CASE WHEN partkey % 5 <> 0 THEN consolidated_sales_eur END AS consolidated_sales_eur) FROM fx_fact_sellout"""),
 }
 
 
@@ -169,5 +214,6 @@ def with_fixtures(body: str, *names: str, extra: list[tuple[str, str]] | None =
     for n in names:
         visit(n)
     ctes = [f"{n} AS ({FIXTURES[n][1]}\n)" for n in order]
-    ctes += [f"{n} AS ({sql}\n)" for n, sql in (extra or [])]
+    # steps that several later ones read are computed once
+    ctes += [f"{n} AS {'MATERIALIZED ' if re.search('m[1-5]$', n) else ''}({sql}\n)" for n, sql in (extra or [])]
     return "WITH " + ",\n".join(ctes) + "\n" + body

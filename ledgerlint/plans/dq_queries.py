@@ -17,6 +17,7 @@ from ledgerlint.params import RunParams
 from ledgerlint.plans import registry as reg
 from ledgerlint.plans import rules as R
 from ledgerlint.sources.fixtures import FixtureSet, dim_pos
+from ledgerlint.sources.sinks import append_results, stage_path
 
 RUN_TS = dt.datetime(2001, 8, 31, 6, 0, 0)
 PARAM_DATE = "2001-08-31"
@@ -157,7 +158,7 @@ def q_empty_cross(spark, d):
 
 
 def q_ref_stock_rate(spark, d):
-    """R2 on a numeric struct value (conversion rate), compared as text."""
+    """R2 on a numeric struct value: DOUBLE conversion rates against DECIMAL(38,9) reference rates."""
     r = R.reference_integrity_stock(spark, _p("DQ_REF_RATE"), _fx(spark, d).stock(), _fx(spark, d).ref_rate(),
                                     "CURRENCY.conversion_rate", STOCK_YEAR)
     return flatten_result(r, R.STOCK_KEYS)
@@ -173,6 +174,70 @@ def q_ref_key_product(spark, d):
     return flatten_result(r, R.INTEGRITY_KEYS)
 
 
+def _union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def q_ref_stock_catalogue(spark, d):
+    """R2 for every path of the catalogue."""
+    f = _fx(spark, d)
+    refs = {reg.GENERAL_DATA: f.general_data(), reg.EXCHANGE_RATE: f.ref_rate(), reg.DIM_MARKET: f.ref_market(),
+            reg.REF_PRODUCT: f.ref_product()}
+    return flatten_result(_union([
+        R.reference_integrity_stock(spark, _p("DQ_REF_" + path), f.stock(), refs[ref.table], path, STOCK_YEAR)
+        for path, ref in reg.STOCK_REFERENCES.items()]), R.STOCK_KEYS)
+
+
+#: The condition of the attribute catalogue query, for every entry.
+ATTR_CONDITION = "source_column IS NULL OR source_column = '' OR source_column LIKE '%1%'"
+
+
+def q_attr_catalogue(spark, d):
+    """R1 for every entry of the attribute catalogue."""
+    tables = _tables(spark, d)
+    return flatten_result(_union([
+        R.attribute_condition(spark, _p(f"DQ_ATTR_{column}"), tables, table, column, ATTR_CONDITION)
+        for table, columns in reg.ATTRIBUTE_SOURCES.items() for column in columns]), R.SELLOUT_KEYS)
+
+
+def q_ref_key_pos(spark, d):
+    """R3 on the point-of-sale key, with NULL keys in the fact."""
+    tables = _tables(spark, d) | {reg.FACT_SELLOUT: _fx(spark, d).fact_nulls()}
+    r = R.reference_integrity_key(spark, _p("DQ_REF_POS"), tables, "POINT_OF_SALE.point_of_sale_code")
+    return flatten_result(r, R.INTEGRITY_KEYS)
+
+
+def q_uniq_1032_exact(spark, d):
+    """R5 on a DECIMAL(38,9) measure that uses all nine decimals, values compared as decimal text."""
+    r = R.product_uniqueness_sellout(spark, _p("DQ1032"), _fx(spark, d).fact_exact(), _fx(spark, d).product(),
+                                     _pos(_fx(spark, d)))
+    return flatten_result(r, R.SELLOUT_KEYS, exact=True)
+
+
+def q_uniq_1032_nulls(spark, d):
+    """R5 with NULL keys, markets, divisions and measures in the fact."""
+    r = R.product_uniqueness_sellout(spark, _p("DQ1032"), _fx(spark, d).fact_nulls(), _fx(spark, d).product(),
+                                     _pos(_fx(spark, d)))
+    return flatten_result(r, R.SELLOUT_KEYS)
+
+
+def q_uniq_1091_nulls(spark, d):
+    """R8 with NULL ``unique_id`` (one group of equal keys), markets, divisions and measures."""
+    r = R.fact_uniqueness_sellout(spark, _p("DQ1091"), _fx(spark, d).fact_nulls(), _pos(_fx(spark, d)))
+    return flatten_result(r, R.SELLOUT_KEYS)
+
+
+def q_append_two_runs(spark, d):
+    """R8 and R3 appended to one result table, read back."""
+    path = stage_path(spark, "dq-results")
+    append_results(R.fact_uniqueness_sellout(spark, _p("DQ1091"), _fx(spark, d).fact_sellout(), _pos(_fx(spark, d))), path)
+    append_results(R.reference_integrity_key(spark, _p("DQ_REF_PRODUCT"), _tables(spark, d), "PRODUCT.product_code"), path)
+    return flatten_result(spark.read.parquet(path), R.SELLOUT_KEYS)
+
+
 def queries() -> dict[str, Query]:
     return {
         "dq_uniq_1091": q_uniq_1091,
@@ -196,4 +261,11 @@ def queries() -> dict[str, Query]:
         "dq_attr_pos": q_attr_pos,
         "dq_ref_stock_rate": q_ref_stock_rate,
         "dq_ref_key_datasource": q_ref_key_datasource,
+        "dq_ref_stock_catalogue": q_ref_stock_catalogue,
+        "dq_attr_catalogue": q_attr_catalogue,
+        "dq_ref_key_pos": q_ref_key_pos,
+        "dq_uniq_1032_exact": q_uniq_1032_exact,
+        "dq_uniq_1032_nulls": q_uniq_1032_nulls,
+        "dq_uniq_1091_nulls": q_uniq_1091_nulls,
+        "dq_append_two_runs": q_append_two_runs,
     }

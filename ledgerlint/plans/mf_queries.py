@@ -8,19 +8,19 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlint.functions.normalize import normalize_ean, normalize_product_code, prefixed_product_key
-from ledgerlint.operators.merge import merge_status
 from ledgerlint.plans import missing_files as mf
 from ledgerlint.sources.fixtures import FixtureSet, dim_pos
-from ledgerlint.sources.sinks import stage
+from ledgerlint.sources.sinks import StatusTable, stage_path
 
 AS_OF = dt.date(2001, 8, 15)
 AS_OF_FIRST_RUN = dt.date(2001, 6, 15)
-FLOOR = 2000
+FLOOR = 1996
 RUN1_TS = dt.datetime(2001, 6, 15, 6, 0, 0)
 RUN2_TS = dt.datetime(2001, 8, 15, 6, 0, 0)
 SP = mf.SP.with_floor(FLOOR)
@@ -83,6 +83,12 @@ def q_deliveries(spark, d):
     return run(spark, d).deliveries.select(*D8, _d("sellout_date"), "data_source_frequency")
 
 
+def q_deliveries_nulls(spark, d):
+    """M1 on a fact with NULL markets, divisions, stores and sources."""
+    inp = replace(inputs(spark, d), fact=FixtureSet.of(spark, d).fact_nulls())
+    return mf.deliveries(inp, SP, AS_OF).select(*D8, _d("sellout_date"), "data_source_frequency")
+
+
 def q_pos(spark, d):
     return run(spark, d).pos
 
@@ -184,15 +190,17 @@ def q_final_mfs(spark, d):
 
 
 def q_merge(spark, d):
-    """Two upserts: into an empty status table (first as-of date), then with the second as-of date.
+    """Two upserts into a status table: the first as-of date's result into an empty one, then the second's.
 
-    Each run's result is staged (M21: checkpointed to the session's checkpoint
-    folder) so the duplicate-key check and the merge read it instead of
-    recomputing the pipeline.
+    Goes through the real sink (stage, merge, snapshot, manifest), in a new table below
+    the checkpoint folder.  Both runs share one M1, which doesn't depend on the as-of date.
     """
-    first, second = (stage(run(spark, d, SP, as_of).result) for as_of in (AS_OF_FIRST_RUN, AS_OF))
-    snap1 = merge_status(None, first, RUN1_TS)
-    snap2 = merge_status(snap1, second, RUN2_TS)
+    table = StatusTable(spark, stage_path(spark, "status-table"))
+    second = run(spark, d, SP)
+    first = mf.missing_files(inputs(spark, d), AS_OF_FIRST_RUN, SP, m1=second.deliveries)
+    table.upsert(first.result, RUN1_TS)
+    table.upsert(second.result, RUN2_TS)
+    snap2 = table.read()
     return snap2.select(
         *[c for c in snap2.columns if not c.endswith("_timestamp")],
         F.date_format("last_updated_timestamp", "yyyy-MM-dd HH:mm:ss").alias("last_updated_timestamp"),
@@ -220,6 +228,7 @@ def q_norm_product(spark, d):
 def queries() -> dict[str, Query]:
     return {
         "mf_deliveries": q_deliveries,
+        "mf_deliveries_nulls": q_deliveries_nulls,
         "mf_pos": q_pos,
         "mf_calendar": q_calendar,
         "mf_active": q_active,

@@ -168,6 +168,8 @@ def deliveries(inp: MissingFileInputs, cfg: MissingFileConfig, as_of: dt.date) -
     )
     pos = inp.pos.select(F.col("point_of_sale_code").alias("_pos"), "client_name", "channel_level1",
                          "channel_level2")
+    # DISTINCT before the joins: they then see one row per store-day and source, not per fact row.
+    f = f.distinct()
     j = f.join(ds, f.data_source == ds.data_source_code).join(pos, F.col("point_of_sale_code") == F.col("_pos"))
     freq = F.upper("data_source_frequency") if cfg.upper_frequency else F.col("data_source_frequency")
     return j.select(*DELIVERY, freq.alias("data_source_frequency")).distinct()
@@ -268,7 +270,7 @@ def expected_monthly(m5: DataFrame, months: DataFrame, cfg: MissingFileConfig) -
     """M8: store x calendar months on or after the start (MFS adds the list [1])."""
     stores = m5.filter(F.col("data_source_frequency") == cfg.monthly)
     j = cal.months_from_start(stores, months, "effective_store_start_date")
-    out = by_store_month(j.select(*EXPECTED_KEYS)).distinct()
+    out = by_store_month(j.select(*EXPECTED_KEYS).distinct())
     if not cfg.monthly_by_count:
         out = out.withColumn("expected_array", F.array(F.lit(1).cast("bigint")))
     return out
@@ -343,14 +345,20 @@ def sku_traffic_zero_sales(inp: MissingFileInputs, cfg: MissingFileConfig, m2: D
         F.lit("ECOMM_SKU_TRAFFIC").alias("source_project"),
         "gross_sales", "gross_sold_units", "gross_orders",
     )
+    # One row per store-day before POS is joined; duplicate POS rows then repeat its sums, summed again below.
+    day = ["market_code", "division_code", "source_project", "point_of_sale_code", "date_id"]
+    measures = ["gross_sales", "gross_sold_units", "gross_orders"]
+    src = src.groupBy(*day).agg(*[F.sum(c).alias(c) for c in measures])
+    types = {f.name: f.dataType.simpleString() for f in src.schema.fields}
     pos = m2.select(F.col("point_of_sale_code").alias("_pos"), "client_name", "channel_level1", "channel_level2")
     j = src.join(pos, src.point_of_sale_code == pos._pos).join(active, store_key() == active.unq_col, "left_semi")
     g = j.groupBy(
         "market_code", "division_code", "source_project", "point_of_sale_code", F.col("date_id").alias("sellout_date"),
         "client_name", "channel_level1", "channel_level2",
     ).agg(
-        F.sum("gross_sales").alias("sales"), F.sum("gross_sold_units").alias("units"),
-        F.sum("gross_orders").alias("orders"),
+        F.sum("gross_sales").cast(types["gross_sales"]).alias("sales"),
+        F.sum("gross_sold_units").cast(types["gross_sold_units"]).alias("units"),
+        F.sum("gross_orders").cast(types["gross_orders"]).alias("orders"),
     )
     return g.filter((F.col("sales") == 0) | (F.col("units") == 0) | (F.col("orders") == 0))
 
@@ -376,7 +384,7 @@ def available_weekly(m1: DataFrame, m3: DataFrame, cfg: MissingFileConfig, as_of
     lo, hi = weekly_window(cfg, as_of)
     f = m1.filter((F.col("data_source_frequency") == cfg.weekly) & F.col("sellout_date").between(lo, hi))
     c = m3.select("cal_date", "week_start_date", "week_num")
-    j = f.join(F.broadcast(c), f.sellout_date == c.cal_date)
+    j = f.join(c, f.sellout_date == c.cal_date)
     agg = F.collect_list("week_num") if cfg.weekly_available_bag else F.collect_set("week_num")
     j = j.withColumn("year", bigint(F.year("week_start_date"))).withColumn("month", bigint(F.month("week_start_date")))
     out = by_store_month(j).groupBy(*AVAILABLE_KEYS).agg(F.sort_array(agg).alias("available_array"))
@@ -389,7 +397,7 @@ def available_monthly(m1: DataFrame, cfg: MissingFileConfig) -> DataFrame:
     out = by_store_month(m1.filter(F.col("data_source_frequency") == cfg.monthly).select(
         "market_code", "division_code", "point_of_sale_code", bigint(F.year(d)).alias("year"),
         bigint(F.month(d)).alias("month"), "client_name", "source_project", "channel_level1", "channel_level2",
-    )).distinct()
+    ).distinct())
     if not cfg.monthly_by_count:
         out = out.withColumn("available_array", F.array(F.lit(1).cast("bigint")))
     return out
@@ -469,17 +477,27 @@ class MissingFileSteps:
     missing: DataFrame
     before_start: DataFrame
     result: DataFrame
+    staged: tuple[str, ...] = ()
+
+    def close(self) -> None:
+        """Release the cached steps (M1, M4, M5) and delete what this run staged; its frames can't be read after that."""
+        from ledgerlint.sources.sinks import remove_path
 
-    def unpersist(self) -> None:
-        """Release the cached steps (M1, M4, M5) when they were persisted rather than staged."""
         for df in (self.deliveries, self.active, self.starts):
             df.unpersist()
+        for path in self.staged:
+            remove_path(self.result.sparkSession, path)
+
+    unpersist = close
 
 
 def missing_files(inp: MissingFileInputs, as_of: dt.date, cfg: MissingFileConfig = SP,
-                  materialize: str = "stage") -> MissingFileSteps:
+                  materialize: str = "stage", m1: DataFrame | None = None) -> MissingFileSteps:
     """Run M1-M20 for one as-of date; ``.result`` holds the 12 result columns.
 
+    A preset with a fact floor (SP) has the same M1 for every as-of date: pass the
+    ``deliveries`` of an earlier run as ``m1`` and the fact isn't scanned again.
+
     M1 (distinct store-days, read by five steps), M4 (active stores) and M5
     (one row per store) feed several later steps.  ``materialize`` decides
     how they are kept:
@@ -491,16 +509,21 @@ def missing_files(inp: MissingFileInputs, as_of: dt.date, cfg: MissingFileConfig
       one row per store and cheap to rebuild from M1, are persisted;
     - ``"none"``: everything stays one lazy plan.
     """
+    staged: list[str] = []
+
     def keep(df: DataFrame, name: str, small: bool) -> DataFrame:
         if materialize == "stage" and not small:
-            from ledgerlint.sources.sinks import stage
+            from ledgerlint.sources.sinks import stage, stage_path
 
-            return stage(df, f"missing-files-{name}")
+            staged.append(stage_path(df.sparkSession, f"missing-files-{name}"))
+            return stage(df, path=staged[-1])
         if materialize in ("stage", "persist"):
             return df.persist()
         return df
 
-    m1 = keep(deliveries(inp, cfg, as_of), "m1", small=False)
+    if m1 is not None and not cfg.fact_floor:
+        raise ValueError(f"{cfg.name} deliveries depend on the as-of date; m1 can't be shared")
+    m1 = keep(deliveries(inp, cfg, as_of), "m1", small=False) if m1 is None else m1
     m2 = pos_attributes(inp, cfg)
     m3 = complete_months_calendar(inp, cfg, as_of)
     m4 = keep(active_stores(m1, as_of), "m4", small=True)
@@ -528,5 +551,5 @@ def missing_files(inp: MissingFileInputs, as_of: dt.date, cfg: MissingFileConfig
         deliveries=m1, pos=m2, calendar=m3, active=m4, starts=m5, expected_daily=e_d, expected_weekly=e_w,
         expected_monthly=e_m, zero_marketplace=m9, zero_sku_traffic=m10, available_daily=a_d,
         available_weekly=a_w, available_monthly=a_m, missing=flagged, before_start=m19,
-        result=flagged.unionByName(m19),
+        result=flagged.unionByName(m19), staged=tuple(staged),
     )

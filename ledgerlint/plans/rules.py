@@ -3,9 +3,10 @@
 Plan shape shared by all rules: scan the fact with only the columns the rule
 needs (Catalyst prunes the rest), join small dimensions (broadcast when their
 measured size is under the threshold, shuffled otherwise), and aggregate to
-one row per attribute group with map-side partial aggregation.  Only the
-fact-keyed uniqueness rules (R8, R10) must shuffle the fact itself, and they
-pre-aggregate it first (see ``operators.keycount.fact_key_count``).
+one row per attribute group with map-side partial aggregation.  The rules on a
+dimension key (R5-R7, R9, R11, R12) reduce the fact to one row per store and key
+before any join; those on the fact's own key (R8, R10) count the keys from a scan
+of that column alone (see ``operators.keycount.fact_key_count``).
 
 The uniqueness rules (fixed condition ``cnt > 1``) aggregate per store before
 joining the POS or distributor hierarchy, whose key is a group key: the
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ledgerlint.functions.scalar import abs_measure, year_text
 from ledgerlint.operators.enrich import enrich_distributor, enrich_pos
-from ledgerlint.operators.keycount import CNT, fact_key_count, join_key_counts
+from ledgerlint.operators.keycount import CNT, ROWS, fact_key_count, join_key_counts
 from ledgerlint.operators.measure import combine_measures, finalize, measure
 from ledgerlint.params import RunParams
 from ledgerlint.plans import registry as reg
@@ -98,7 +99,11 @@ def key_uniqueness(
     )
     store_grain = ["division_code", "market_code", year_name, entity]
     if dim is not None:
-        keyed = join_key_counts(base, fact_key, dim, dim_key or fact_key, how=how)
+        # One row per store and key before the dimension is joined: a dimension too large
+        # to broadcast then shuffles those, pre-aggregated in each task, not the fact's rows.
+        grain = [*store_grain, *([fact_key] if fact_key not in store_grain else [])]
+        rows = base.groupBy(*grain).agg(F.count(F.lit(1)).alias(ROWS), F.sum("soval").alias("soval"))
+        keyed = join_key_counts(rows, fact_key, dim, dim_key or fact_key, how=how)
     else:
         keyed = fact_key_count(base, fact_key, store_grain, ["soval"])
     # Eager aggregation: the measures per store first, then the hierarchy join on one row per store.
@@ -248,8 +253,9 @@ def reference_integrity_stock(
 
     Invalid when unmatched, NULL, ``''``, ``'-1'`` or ``'unspecified'``.  Only
     rows of ``year`` count; the filter is a date range so parquet statistics
-    can skip row groups.  Values compare as text (numeric columns included).
-    No row is produced for an empty input.
+    can skip row groups.  Values compare in their own, coerced types, so numbers
+    of different types match by value; the blank tests read their text.  No row is
+    produced for an empty input.
     """
     ref_col = reference_column or reg.STOCK_REFERENCES[source_column].column
     d = F.col("tech_period_end_date")
@@ -262,12 +268,12 @@ def reference_integrity_stock(
         F.col("DISTRIBUTOR.distributor_name").alias("client_name"),
         F.col("METADATA_TECHNICAL.data_file_provider").alias("data_source"),
         F.lit("Distributor").alias("source_type"),
-        F.col(source_column).cast("string").alias("source_column"),
+        F.col(source_column).alias("source_column"),
         abs_measure("FACT_VALUE.total_stock_units", null_as_zero=False).alias("total_units"),
     )
-    ref = reference.select(F.col(ref_col).cast("string").alias("parent_column")).distinct()
+    ref = reference.select(F.col(ref_col).alias("parent_column")).distinct()
     j = src.join(ref, src["source_column"] == ref["parent_column"], "left")
-    s = F.col("source_column")
+    s = F.col("source_column").cast("string")
     invalid = F.col("parent_column").isNull() | _is_blank_key(s, ("-1", "unspecified"))
     agg = measure(j, STOCK_KEYS, invalid, F.col("total_units"))
     return finalize(spark, agg, params, STOCK_ATTRS, keep_empty=False)

@@ -225,14 +225,13 @@ def calendar_between(spark: SparkSession, lo: str, hi: str) -> DataFrame:
 
 
 def fx_calendar(spark: SparkSession, d: str) -> DataFrame:
-    """One row a day from the Monday before the year preceding the last shipment to that year's end."""
-    last = read_table(spark, d, "lineitem").agg(F.max(F.to_date("l_shipdate")).alias("last"))
-    y = F.year("last")
-    bounds = last.select(
-        F.trunc(F.make_date(y - 1, F.lit(1), F.lit(1)), "week").alias("lo"),
-        F.make_date(y, F.lit(12), F.lit(31)).alias("hi"),
-    )
-    return calendar_days(bounds)
+    """One row a day over the whole fact: from the Monday before the first shipment's year to the last one's end."""
+    ship = F.to_date("l_shipdate")
+    ends = read_table(spark, d, "lineitem").agg(F.year(F.min(ship)).alias("a"), F.year(F.max(ship)).alias("b"))
+    return calendar_days(ends.select(
+        F.trunc(F.make_date(F.col("a"), F.lit(1), F.lit(1)), "week").alias("lo"),
+        F.make_date(F.col("b"), F.lit(12), F.lit(31)).alias("hi"),
+    ))
 
 
 def fx_store_start(pos: DataFrame) -> DataFrame:
@@ -352,21 +351,78 @@ def fx_stock(spark: SparkSession, d: str, f: DataFrame, pos: DataFrame) -> DataF
         F.struct(
             _pick(size % 3, DIVISION_BY_MOD3).alias("orga_division"),
             F.concat(F.lit("00"), _s(F.col("partkey") % 7)).alias("signature_code"),
+            F.col("p_type").alias("signature_desc"),
+            F.concat(F.lit("AX"), _s(size % 4)).alias("axis_code"),
+            F.concat(F.lit("Axis "), _s(size % 4)).alias("axis_desc"),
             brand.alias("brand_code"),
             F.col("p_brand").alias("brand_desc"),
+            F.concat(F.lit("SX"), _s(size % 6)).alias("subaxis_code"),
+            F.concat(F.lit("Sub axis "), _s(size % 6)).alias("subaxis_desc"),
+            F.concat(F.lit("SB"), _s(size % 5)).alias("subbrand_code"),
+            F.concat(F.lit("Sub brand "), _s(size % 5)).alias("subbrand_desc"),
         ).alias("PRODUCT"),
         F.struct((F.lit(1.0) + (F.col("suppkey") % 4) * F.lit(0.25)).alias("conversion_rate")).alias("CURRENCY"),
     )
 
 
 def fx_ref_rate(spark: SparkSession, d: str) -> DataFrame:
-    """Reference exchange rates: the rates of supplier keys 0-2 modulo 4 (rate 1.75 is an orphan)."""
+    """Reference exchange rates, DECIMAL(38,9): those of supplier keys 0-2 modulo 4 (rate 1.75 is an orphan)."""
     s = read_table(spark, d, "supplier").select("s_suppkey")
     return s.filter(F.col("s_suppkey") % 4 != 3).select(
-        (F.lit(1.0) + (F.col("s_suppkey") % 4) * F.lit(0.25)).alias("exchange_rate")
+        (F.lit(1.0) + (F.col("s_suppkey") % 4) * F.lit(0.25)).cast("decimal(38,9)").alias("exchange_rate")
+    )
+
+
+def fx_ref_product(spark: SparkSession, d: str) -> DataFrame:
+    """Reference products with every catalogued column; some values are left out (NULL), so stock rows are orphans."""
+    p, size = _part(spark, d), F.col("p_size")
+    sig = F.col("p_partkey") % 7
+    known = ~F.col("p_brand").isin("Brand#1", "Brand#2")
+    return p.select(
+        F.when(size % 3 < 2, _pick(size % 3, DIVISION_BY_MOD3)).alias("division_code"),
+        F.when(sig <= 4, F.concat(F.lit("00"), _s(sig))).alias("signature_code"),
+        F.when(size % 2 == 0, F.col("p_type")).alias("signature_name"),
+        F.when(size % 4 < 3, F.concat(F.lit("AX"), _s(size % 4))).alias("axe_code"),
+        F.when(size % 4 < 3, F.concat(F.lit("Axis "), _s(size % 4))).alias("axe_name"),
+        F.when(known, F.col("p_brand")).alias("brand_code"),
+        F.when(known, F.col("p_brand")).alias("brand_name"),
+        F.when(size % 6 < 4, F.concat(F.lit("SX"), _s(size % 6))).alias("sub_axe_code"),
+        F.when(size % 6 < 4, F.concat(F.lit("Sub axis "), _s(size % 6))).alias("sub_axe_name"),
+        F.when(size % 5 != 2, F.concat(F.lit("SB"), _s(size % 5))).alias("sub_brand_code"),
+        F.when(size % 5 != 2, F.concat(F.lit("Sub brand "), _s(size % 5))).alias("sub_brand_name"),
     )
 
 
+def fx_general_data(spark: SparkSession, d: str) -> DataFrame:
+    s = read_table(spark, d, "supplier").select("s_suppkey", "s_name")
+    return s.select(
+        F.when(F.col("s_suppkey") % 10 != 3, F.concat(F.lit("D"), _s(F.col("s_suppkey")))).alias("business_partner_number_external_system"),
+        F.when(F.col("s_suppkey") % 4 != 1, F.col("s_name")).alias("organization_legal_name_1"),
+    )
+
+
+def fx_ref_market(spark: SparkSession, d: str) -> DataFrame:
+    return read_table(spark, d, "region").filter(F.col("r_regionkey") != 2).select(F.col("r_name").alias("zone_code"))
+
+
+def fx_fact_exact(fact: DataFrame) -> DataFrame:
+    """The sell-out fact with a DECIMAL(38,9) measure that uses all nine decimals."""
+    nine = F.lit("0.123456789").cast("decimal(10,9)") * F.col("linenumber").cast("decimal(2,0)")
+    return fact.withColumn("consolidated_sales_eur",
+                           (F.col("consolidated_sales_eur").cast("decimal(20,9)") + nine).cast("decimal(38,9)"))
+
+
+def fx_fact_nulls(fact: DataFrame) -> DataFrame:
+    """The sell-out fact with NULL keys, markets, sources and measures."""
+    k = F.col("partkey")
+    def hole(c: str, n: int):
+        return F.when(k % n != 0, F.col(c)).alias(c)
+
+    holes = {"unique_id": 7, "product_code": 11, "point_of_sale_code": 13, "data_source": 17, "market_code": 19,
+             "division_code": 23, "consolidated_sales_eur": 5}
+    return fact.select(*[hole(c, holes[c]) if c in holes else F.col(c) for c in fact.columns])
+
+
 def fx_ref_brand(spark: SparkSession, d: str) -> DataFrame:
     """Reference product table: every brand except two, so some stock rows are orphans."""
     p = _part(spark, d)
@@ -478,6 +534,21 @@ class FixtureSet:
     def stock(self) -> DataFrame:
         return self._get("stock", lambda: fx_stock(self.spark, self.d, self.fact_sellout(), self.pos()), large=True)
 
+    def ref_product(self) -> DataFrame:
+        return self._get("ref_product", lambda: fx_ref_product(self.spark, self.d))
+
+    def general_data(self) -> DataFrame:
+        return self._get("general_data", lambda: fx_general_data(self.spark, self.d))
+
+    def ref_market(self) -> DataFrame:
+        return self._get("ref_market", lambda: fx_ref_market(self.spark, self.d))
+
+    def fact_exact(self) -> DataFrame:
+        return fx_fact_exact(self.fact_sellout())
+
+    def fact_nulls(self) -> DataFrame:
+        return fx_fact_nulls(self.fact_sellout())
+
     def ref_brand(self) -> DataFrame:
         return self._get("ref_brand", lambda: fx_ref_brand(self.spark, self.d))
 

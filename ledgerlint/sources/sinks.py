@@ -11,6 +11,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,24 +23,50 @@ def append_results(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def stage(df: DataFrame, name: str = "staged") -> DataFrame:
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library has written (local or on the cluster's file system)."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def stage_path(spark: SparkSession, name: str = "staged") -> str:
+    """A fresh path for one staged result, below the session's checkpoint folder."""
+    from ledgerlint.session import ensure_checkpoint_dir
+
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/staged/{name}-{uuid.uuid4().hex}"
+
+
+def stage(df: DataFrame, name: str = "staged", path: str | None = None) -> DataFrame:
     """Write a result once as parquet under the session's checkpoint folder and read it back.
 
     This cuts the lineage like ``checkpoint()`` but computes the plan only
     once (a reliable RDD checkpoint of an uncached plan computes it twice) and
     keeps file statistics for the planner.  On a cluster the checkpoint folder
-    is the shared one named by ``spark.checkpoint.dir``.
+    is the shared one named by ``spark.checkpoint.dir``.  A caller that passes
+    ``path`` (from ``stage_path``) can delete it with ``remove_path`` when done.
     """
-    from ledgerlint.session import ensure_checkpoint_dir
-
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/staged/{name}-{uuid.uuid4().hex}"
+    path = path or stage_path(spark, name)
     df.write.parquet(path)
     return spark.read.parquet(path)
 
 
+class ConcurrentUpsert(RuntimeError):
+    """Another upsert committed the version that this one was about to commit."""
+
+
 class StatusTable:
-    """Versioned status table under ``root``: ``v000001/``, ``v000002/`` ... and ``_manifest/``."""
+    """Versioned status table under ``root``: one folder for each attempt in ``data/``, and ``_manifest/``.
+
+    An attempt writes a folder of its own and then appends one manifest row with
+    the version and that folder.  Readers only follow the manifest, so an attempt
+    that died before its manifest row is never seen and never in the way of the
+    next one.  Of two rows for one version the earlier commit counts.
+    ``vacuum`` deletes what the manifest's newest versions don't need.
+    """
+
+    MANIFEST = "version bigint, path string, committed_at timestamp"
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -48,39 +75,67 @@ class StatusTable:
 
     def _versions(self) -> DataFrame | None:
         try:
-            return self.spark.read.parquet(self.manifest)
-        except Exception as e:  # no manifest yet: the table is empty
-            if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+            return self.spark.read.schema(self.MANIFEST).parquet(self.manifest)
+        except AnalysisException as e:  # no manifest yet: the table is empty
+            if e.getCondition() == "PATH_NOT_FOUND":
                 return None
             raise
 
     def current_version(self) -> int:
         v = self._versions()
-        if v is None:
-            return 0
-        row = v.agg(F.max("version").alias("v")).first()
-        return int(row["v"] or 0)
+        return 0 if v is None else int(v.agg(F.max("version").alias("v")).first()["v"] or 0)
+
+    def _folder(self, version: int) -> str:
+        row = self._versions().filter(F.col("version") == version).orderBy("committed_at", "path").first()
+        return f"{self.root}/{row['path']}"
 
     def read(self, version: int | None = None) -> DataFrame:
         version = self.current_version() if version is None else version
         if version == 0:
             return self.spark.createDataFrame([], STATUS_SCHEMA)
-        return self.spark.read.parquet(f"{self.root}/v{version:06d}")
+        return self.spark.read.parquet(self._folder(version))
+
+    def write_attempt(self, source: DataFrame, run_ts: dt.datetime | str, current: int) -> str:
+        """Merge ``source`` into version ``current`` and write the outcome to a folder of its own; not yet visible."""
+        staged_at = stage_path(self.spark, "status-source")
+        try:
+            staged = stage(source, path=staged_at)
+            merged = merge_status(self.read(current) if current else None, staged, run_ts)
+            attempt = f"data/{uuid.uuid4().hex}"
+            merged.write.mode("errorifexists").parquet(f"{self.root}/{attempt}")
+        finally:
+            remove_path(self.spark, staged_at)
+        return attempt
+
+    def commit(self, attempt: str, current: int) -> int:
+        """Make an attempt on top of ``current`` visible as the next version."""
+        if self.current_version() != current:
+            raise ConcurrentUpsert(f"version {current + 1} exists already; upsert again")
+        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        entry = self.spark.createDataFrame([(current + 1, attempt, now)], self.MANIFEST)
+        entry.coalesce(1).write.mode("append").parquet(self.manifest)
+        return current + 1
 
     def upsert(self, source: DataFrame, run_ts: dt.datetime | str) -> int:
         """Stage ``source``, merge it into the current snapshot, write the next one; return its version."""
         current = self.current_version()
-        target = self.read(current) if current else None
-        staged = stage(source, "status-source")
-        merged = merge_status(target, staged, run_ts)
-        nxt = current + 1
-        merged.write.mode("errorifexists").parquet(f"{self.root}/v{nxt:06d}")
-        entry = self.spark.createDataFrame(
-            [(nxt, f"v{nxt:06d}", dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))],
-            "version bigint, path string, committed_at timestamp",
-        )
-        entry.coalesce(1).write.mode("append").parquet(self.manifest)
-        return nxt
+        return self.commit(self.write_attempt(source, run_ts, current), current)
+
+    def vacuum(self, keep: int = 2) -> list[str]:
+        """Delete the folders of all but the ``keep`` newest versions and of attempts without a manifest row.
+
+        Not to be run beside an upsert.  Returns the deleted folders.
+        """
+        current = self.current_version()
+        needed = {self._folder(v) for v in range(max(1, current - keep + 1), current + 1)}
+        jvm = self.spark.sparkContext._jvm
+        top = jvm.org.apache.hadoop.fs.Path(f"{self.root}/data")
+        fs = top.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        folders = [f"{self.root}/data/{f.getPath().getName()}" for f in fs.listStatus(top)] if fs.exists(top) else []
+        gone = sorted(f for f in folders if f not in needed)
+        for f in gone:
+            remove_path(self.spark, f)
+        return gone
 
 
 def timestamp_view(spark: SparkSession, name: str = "missing") -> DataFrame:

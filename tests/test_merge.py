@@ -7,7 +7,8 @@ import tempfile
 import pytest
 
 from ledgerlint.operators.merge import DuplicateSourceKeys, merge_status
-from ledgerlint.sources.sinks import StatusTable
+from ledgerlint.session import ensure_checkpoint_dir
+from ledgerlint.sources.sinks import ConcurrentUpsert, StatusTable
 
 SRC = ("market_code string, division_code string, point_of_sale_code string, client_name string, "
        "source_project string, year bigint, month bigint, channel_level1 string, channel_level2 string, "
@@ -75,3 +76,51 @@ def test_status_table_snapshots(spark):
     assert as_map(table.read(1)) == {("A", "p", 1): (3, 1, T1, T1)}
     assert table.upsert(src(spark, [("A", "p", 1, 5, 1)]), T3) == 3
     assert as_map(table.read())[("A", "p", 1)] == (5, 1, T2, T3)
+
+
+def _new_table(spark):
+    return StatusTable(spark, os.path.join(tempfile.mkdtemp(prefix="ledgerlint-status-", dir="/tmp"), "status"))
+
+
+def test_upsert_goes_on_after_a_crash_before_the_commit(spark):
+    table = _new_table(spark)
+    table.upsert(src(spark, [("A", "p", 1, 3, 1)]), T1)
+    table.write_attempt(src(spark, [("A", "p", 1, 9, 1)]), T2, 1)  # died before the manifest row
+    assert table.current_version() == 1 and as_map(table.read()) == {("A", "p", 1): (3, 1, T1, T1)}
+    assert table.upsert(src(spark, [("A", "p", 1, 5, 1)]), T3) == 2
+    assert as_map(table.read()) == {("A", "p", 1): (5, 1, T3, T3)}
+
+
+def test_upsert_goes_on_after_a_crash_inside_the_data_write(spark):
+    table = _new_table(spark)
+    os.makedirs(os.path.join(table.root, "data", "half", "_temporary"))
+    assert table.upsert(src(spark, [("A", "p", 1, 3, 1)]), T1) == 1
+    assert table.vacuum() == [f"{table.root}/data/half"]
+
+
+def test_a_version_is_committed_once(spark):
+    table = _new_table(spark)
+    a = table.write_attempt(src(spark, [("A", "p", 1, 3, 1)]), T1, 0)
+    b = table.write_attempt(src(spark, [("A", "p", 1, 4, 1)]), T1, 0)
+    assert table.commit(a, 0) == 1
+    with pytest.raises(ConcurrentUpsert):
+        table.commit(b, 0)
+    assert as_map(table.read()) == {("A", "p", 1): (3, 1, T1, T1)}
+
+
+def test_vacuum_keeps_the_newest_versions_and_staged_data_is_removed(spark):
+    table = _new_table(spark)
+    folder = os.path.join(ensure_checkpoint_dir(spark).removeprefix("file:"), "staged")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    for i, ts in enumerate((T1, T2, T3)):
+        table.upsert(src(spark, [("A", "p", 1, i, 1)]), ts)
+    assert set(os.listdir(folder)) == before
+    assert len(table.vacuum(keep=2)) == 1 and len(os.listdir(os.path.join(table.root, "data"))) == 2
+    assert as_map(table.read(2))[("A", "p", 1)][0] == 1 and as_map(table.read())[("A", "p", 1)][0] == 2
+
+
+def test_repeated_source_rows_raise_even_if_they_change_nothing(spark):
+    """The reference's MERGE has one update clause; which row would win is undefined, so any repeat is refused."""
+    s1 = merge_status(None, src(spark, [("A", "p", 1, 3, 1)]), T1)
+    with pytest.raises(DuplicateSourceKeys):
+        merge_status(s1, src(spark, [("A", "p", 1, 3, 1), ("A", "p", 1, 3, 1)]), T2)

@@ -1,14 +1,46 @@
-"""Plan guards: no Cartesian product in any registered query."""
+"""Plan guards on the registered rule and pipeline queries."""
+
+import re
 
 import pytest
 
 import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.001"
+NAMES = sorted(n for n in entry.queries() if n.startswith(("dq_", "mf_")))
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
-def test_no_cartesian_product(spark, name):
+@pytest.mark.parametrize("name", NAMES)
+def test_no_cartesian_product_and_no_broadcast_of_an_aggregate(spark, name):
     df = entry.queries()[name](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan
+    if name.startswith("dq_"):
+        # the one loop join left asks whether the result is empty: its broadcast side is one row
+        lines = plan.splitlines()
+        for i, line in enumerate(lines):
+            if "BroadcastNestedLoopJoin" in line:
+                assert "LeftAnti" in line
+                below = "\n".join(lines[i: i + 12])
+                assert re.search(r"BroadcastExchange[^\n]*\n[^\n]*(Project|GlobalLimit|CollectLimit|LocalLimit)", below), below
+                assert "Limit 1" in below
+
+
+def test_the_fact_is_aggregated_before_a_large_dimension_is_joined(spark):
+    from pyspark.sql import functions as F
+
+    from ledgerlint.plans import rules as R
+    from ledgerlint.plans.dq_queries import RunParams
+    from ledgerlint.sources.fixtures import FixtureSet, dim_pos
+
+    f = FixtureSet.of(spark, SF)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = R.product_uniqueness_sellout(spark, RunParams("X", "2024-01-01 00:00:00"), f.fact_sellout(), f.product(), dim_pos(f.pos()))
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    joins = [i for i, line in enumerate(plan.splitlines()) if "Join LeftOuter" in line]
+    assert joins and any("Aggregate" in line for line in plan.splitlines()[joins[0]: joins[0] + 3])
+    assert F is not None

@@ -4,6 +4,7 @@ import datetime as dt
 import random
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerlint.operators.keycount import window_key_count
@@ -181,3 +182,37 @@ def test_sellthrough_hierarchy_is_b2b_and_year_key_is_sellout_year(spark):
     attrs = {a["key"]: a["value"] for a in r["attribute_arr"]}
     assert attrs == {"division_code": "A", "market_code": "AU", "sellout_year": "2023", "channel_level1": "B2B",
                      "channel_level2": "L7", "client_name": "Dist One"}
+
+
+NINE = "decimal(38,9)"
+
+
+@pytest.mark.parametrize("kind,value,copies,want", [
+    (NINE, "1.123456789", 1, "1.123456789"), (NINE, "-1.123456789", 3, "3.370370367"),
+    (NINE, "12345678901234567890.123456789", 7, "86419752308641975230.864197523"), ("double", "0.5", 3, "1.500000000"),
+])
+def test_copy_weights_keep_every_decimal(spark, kind, value, copies, want):
+    fact = spark.createDataFrame([("A", "AU", dt.date(2024, 1, 1), "p", "P1", value)],
+                                 "division_code string, market_code string, sellout_date date, point_of_sale_code string, "
+                                 "product_code string, v string").selectExpr("*", f"cast(v as {kind}) consolidated_sales_eur")
+    product = spark.createDataFrame([("P1",)] * copies, "product_code string")
+    pos = spark.createDataFrame([("p", "L1", "L2", "C")], "point_of_sale_code string, channel_level1 string, channel_level2 string, client_name string")
+    row = R.product_uniqueness_sellout(spark, RunParams("X", "2024-01-01 00:00:00"), fact, product, pos).first()
+    assert str(row.total_value) == want and row.total_rows == copies
+
+
+def test_weighting_raises_rather_than_losing_digits(spark):
+    from ledgerlint.operators.measure import times
+
+    df = spark.createDataFrame([("9" * 28 + ".5", 10)], "v string, n bigint").selectExpr("cast(v as decimal(38,9)) v", "n")
+    with pytest.raises(Exception, match="OVERFLOW|PRECISION|NUMERIC_VALUE_OUT_OF_RANGE"):
+        df.select(times(F.col("v"), F.col("n"), NINE)).collect()
+
+
+def test_stock_references_match_numbers_of_other_types(spark):
+    stock = spark.sql("""SELECT 'A' division_amaas, DATE'2024-05-01' tech_period_end_date, struct('AU' orga_country_alpha2) GEOGRAPHY,
+        struct('n' distributor_name) DISTRIBUTOR, struct('d' data_file_provider) METADATA_TECHNICAL, struct(5 total_stock_units) FACT_VALUE,
+        struct(CAST(1.25 AS DOUBLE) conversion_rate) CURRENCY""")
+    ref = spark.sql("SELECT CAST(1.25 AS DECIMAL(38,9)) exchange_rate")
+    row = R.reference_integrity_stock(spark, RunParams("X", "2024-01-01 00:00:00"), stock, ref, "CURRENCY.conversion_rate", 2024).first()
+    assert (row.invalid_rows, row.total_rows) == (0, 1)
