@@ -1,10 +1,12 @@
-"""Token ids of whole texts, word by word, equal to the tokenizer's own encoding.
-
-The tokenizer drops white space and treats words apart, so the ids of a text are
-those of its words.  Each distinct word of a slice is encoded once and remembered
-while the Python worker lives (``MAX_WORDS`` words at most).  Plain Latin words are
-split by the tokenizer's own pattern and merged by its own merge ranks in tiktoken;
-anything else is given to the tokenizer itself.
+"""Token ids of whole texts, piece by piece, equal to the tokenizer's own encoding.
+
+The tokenizer drops white space and treats the pieces between apart: runs of
+letters, single digits, runs of other characters.  Numpy cuts a slice of many texts
+into its pieces at once; each distinct piece is encoded once and remembered while
+the Python worker lives (``MAX_PIECES`` at most, told apart by 64-bit hashes).
+Plain pieces (ASCII and the letters U+00C0 to U+00FF) are merged by the tokenizer's
+own merge ranks in tiktoken; a word with anything else in it (an apostrophe,
+another script, a special token) is one piece and is given to the tokenizer itself.
 """
 
 from __future__ import annotations
@@ -12,13 +14,28 @@ from __future__ import annotations
 import json
 import sys
 import types
-import unicodedata
+from array import array
 
 import numpy as np
 
-from .textbytes import slices, word_hashes, word_spans
+from .textbytes import IS_SPACE, mix, prefix_sums, slices, span_hash, word_spans
+
+MAX_PIECES = 1_500_000
 
-MAX_WORDS = 800_000
+# 0 white space, 1 letter, 2 digit, 3 other
+_CLASS = np.full(256, 3, np.uint8)
+_CLASS[128:] = 1
+_CLASS[[*range(65, 91), *range(97, 123)]] = 1
+_CLASS[48:58] = 2
+_CLASS[IS_SPACE] = 0
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+# bytes that make a word odd: controls, apostrophe, and all beyond ASCII but C3 and what may follow it
+_ODD = np.zeros(256, bool)
+_ODD[:32] = ~IS_SPACE[:32]
+_ODD[[0x27, 0x7F]] = True
+_ODD[0xC0:] = True
+_ODD[0xC3] = False
 
 
 def _byte_letters() -> dict:
@@ -28,87 +45,110 @@ def _byte_letters() -> dict:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-class WordEncoder:
+def pieces(data: np.ndarray, offsets: np.ndarray):
+    """(folded bytes, starts, stops, odd) of the pieces of some texts; odd ones are whole words, not folded."""
+    starts, stops, _ = word_spans(data, offsets)
+    kind = _CLASS[data]
+    before = np.zeros(len(data), np.uint8)
+    before[1:] = data[:-1]
+    accent = (before == 0xC3) & (data >= 0x80)
+    odd_byte = _ODD[data] | ((data >= 0x80) & (data < 0xC0) & (before != 0xC3)) | (accent & ((data == 0x97) | (data == 0xB7)))
+    odd_byte |= (data == 0x7C) & (before == 0x3C)  # <| may begin a special token
+    folded = _LOWER[data]
+    folded[accent & (data < 0x9F) & (data != 0x97)] += 0x20
+    seen = np.zeros(len(data) + 1, np.int64)
+    np.cumsum(odd_byte, out=seen[1:])
+    odd_word = seen[stops] > seen[starts]
+    for a, b in zip(starts[odd_word].tolist(), stops[odd_word].tolist()):
+        folded[a:b] = data[a:b]
+    new = kind != 0
+    new[1:] &= (kind[1:] != kind[:-1]) | (kind[1:] == 2)
+    new[starts] = True
+    begin = np.flatnonzero(new)
+    word = np.cumsum(np.bincount(np.searchsorted(begin, starts), minlength=len(begin))) - 1
+    odd = odd_word[word]
+    keep = ~odd | (begin == starts[word])
+    begin, word, odd = begin[keep], word[keep], odd[keep]
+    stop = np.minimum(np.append(begin[1:], len(data)), stops[word])
+    return folded, begin, stop, odd
+
+
+class PieceEncoder:
+    """Ids of pieces by hash, in one sorted table that grows with what is met."""
+
     def __init__(self, path: str):
-        import regex
         import tiktoken
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        spec = json.load(open(path, encoding="utf-8"))
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
         letters = _byte_letters()
         # the end of a word is one more byte value; no UTF-8 text holds 0xFF
         ranks = {}
         for piece, rank in spec["model"]["vocab"].items():
             end = piece.endswith("</w>")
             body = piece[:-4] if end else piece
-            if rank < 49406 and all(c in letters for c in body):
+            if all(c in letters for c in body) and piece not in {t["content"] for t in spec["added_tokens"]}:
                 ranks[bytes(letters[c] for c in body) + b"\xff" * end] = rank
         ranks.setdefault(b"\xff", len(spec["model"]["vocab"]))
-        self.fast = None
-        if all(bytes([b]) in ranks for b in range(255)) and spec["model"].get("end_of_word_suffix") == "</w>":
-            self.fast = tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})._encode_single_piece
-        pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        self.split = regex.compile(pattern).findall
-        self.words: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-
-    def _pieces(self, text: str) -> bytes:
-        out = b""
-        for piece in self.split(text):
-            ids = self.pieces.get(piece)
-            if ids is None:
-                ids = self.pieces[piece] = np.array(self.fast(piece.encode() + b"\xff"), np.uint16).tobytes()
-            out += ids
-        return out
-
-    def word(self, raw: bytes) -> bytes:
-        """The ids of one word as little-endian uint16."""
-        if self.fast and b"<|" not in raw:
-            if raw.isascii():
-                if min(raw) > 0x20 and 0x7F not in raw:
-                    return self._pieces(raw.decode().lower())
-            else:
-                text = unicodedata.normalize("NFC", raw.decode())
-                if all("\x20" < c < "\x7f" or "\xa1" <= c < "İ" for c in text):
-                    return self._pieces(text.lower())
-        return np.array(self.whole.encode(raw.decode(), add_special_tokens=False).ids, np.uint16).tobytes()
-
-    def get(self, raw: bytes) -> bytes:
-        ids = self.words.get(raw)
-        if ids is None:
-            if len(self.words) >= MAX_WORDS or len(self.pieces) >= MAX_WORDS:
-                self.words.clear()
-                self.pieces.clear()
-            ids = self.words[raw] = self.word(raw)
-        return ids
-
-
-def encoder(path: str) -> WordEncoder:
+        if spec["model"].get("end_of_word_suffix") != "</w>" or not all(bytes([b]) in ranks for b in range(255)):
+            raise ValueError(f"{path}: a byte-level vocabulary with word ends is needed")
+        self.plain = tiktoken.Encoding("pieces", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+        self.forget()
+
+    def forget(self) -> None:
+        self.keys, self.at, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pool = np.zeros(0, np.uint16)
+
+    def lookup(self, keys: np.ndarray, text) -> tuple[np.ndarray, np.ndarray]:
+        """(start in the pool, number of ids) of distinct sorted keys; ``text(i)`` gives key i's bytes and oddness."""
+        if len(self.keys) + len(keys) > MAX_PIECES:
+            self.forget()
+        where = np.searchsorted(self.keys, keys)
+        known = np.zeros(len(keys), bool)
+        inside = where < len(self.keys)
+        known[inside] = self.keys[where[inside]] == keys[inside]
+        missing = np.flatnonzero(~known)
+        if len(missing):
+            ids, size = array("H"), []
+            for i in missing.tolist():
+                raw, odd = text(i)
+                found = self.whole.encode(raw.decode(), add_special_tokens=False).ids if odd else self.plain(raw + b"\xff")
+                ids.extend(found)
+                size.append(len(found))
+            size = np.array(size, np.int64)
+            start = len(self.pool) + np.cumsum(size) - size
+            self.pool = np.concatenate([self.pool, np.frombuffer(ids, np.uint16)])
+            place = where[missing]
+            self.keys, self.at, self.size = (np.insert(a, place, b) for a, b in ((self.keys, keys[missing]), (self.at, start), (self.size, size)))
+            where = np.searchsorted(self.keys, keys)
+        return self.at[where], self.size[where]
+
+
+def encoder(path: str) -> PieceEncoder:
     """The worker's encoder of a tokenizer file, kept from task to task."""
-    store = sys.modules.setdefault("_ledgerlint_word_encoders", types.ModuleType("_ledgerlint_word_encoders"))
+    store = sys.modules.setdefault("_ledgerlint_encoders", types.ModuleType("_ledgerlint_encoders"))
     kept = store.__dict__.setdefault("by_path", {})
     if path not in kept:
-        kept[path] = WordEncoder(path)
+        kept[path] = PieceEncoder(path)
     return kept[path]
 
 
 def encode_column(column, path: str):
     """(ids, lengths) by slice of a text column: all ids as uint16 and the number of ids of each document."""
-    get = encoder(path).get
+    known = encoder(path)
     for _, _, data, offsets in slices(column):
-        starts, stops, counts = word_spans(data, offsets)
-        if not len(starts):
-            yield np.zeros(0, np.uint16), counts
+        folded, begin, stop, odd = pieces(data, offsets)
+        if not len(begin):
+            yield np.zeros(0, np.uint16), np.zeros(len(offsets) - 1, np.int64)
             continue
-        _, first, which = np.unique(word_hashes(data, starts, stops), return_index=True, return_inverse=True)
-        raw = data.tobytes()
-        found = [get(raw[a:b]) for a, b in zip(starts[first].tolist(), stops[first].tolist())]
-        size = np.fromiter(map(len, found), np.int64, len(found)) // 2
-        pool = np.frombuffer(b"".join(found), np.uint16)
-        at = np.cumsum(size) - size
+        h = mix(span_hash(prefix_sums(folded), begin, stop) ^ (stop - begin).astype(np.uint64) << np.uint64(1) ^ odd.astype(np.uint64))
+        keys, first, which = np.unique(h, return_index=True, return_inverse=True)
+        raw, a, b, o = folded.tobytes(), begin[first].tolist(), stop[first].tolist(), odd[first].tolist()
+        at, size = known.lookup(keys, lambda i: (raw[a[i]: b[i]], o[i]))
         length = size[which]
         ends = np.cumsum(length)
-        ids = pool[np.repeat(at[which] - ends + length, length) + np.arange(ends[-1])]
-        last = np.append(0, ends)[np.cumsum(counts)]
-        yield ids, np.diff(np.append(0, last))
+        ids = known.pool[np.repeat(at[which] - ends + length, length) + np.arange(ends[-1])]
+        last = np.append(0, ends)[np.searchsorted(begin, offsets)]
+        yield ids, np.diff(last)
