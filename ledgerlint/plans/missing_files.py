@@ -16,9 +16,9 @@ Plan notes for large inputs:
   persisted.
 - The calendar is collapsed to one row per month before it meets the stores
   (``operators.calendar``), so no day x store product is formed.
-- Every aggregation is by store (and month or day); partial aggregation
-  collapses repeated rows before the shuffle, so a store holding a third of
-  all fact rows sends at most one row per day from each map task.
+- M1 and the monthly steps are made distinct before they are joined or
+  partitioned, so a store holding a third of all fact rows sends at most one
+  row per day and source from each map task.
 """
 
 from __future__ import annotations
