@@ -188,6 +188,31 @@ FIXTURES: dict[str, tuple[list[str], str]] = {
         SELECT * REPLACE (CAST(CAST(consolidated_sales_eur AS DECIMAL(20,9))
                                + CAST(CAST('0.123456789' AS DECIMAL(10,9)) * CAST(linenumber AS DECIMAL(2,0)) AS DECIMAL(20,9))
                           AS DECIMAL(38,9)) AS consolidated_sales_eur) FROM fx_fact_sellout"""),
+    "fx_datasource_nulls": (["fx_datasource"], """
+        SELECT * FROM fx_datasource
+        UNION ALL SELECT 'DS4', NULL FROM fx_datasource WHERE data_source_code = 'DS1'
+        UNION ALL SELECT NULL, 'Daily' FROM fx_datasource WHERE data_source_code = 'DS1'"""),
+    "fx_sku_traffic_nulls": (["fx_sku_traffic"], """
+        SELECT * REPLACE (
+            CASE WHEN gross_sold_units % 11 <> 3 THEN market_code END AS market_code,
+            CASE WHEN gross_sold_units % 13 <> 4 THEN client END AS client,
+            CASE WHEN gross_sold_units % 7 <> 5 THEN platform_store_id END AS platform_store_id,
+            CASE WHEN gross_sold_units % 5 <> 1 THEN gross_sales END AS gross_sales,
+            CASE WHEN gross_sold_units % 5 <> 1 THEN gross_orders END AS gross_orders,
+            CASE WHEN gross_sold_units % 3 = 0 THEN 'ACD' ELSE division END AS division) FROM fx_sku_traffic"""),
+    "fx_amz_nulls": (["fx_amz"], """
+        SELECT * EXCLUDE (q, blank) REPLACE (
+            CASE WHEN q % 11 <> 3 THEN market_code END AS market_code,
+            CASE WHEN q % 13 <> 4 THEN client END AS client,
+            CASE WHEN q % 7 <> 5 THEN channel_type END AS channel_type,
+            CASE WHEN q % 5 <> 2 THEN sap_signature_code END AS sap_signature_code,
+            CASE WHEN q % 5 <> 2 THEN sap_product_code END AS sap_product_code,
+            CASE WHEN NOT blank OR sap_product_code LIKE '%1' THEN shipped_units END AS shipped_units,
+            CASE WHEN NOT blank OR sap_product_code LIKE '%1' THEN ordered_units END AS ordered_units,
+            CASE WHEN blank AND sap_product_code LIKE '%3' THEN 0 ELSE ordered_revenue END AS ordered_revenue,
+            CASE WHEN q % 4 = 1 THEN 'ACD' ELSE sap_division_name END AS sap_division_name)
+        FROM (SELECT *, coalesce(shipped_units, ordered_units, 0) AS q,
+                     market_code = 'AU' AND coalesce(shipped_units, ordered_units, 0) = 0 AS blank FROM fx_amz)"""),
     "fx_fact_nulls": (["fx_fact_sellout"], """
         SELECT * REPLACE (
             CASE WHEN partkey % 7 <> 0 THEN unique_id END AS unique_id,

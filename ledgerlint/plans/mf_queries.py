@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ledgerlint.functions.normalize import normalize_ean, normalize_product_code, prefixed_product_key
 from ledgerlint.plans import missing_files as mf
-from ledgerlint.sources.fixtures import FixtureSet, dim_pos
+from ledgerlint.sources.fixtures import FixtureSet, dim_pos, fx_amz_nulls, fx_datasource_nulls, fx_sku_traffic_nulls
 from ledgerlint.sources.sinks import StatusTable, stage_path
 
 AS_OF = dt.date(2001, 8, 15)
@@ -83,12 +83,38 @@ def q_deliveries(spark, d):
     return run(spark, d).deliveries.select(*D8, _d("sellout_date"), "data_source_frequency")
 
 
+def _null_inputs(spark: SparkSession, d: str) -> mf.MissingFileInputs:
+    """Inputs with NULL keys, markets, divisions, frequencies and measures, and division ``ACD``."""
+    f = FixtureSet.of(spark, d)
+    return replace(inputs(spark, d), fact=f.fact_nulls(), datasource=fx_datasource_nulls(f.datasource()),
+                   sku_traffic=fx_sku_traffic_nulls(f.sku_traffic()), amz=fx_amz_nulls(f.amz()))
+
+
+def _null_run(spark: SparkSession, d: str) -> mf.MissingFileSteps:
+    key = (spark.sparkContext.applicationId, d.rstrip("/"), SP, AS_OF, "nulls")
+    if key not in _RUNS:
+        _RUNS[key] = mf.missing_files(_null_inputs(spark, d), AS_OF, SP)
+    return _RUNS[key]
+
+
 def q_deliveries_nulls(spark, d):
     """M1 on a fact with NULL markets, divisions, stores and sources."""
     inp = replace(inputs(spark, d), fact=FixtureSet.of(spark, d).fact_nulls())
     return mf.deliveries(inp, SP, AS_OF).select(*D8, _d("sellout_date"), "data_source_frequency")
 
 
+def q_zero_sku_nulls(spark, d):
+    return _zero_sku(_null_run(spark, d))
+
+
+def q_zero_amz_nulls(spark, d):
+    return _zero_amz(_null_run(spark, d))
+
+
+def q_final_sp_nulls(spark, d):
+    return _null_run(spark, d).result
+
+
 def q_pos(spark, d):
     return run(spark, d).pos
 
@@ -127,14 +153,22 @@ def q_expected_monthly(spark, d):
     return run(spark, d).expected_monthly.select(*mf.EXPECTED_KEYS)
 
 
+def _zero_sku(steps: mf.MissingFileSteps) -> DataFrame:
+    return steps.zero_sku_traffic.select(
+        *D8, _d("sellout_date"), F.col("sales").cast("double").alias("sales"),
+        F.col("units").cast("bigint").alias("units"), F.col("orders").cast("bigint").alias("orders"))
+
+
+def _zero_amz(steps: mf.MissingFileSteps) -> DataFrame:
+    return steps.zero_marketplace.select(*D8, _d("sellout_date"))
+
+
 def q_zero_sku(spark, d):
-    z = run(spark, d).zero_sku_traffic
-    return z.select(*D8, _d("sellout_date"), F.col("sales").cast("double").alias("sales"),
-                    F.col("units").cast("bigint").alias("units"), F.col("orders").cast("bigint").alias("orders"))
+    return _zero_sku(run(spark, d))
 
 
 def q_zero_amz(spark, d):
-    return run(spark, d).zero_marketplace.select(*D8, _d("sellout_date"))
+    return _zero_amz(run(spark, d))
 
 
 def q_available_daily(spark, d):
@@ -229,6 +263,9 @@ def queries() -> dict[str, Query]:
     return {
         "mf_deliveries": q_deliveries,
         "mf_deliveries_nulls": q_deliveries_nulls,
+        "mf_zero_sku_nulls": q_zero_sku_nulls,
+        "mf_zero_amz_nulls": q_zero_amz_nulls,
+        "mf_final_sp_nulls": q_final_sp_nulls,
         "mf_pos": q_pos,
         "mf_calendar": q_calendar,
         "mf_active": q_active,

@@ -423,6 +423,45 @@ def fx_fact_nulls(fact: DataFrame) -> DataFrame:
     return fact.select(*[hole(c, holes[c]) if c in holes else F.col(c) for c in fact.columns])
 
 
+def fx_datasource_nulls(ds: DataFrame) -> DataFrame:
+    """The data sources, with one more of NULL frequency and one without a code."""
+    more = ds.filter(F.col("data_source_code") == "DS1").select(
+        F.explode(F.array(F.struct(F.lit("DS4").alias("c"), F.lit(None).cast("string").alias("f")),
+                          F.struct(F.lit(None).cast("string").alias("c"), F.lit("Daily").alias("f")))).alias("x")
+    ).select(F.col("x.c").alias("data_source_code"), F.col("x.f").alias("data_source_frequency"))
+    return ds.unionByName(more)
+
+
+def fx_sku_traffic_nulls(sku: DataFrame) -> DataFrame:
+    """SKU traffic with NULL markets, clients, stores and measures, and division ``ACD``."""
+    k = F.col("gross_sold_units")
+    return sku.select(*[
+        F.when(k % 11 != 3, F.col(c)).alias(c) if c == "market_code"
+        else F.when(k % 13 != 4, F.col(c)).alias(c) if c == "client"
+        else F.when(k % 7 != 5, F.col(c)).alias(c) if c == "platform_store_id"
+        else F.when(k % 5 != 1, F.col(c)).alias(c) if c in ("gross_sales", "gross_orders")
+        else F.when(k % 3 == 0, F.lit("ACD")).otherwise(F.col(c)).alias(c) if c == "division"
+        else F.col(c)
+        for c in sku.columns])
+
+
+def fx_amz_nulls(amz: DataFrame) -> DataFrame:
+    """Marketplace rows with NULL markets, clients, channels and signatures; AU rows with NULL shipped units."""
+    q = F.coalesce("shipped_units", "ordered_units", F.lit(0))
+    au_blank = (F.col("market_code") == "AU") & (q == 0)
+    return amz.select(*[
+        F.when(q % 11 != 3, F.col(c)).alias(c) if c == "market_code"
+        else F.when(q % 13 != 4, F.col(c)).alias(c) if c == "client"
+        else F.when(q % 7 != 5, F.col(c)).alias(c) if c == "channel_type"
+        else F.when(q % 5 != 2, F.col(c)).alias(c) if c in ("sap_signature_code", "sap_product_code")
+        else F.when(~au_blank | F.col("sap_product_code").endswith("1"), F.col(c)).alias(c) if c in ("shipped_units", "ordered_units")
+        else F.when(au_blank & F.col("sap_product_code").endswith("3"), F.lit(0).cast("decimal(18,4)")).otherwise(F.col(c)).alias(c)
+        if c == "ordered_revenue"
+        else F.when(q % 4 == 1, F.lit("ACD")).otherwise(F.col(c)).alias(c) if c == "sap_division_name"
+        else F.col(c)
+        for c in amz.columns])
+
+
 def fx_ref_brand(spark: SparkSession, d: str) -> DataFrame:
     """Reference product table: every brand except two, so some stock rows are orphans."""
     p = _part(spark, d)
