@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from .common import once, stage
 
 MASKS = ("110111", "1101011", "11001101")
-WINDOW, MIN_SHARE = 13, 0.8
+WINDOW, MIN_SHARE = 13, 0.75
 #: Bits of the two maps.
 TOKEN_BITS, SEED_BITS = 1 << 17, 1 << 18
 MAX_BROADCAST = 1_000_000

@@ -208,7 +208,7 @@ def test_interval_tree_and_suffix_tree_agree():
     rng = np.random.default_rng(8)
     units = rng.integers(0, 2, 400)
     stop = np.arange(40, 401, 40)
-    c = Chunk(units, stop - 40, stop, np.zeros(10, np.int64), np.arange(10), np.zeros(10, np.int64))
+    c = Chunk(units, stop - 40, stop, np.zeros(10, np.int64), np.ones(10, np.int64))
     u = Units(False, 6, 3)
     results = []
     for finder in (suffix_dedup.maximal_repeats, substring_dedup.maximal_repeats):
@@ -338,7 +338,7 @@ def test_decontamination_equals_brute_force(spark, sf_small):
                     n = min(13, len(items[item]))
                     reach = max(map(len, decontam.MASKS)) + 12
                     same = [0 <= p + k < len(w) and 0 <= q + k < len(items[item]) and w[p + k] == items[item][q + k] for k in range(-12, reach)]
-                    if max(sum(same[s: s + n]) for s in range(len(same) - n + 1)) >= 0.8 * n:
+                    if max(sum(same[s: s + n]) for s in range(len(same) - n + 1)) >= decontam.MIN_SHARE * n:
                         want.add((d.doc_id, item))
     assert {(r.doc_id, r.item_id) for r in decontam.find_leaks(docs, bench).collect()} == want and want
 
