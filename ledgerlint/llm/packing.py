@@ -4,8 +4,8 @@
 2. Document frequencies of the token ids are counted over all documents (one
    bounded vector, summed within each task first).
 3. Documents are range-partitioned by a lexical sketch (the smallest hash of their
-   token pairs), then by place, into shards of about ``SHARD_TOKENS`` tokens, so
-   that like documents meet and a run of equal ones is cut by place.
+   token pairs), then by doc_id, into shards of about ``SHARD_TOKENS`` tokens, so
+   that like documents meet and a run of equal ones is cut by doc_id.
 4. Each shard is a BM25 inverted index over its documents.  A window starts with a
    seed document; the index returns its unused neighbours by score, which fill the
    window greedily; then further documents in order.  The document that is cut at
@@ -207,5 +207,6 @@ def pack(docs: DataFrame, path: str) -> DataFrame:
                 names=["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
 
     kind = dict(docs.dtypes)["doc_id"]
-    return tokens.repartitionByRange(shards, "sketch", "doc_id").select("doc_id", "ids").mapInArrow(
+    sharded = tokens.repartitionByRange(shards, "sketch", "doc_id").sortWithinPartitions("sketch", "doc_id")
+    return sharded.select("doc_id", "ids").mapInArrow(
         run, f"doc_id {kind}, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, offset bigint, ids binary")
