@@ -233,6 +233,7 @@ def q_merge(spark, d):
     second = run(spark, d, SP)
     first = mf.missing_files(inputs(spark, d), AS_OF_FIRST_RUN, SP, m1=second.deliveries)
     table.upsert(first.result, RUN1_TS)
+    first.close()
     table.upsert(second.result, RUN2_TS)
     snap2 = table.read()
     return snap2.select(
