@@ -5,10 +5,12 @@ of the k-unit runs inside it, so equal windows have equal anchors, wherever they
 stand.  Consecutive windows with one anchor travel together as one segment, and the
 segments of an anchor form a group that is small enough for memory: that is a
 partition of all suffixes by a part of their L-unit prefix.  Anchors that occur
-once in the corpus can't belong to a repeat and their texts are never moved.  For
-an anchor in more than ``HOT`` segments the routing prefix is lengthened to all L
-units: each window goes by its 128-bit hash, counted before the shuffle, so a
-passage that any share of the documents holds is no task's burden.
+once in the corpus can't belong to a repeat and their texts are never moved.
+
+Equal segments are one body with a count, aggregated before the shuffle, so the
+inside of a passage that any share of the documents holds is one row.  For an anchor
+with more than ``HOT`` different bodies the routing prefix is lengthened to all L
+units: each window goes by its 128-bit hash, counted before the shuffle too.
 
 Equal texts are one node; if it has more than one document and at least L units,
 all of it is repeated.
@@ -29,8 +31,8 @@ from .common import stage
 from .exact_dedup import located
 from .textbytes import mix, powers, prefix_sums, sequence_hashes, slices, span_hash, word_hashes, word_spans
 
-#: Segments of one anchor that a task takes at most.
-HOT = 8192
+#: Different segments of one anchor that a task takes at most.
+HOT = 1 << 16
 #: Bytes of segments that a task works on at once (whole groups, so a little more).
 CHUNK = 2 << 20
 PLACE = ["__file", "__row"]
@@ -121,11 +123,11 @@ def scan(docs: DataFrame, u: Units) -> DataFrame:
 
 
 def _segments(texts: DataFrame, u: Units) -> DataFrame:
-    """anchor, hot, node, first, windows, body of every listed segment; words are joined by one space."""
+    """anchor, node, first, body of every listed segment; words are joined by one space."""
 
     def run(batches):
         for batch in batches:
-            out = {name: [] for name in ("anchor", "hot", "node", "first", "windows", "body")}
+            out = {name: [] for name in ("anchor", "node", "first", "body")}
             segs = batch.column("segs").to_pylist()
             nodes = batch.column("node").to_pylist()
             text = batch.column("text")
@@ -135,53 +137,48 @@ def _segments(texts: DataFrame, u: Units) -> DataFrame:
                 for s in segs[i]:
                     a, b = s["first"], s["first"] + s["size"] + u.length - 1
                     out["anchor"].append(s["anchor"])
-                    out["hot"].append(s["hot"])
                     out["node"].append(nodes[i])
                     out["first"].append(a)
-                    out["windows"].append(s["size"])
                     out["body"].append(b" ".join(units[a:b]) if u.words else units[a:b])
-            kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out.values(), kinds)], names=list(out))
 
     return texts.select("node", F.col("text").cast("binary").alias("text"), "segs").mapInArrow(
-        run, "anchor bigint, hot boolean, node bigint, first int, windows int, body binary")
+        run, "anchor bigint, node bigint, first int, body binary")
 
 
 @dataclass
 class Chunk:
-    """Whole anchor groups: the units of all segments in one array, and their windows."""
+    """Whole anchor groups: the units of all bodies in one array."""
 
     units: np.ndarray  # unit codes; equal units have equal codes
-    begin: np.ndarray  # of each segment in units
+    begin: np.ndarray  # of each body in units
     stop: np.ndarray
-    group: np.ndarray  # the anchor of each segment
-    node: np.ndarray
-    first: np.ndarray  # unit position of the segment in its text
+    group: np.ndarray  # the anchor of each body
+    count: np.ndarray  # how many segments have this body
 
 
 def _chunk(u: Units, rows: list) -> Chunk:
-    group, node, first, body = zip(*rows)
+    """From (anchor, key, n, body) rows."""
+    group, _, count, body = zip(*rows)
     data = np.frombuffer(b"\n".join(body) if u.words else b"".join(body), np.uint8)
     size = np.fromiter(map(len, body), np.int64, len(body))
+    units = data
     if u.words:
         ends = np.cumsum(size + 1)
-        starts, stops, counts = word_spans(data, np.append(0, np.append(ends[:-1], len(data))))
-        # codes by content: distinct words are told apart by their bytes, not by a hash
-        h = word_hashes(data, starts, stops)
-        _, at, units = np.unique(h, return_index=True, return_inverse=True)
-        size = counts
-    else:
-        units = data
+        starts, stops, size = word_spans(data, np.append(0, np.append(ends[:-1], len(data))))
+        units = np.unique(word_hashes(data, starts, stops), return_inverse=True)[1]
     stop = np.cumsum(size)
-    return Chunk(units.astype(np.int64), stop - size, stop, np.array(group, np.int64), np.array(node, np.int64), np.array(first, np.int64))
+    return Chunk(units.astype(np.int64), stop - size, stop, np.array(group, np.int64), np.array(count, np.int64))
 
 
 def repeated_windows(u: Units, c: Chunk):
     """Suffixes whose L-unit prefix occurs at least twice in its group, and from where a repeat may begin.
 
-    Returns arrays, sorted by prefix class: class number, position in c.units, segment.
-    Classes whose members all have the same unit to their left are left out: their
-    repeats begin further left.  A segment's first window counts as a beginning.
+    Returns arrays, sorted by prefix class: class number, position in c.units, body; a
+    body that several segments have stands twice.  Classes whose members all have the
+    same unit to their left are left out: their repeats begin further left.  A
+    segment's first window counts as a beginning.
     """
     windows = c.stop - c.begin - u.length + 1
     seg = np.repeat(np.arange(len(windows)), windows)
@@ -196,7 +193,7 @@ def repeated_windows(u: Units, c: Chunk):
     new[1:] = key[1:] != key[:-1]
     at = np.flatnonzero(new)
     count = np.diff(np.append(at, len(key)))
-    many = count > 1
+    many = np.add.reduceat(c.count[seg], at) > 1 if len(at) else np.zeros(0, bool)
     if not many.any():
         none = np.zeros(0, np.int64)
         return none, none, none
@@ -204,7 +201,9 @@ def repeated_windows(u: Units, c: Chunk):
     left = np.where(opens, -1, c.units[np.maximum(pos - 1, 0)])
     varied = np.logical_or.reduceat(opens, at) | (np.minimum.reduceat(left, at) != np.maximum.reduceat(left, at))
     use = np.repeat(many & varied, count)
-    return np.repeat(np.arange(len(at)), count)[use], pos[use], seg[use]
+    klass, pos, seg = np.repeat(np.arange(len(at)), count)[use], pos[use], seg[use]
+    twice = np.where(c.count[seg] > 1, 2, 1)
+    return np.repeat(klass, twice), np.repeat(pos, twice), np.repeat(seg, twice)
 
 
 def repeats_of(u: Units, c: Chunk, finder: Callable):
@@ -218,10 +217,10 @@ def repeats_of(u: Units, c: Chunk, finder: Callable):
 
 
 def _grouped(batches, limit: int = CHUNK):
-    """Lists of (anchor, node, first, body) that hold whole groups, from rows sorted by anchor."""
+    """Lists of (anchor, key, n, body) that hold whole groups, from rows sorted by anchor."""
     rows, size, last = [], 0, None
     for batch in batches:
-        columns = [batch.column(x).to_pylist() for x in ("anchor", "node", "first", "body")]
+        columns = [batch.column(x).to_pylist() for x in ("anchor", "key", "n", "body")]
         for row in zip(*columns):
             if row[0] != last and size >= limit:
                 yield rows
@@ -233,32 +232,33 @@ def _grouped(batches, limit: int = CHUNK):
         yield rows
 
 
-def _hot_windows(segments: DataFrame, u: Units) -> DataFrame:
-    """h1, h2 (the hash of all L units), node, start of every window of the hot segments."""
+def _hot_windows(bodies: DataFrame, u: Units) -> DataFrame:
+    """h1, h2 (the hash of all L units), anchor, key, n, start of every window of some bodies."""
 
     def run(batches):
-        for rows in (r for b in batches for r in _grouped([b])):
-            c = _chunk(Units(False, 0, 0), rows) if not u.words else None
-            if u.words:
-                data = np.frombuffer(b"\n".join(r[3] for r in rows), np.uint8)
-                size = np.fromiter((len(r[3]) + 1 for r in rows), np.int64, len(rows))
-                starts, stops, n = word_spans(data, np.append(0, np.append(np.cumsum(size)[:-1], len(data))))
-                codes, begin = word_hashes(data, starts, stops), np.cumsum(n) - n
-            else:
-                codes, begin, n = c.units.astype(np.uint64), c.begin, c.stop - c.begin
-            windows = n - u.length + 1
-            seg = np.repeat(np.arange(len(rows)), windows)
-            pos = np.arange(len(seg)) + np.repeat(begin - np.cumsum(windows) + windows, windows)
-            hashes = []
-            for salt in (0x1F3D5B79, 0x2E4C6A88):
-                sums = np.zeros(len(codes) + 1, np.uint64)
-                np.cumsum(mix(codes + np.uint64(salt)) * powers(len(codes))[0], out=sums[1:])
-                hashes.append(mix(span_hash(sums, pos, pos + u.length)).view(np.int64))
-            node = np.array([r[1] for r in rows])[seg]
-            start = np.array([r[2] for r in rows])[seg] + pos - begin[seg]
-            yield pa.RecordBatch.from_arrays([*map(pa.array, hashes), pa.array(node), pa.array(start)], names=["h1", "h2", "node", "start"])
-
-    return segments.mapInArrow(run, "h1 bigint, h2 bigint, node bigint, start bigint")
+        for batch in batches:
+            for rows in _grouped([batch]):
+                data = np.frombuffer((b"\n" if u.words else b"").join(r[3] for r in rows), np.uint8)
+                size = np.fromiter((len(r[3]) for r in rows), np.int64, len(rows))
+                codes = data.astype(np.uint64)
+                if u.words:
+                    ends = np.cumsum(size + 1)
+                    starts, stops, size = word_spans(data, np.append(0, np.append(ends[:-1], len(data))))
+                    codes = word_hashes(data, starts, stops)
+                begin, windows = np.cumsum(size) - size, size - u.length + 1
+                seg = np.repeat(np.arange(len(rows)), windows)
+                start = np.arange(len(seg)) - np.repeat(np.cumsum(windows) - windows, windows)
+                pos, hashes = start + begin[seg], []
+                for salt in (0x1F3D5B79, 0x2E4C6A88):
+                    sums = np.zeros(len(codes) + 1, np.uint64)
+                    np.cumsum(mix(codes + np.uint64(salt)) * powers(len(codes))[0], out=sums[1:])
+                    hashes.append(mix(span_hash(sums, pos, pos + u.length)).view(np.int64))
+                anchor, key, n, _ = zip(*rows)
+                yield pa.RecordBatch.from_arrays(
+                    [*map(pa.array, hashes), *(pa.array(x, k).take(pa.array(seg)) for x, k in zip((anchor, key, n), (pa.int64(), pa.string(), pa.int64()))),
+                     pa.array(start)], names=["h1", "h2", "anchor", "key", "n", "start"])
+
+    return bodies.mapInArrow(run, "h1 bigint, h2 bigint, anchor bigint, key string, n bigint, start bigint")
 
 
 def merge(spans: np.ndarray) -> np.ndarray:
@@ -285,22 +285,33 @@ class Repeats:
         self.nodes = stage(nodes.withColumn("node", F.monotonically_increasing_id()), "repeat-nodes")
         segs = self.nodes.select("node", F.explode(F.arrays_zip("anchors", "firsts", "sizes")).alias("s")).select(
             "node", F.col("s.anchors").alias("anchor"), F.col("s.firsts").alias("first"), F.col("s.sizes").alias("size"))
-        often = segs.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor", (F.col("n") > hot).alias("hot"))
-        listed = segs.join(often, "anchor").groupBy("node").agg(F.collect_list(F.struct("anchor", "hot", "first", "size")).alias("segs"))
+        often = segs.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+        listed = segs.join(often, "anchor").groupBy("node").agg(F.collect_list(F.struct("anchor", "first", "size")).alias("segs"))
         listed = listed.join(self.nodes.select("node", "at.*"), "node")
         texts = docs.select(*PLACE, F.coalesce("text", F.lit("")).alias("text")).join(listed, PLACE)
         self.texts = stage(texts.select("node", "text", "segs"), "repeat-texts")
-        self.segments = stage(_segments(self.texts, u), "repeat-segments")
+        self.segments = stage(_segments(self.texts, u).withColumn("key", F.md5("body")), "repeat-segments")
+        self.bodies = stage(self.segments.groupBy("anchor", "key").agg(
+            F.count("*").alias("n"), F.first("body").alias("body")), "repeat-bodies")
+        self.hot = stage(self.bodies.groupBy("anchor").agg(F.count("*").alias("bodies")).where(F.col("bodies") > hot).select("anchor"), "repeat-hot-anchors")
 
     def _routed(self) -> DataFrame:
-        return self.segments.where("not hot").select("anchor", "node", "first", "body").repartition("anchor").sortWithinPartitions("anchor")
+        cold = self.bodies.join(self.hot, "anchor", "left_anti").select("anchor", "key", "n", "body")
+        return cold.repartition("anchor").sortWithinPartitions("anchor")
+
+    def _hot_repeats(self) -> DataFrame:
+        """anchor, key, start, group of the repeated windows of the hot anchors' bodies."""
+        windows = stage(_hot_windows(self.bodies.join(self.hot, "anchor", "left_semi").select("anchor", "key", "n", "body"), self.u), "repeat-hot")
+        many = windows.groupBy("h1", "h2").agg(F.sum("n").alias("total")).where("total > 1").select("h1", "h2")
+        return windows.join(many, ["h1", "h2"]).select("anchor", "key", "start", F.xxhash64("h1", "h2").alias("window"))
 
-    def _hot(self) -> DataFrame:
-        windows = _hot_windows(self.segments.where("hot").select("anchor", "node", "first", "body"), self.u)
-        return stage(windows, "repeat-hot")
+    def _placed(self, spans: DataFrame, *columns: str) -> DataFrame:
+        """Spans (anchor, key, start) of bodies at all the places where the bodies stand: node, start and more columns."""
+        return spans.join(self.segments.select("anchor", "key", "node", "first"), ["anchor", "key"]).select(
+            "node", (F.col("start") + F.col("first")).alias("start"), *columns)
 
     def groups(self) -> DataFrame:
-        """Maximal repeats with all their occurrences: group_id, length, n_occurrences, node, start.
+        """Maximal repeats with all their occurrences: group_id, length, node, start.
 
         A repeat that outreaches its segments is reported as overlapping parts; those of
         hot anchors as their single windows.
@@ -314,25 +325,21 @@ class Repeats:
             for rows in _grouped(batches):
                 c = _chunk(u, rows)
                 found, pos, seg = repeats_of(u, c, finder)
-                start = c.first[seg] + pos - c.begin[seg]
-                ids, length, count, node, begin = [], [], [], [], []
+                out = {}
                 for n, members in found:
                     group += 1
-                    ids += [group] * len(members)
-                    length += [n] * len(members)
-                    count += [len(members)] * len(members)
-                    node += c.node[seg[members]].tolist()
-                    begin += start[members].tolist()
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (ids, length, count, node, begin)],
-                                                 names=["group_id", "length", "n_occurrences", "node", "start"])
-
-        cold = self._routed().mapInArrow(run, "group_id bigint, length bigint, n_occurrences bigint, node bigint, start bigint")
-        windows = self._hot()
-        many = windows.groupBy("h1", "h2").agg(F.count("*").alias("n_occurrences")).where("n_occurrences > 1")
-        hot = windows.join(many, ["h1", "h2"]).select(
-            F.xxhash64("h1", "h2").bitwiseOR(F.lit(-1 << 63)).alias("group_id"), F.lit(u.length).cast("long").alias("length"),
-            "n_occurrences", "node", "start")
-        return cold.unionByName(hot)
+                    for m in members:  # a body with several segments stands twice
+                        out[group, n, int(seg[m]), int(pos[m] - c.begin[seg[m]])] = None
+                ids, length, body, start = zip(*out) if out else ((), (), (), ())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids, pa.int64()), pa.array(length, pa.int64()), pa.array([rows[b][0] for b in body], pa.int64()),
+                     pa.array([rows[b][1] for b in body], pa.string()), pa.array(start, pa.int64())],
+                    names=["group_id", "length", "anchor", "key", "start"])
+
+        cold = self._routed().mapInArrow(run, "group_id bigint, length bigint, anchor bigint, key string, start bigint")
+        hot = self._hot_repeats().select(
+            F.col("window").bitwiseOR(F.lit(-1 << 63)).alias("group_id"), F.lit(u.length).cast("long").alias("length"), "anchor", "key", "start")
+        return self._placed(cold.unionByName(hot), "group_id", "length")
 
     def covers(self) -> DataFrame:
         """node, start, stop: spans whose union by node is all that repeats cover."""
@@ -348,15 +355,18 @@ class Repeats:
                 for n, members in found:
                     longest[members] = np.maximum(longest[members], n)
                 use = longest > 0
-                start = (c.first[seg] + pos - c.begin[seg])[use]
-                yield pa.RecordBatch.from_arrays([pa.array(c.node[seg[use]]), pa.array(start), pa.array(start + longest[use])],
-                                                 names=["node", "start", "stop"])
-
-        cold = self._routed().mapInArrow(run, "node bigint, start bigint, stop bigint")
-        windows = self._hot()
-        many = windows.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2")
-        hot = windows.join(many, ["h1", "h2"]).select("node", "start", (F.col("start") + u.length).alias("stop"))
-        return cold.unionByName(hot)
+                # the union of each body's spans, by shifting the bodies apart
+                at = pos[use] + seg[use]
+                spans = merge(np.stack([at, at + longest[use]], 1))
+                body = np.searchsorted(c.begin + np.arange(len(rows)), spans[:, 0], "right") - 1
+                start = spans[:, 0] - c.begin[body] - body
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c.group[body]), pa.array([rows[b][1] for b in body.tolist()], pa.string()), pa.array(start),
+                     pa.array(spans[:, 1] - spans[:, 0])], names=["anchor", "key", "start", "length"])
+
+        cold = self._routed().mapInArrow(run, "anchor bigint, key string, start bigint, length bigint")
+        hot = self._hot_repeats().select("anchor", "key", "start", F.lit(u.length).cast("long").alias("length"))
+        return self._placed(cold.unionByName(hot), "length").select("node", "start", (F.col("start") + F.col("length")).alias("stop"))
 
     def removed(self) -> DataFrame:
         """One row per document: doc_id, n_units, n_removed, n_spans, kept_sha256."""
