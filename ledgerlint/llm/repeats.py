@@ -285,7 +285,8 @@ class Repeats:
         self.nodes = stage(nodes.withColumn("node", F.monotonically_increasing_id()), "repeat-nodes")
         segs = self.nodes.select("node", F.explode(F.arrays_zip("anchors", "firsts", "sizes")).alias("s")).select(
             "node", F.col("s.anchors").alias("anchor"), F.col("s.firsts").alias("first"), F.col("s.sizes").alias("size"))
-        often = segs.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+        # written, so that the join below has a plain shuffle on both sides and Spark can split a hot anchor
+        often = stage(segs.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "repeat-often")
         listed = segs.join(often, "anchor").groupBy("node").agg(F.collect_list(F.struct("anchor", "first", "size")).alias("segs"))
         listed = listed.join(self.nodes.select("node", "at.*"), "node")
         texts = docs.select(*PLACE, F.coalesce("text", F.lit("")).alias("text")).join(listed, PLACE)
