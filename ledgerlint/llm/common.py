@@ -14,8 +14,20 @@ from ledgerlint.sources.tables import read_table
 SPACE = r"[\x20\x09-\x0D]"
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+#: Rows of an Arrow batch, where the session leaves Spark's default of 10,000: whole texts are long rows.
+BATCH = ("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
+def settle(spark: SparkSession) -> SparkSession:
+    """The library's session defaults, and small Arrow batches, where the session doesn't set them."""
     configure(spark)
+    if spark.conf.get(BATCH[0], "10000") == "10000":
+        spark.conf.set(*BATCH)
+    return spark
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    settle(spark)
     return read_table(spark, sf_dir, "documents")
 
 
@@ -33,7 +45,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     Cuts the lineage: a lost executor costs the running tasks only, and every
     later reader scans the table instead of computing ``df`` again.
     """
-    path = scratch(df.sparkSession, name)
+    path = scratch(settle(df.sparkSession), name)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

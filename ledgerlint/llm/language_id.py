@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import settle
 from .textbytes import slices
 
 BUCKETS = 1 << 16
@@ -66,11 +67,13 @@ class Model:
 def learn(docs: DataFrame) -> Model:
     """Counts over all rows of (lang, text) with a lang and a text."""
 
+    settle(docs.sparkSession)
+
     def count(batches):
         table = {}
         for batch in batches:
             langs = batch.column("lang").to_pylist()
-            for at, to, data, offsets in slices(batch.column("text")):
+            for at, to, data, offsets in slices(batch.column("text"), 1 << 19):
                 keys = _trigrams(data, offsets)
                 doc, bucket = keys // BUCKETS, keys % BUCKETS
                 for lang in dict.fromkeys(langs[at:to]):
@@ -154,7 +157,7 @@ def infer(model: Model, data: np.ndarray, offsets: np.ndarray):
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, lang_pred, score, langs (the chosen set with proportions, as text)."""
-    spark = docs.sparkSession
+    spark = settle(docs.sparkSession)
     shared = spark.sparkContext.broadcast((model.langs, model.log_p))
 
     def run(batches):
@@ -162,7 +165,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             pred, score, langs = [], [], []
             letters = batch.column("letters").to_pylist()
-            for at, to, data, offsets in slices(batch.column("text")):
+            for at, to, data, offsets in slices(batch.column("text"), 1 << 19):
                 if m.langs:
                     best, s, shares = infer(m, data, offsets)
                 for i in range(to - at):

@@ -41,7 +41,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE**i and BASE**-i modulo 2**64 for i < n."""
     global _POWERS, _INVERSE
     if len(_POWERS) < n:
-        size = max(n, SLICE + (SLICE >> 2))
+        size = max(n + (n >> 2), 1 << 18)
         step = np.full(size, _BASE, np.uint64)
         back = np.full(size, pow(_BASE, -1, 1 << 64), np.uint64)
         step[0] = back[0] = 1
@@ -62,8 +62,8 @@ def span_hash(sums: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarr
     return (sums[stop] - sums[start]) * powers(len(sums))[1][start]
 
 
-def slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, last row + 1, bytes, offsets into them) of a text or binary column, about SLICE bytes each."""
+def slices(column: pa.Array, size: int = SLICE) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, last row + 1, bytes, offsets into them) of a text or binary column, about ``size`` bytes each."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     n = len(column)
@@ -75,7 +75,7 @@ def slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
     data = np.frombuffer(raw, np.uint8) if raw is not None and raw.size else np.zeros(0, np.uint8)
     at = 0
     while at < n:
-        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + SLICE, "right")) - 1)
+        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + size, "right")) - 1)
         yield at, to, data[offsets[at]: offsets[to]], offsets[at: to + 1] - offsets[at]
         at = to
 
