@@ -142,6 +142,20 @@ def test_near_chain_across_leaders(spark):
     assert Counter((r.doc_id, r.class_id) for r in got) == brute_classes(rows)
 
 
+def test_near_pairs_inside_a_template_family(spark):
+    """All texts are alike at about 0.75, and each has one partner at 0.82 that no leader need ever bring to it."""
+    rng = random.Random(12)
+    head, tail = _words(rng, 130), _words(rng, 131)
+    rows = []
+    for i in range(400):
+        if i % 2 == 0:
+            ours = " ".join(f"pair{i}x{k}" for k in range(14))
+        own = " ".join(f"own{i}x{k}" for k in range(25))
+        rows.append((i, f"{head} {ours} {own} {tail}"))
+    got = Counter((r.doc_id, r.class_id) for r in near_dedup.near_classes(spark.createDataFrame(rows, "doc_id bigint, text string")).collect())
+    assert got == Counter((i, i - i % 2) for i in range(400)) == brute_classes(rows)
+
+
 def test_drop_near_keeps_one_of_each_class(docs):
     out = near_dedup.drop_near_duplicates(docs)
     classes = brute_classes([r[:2] for r in DOCS])
