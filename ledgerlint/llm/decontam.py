@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import once, stage
+from .exact_dedup import located
 
 MASKS = ("110111", "1101011", "11001101")
 WINDOW, MIN_SHARE = 13, 0.75
@@ -80,24 +81,24 @@ def benchmark_seeds(benchmark: DataFrame) -> DataFrame:
         _around(F.col("h"), F.col("s.at")).alias("item_around"))
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """One row per contaminated pair: doc_id, item_id, n_tokens, best (equal tokens of the best window), window, hits."""
+def find_leaks(docs: DataFrame, benchmark: DataFrame, by: tuple = ("doc_id",)) -> DataFrame:
+    """One row per contaminated pair: ``by``, item_id, n_tokens, best (equal tokens of the best window), window, hits."""
     seeds = stage(benchmark_seeds(benchmark), "leak-seeds")
     item_tokens = benchmark.select(F.explode(tokens(F.col("text"))).alias("v"))
     token_map = _bit_map(item_tokens, TOKEN_BITS)
     seed_map = _bit_map(seeds.select(F.col("seed").alias("v")), SEED_BITS)
     shortest = min(map(len, MASKS))
 
-    d = once(docs, "doc_id", h=tokens(F.col("text"))).where(F.size("h") >= shortest)
+    d = once(docs, *by, h=tokens(F.col("text"))).where(F.size("h") >= shortest)
     starts = F.filter(F.sequence(F.lit(0), F.size("h") - shortest), lambda i:
                       _has_bit(token_map, F.get("h", i), TOKEN_BITS) & _has_bit(token_map, F.get("h", i + 1), TOKEN_BITS))
-    d = once(d, "doc_id", "h", starts=starts)
+    d = once(d, *by, "h", starts=starts)
     found = F.flatten(F.transform("starts", lambda i: F.array(*(
         F.struct(i.alias("at"), _seed(F.col("h"), i, m).alias("seed")) for m in range(len(MASKS))))))
     found = F.filter(found, lambda s: s["seed"].isNotNull() & _has_bit(seed_map, s["seed"], SEED_BITS))
     found = F.transform(found, lambda s: F.struct(s["at"].alias("at"), s["seed"].alias("seed"),
                                                   _around(F.col("h"), s["at"]).alias("around")))
-    d = d.select("doc_id", F.explode(found).alias("s")).select("doc_id", "s.*")
+    d = d.select(*by, F.explode(found).alias("s")).select(*by, "s.*")
     few = seeds.count() <= MAX_BROADCAST
     hits = d.join(F.broadcast(seeds) if few else seeds, "seed")
 
@@ -108,13 +109,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return (
         hits.withColumn("same", same).withColumn("width", width).withColumn("best", best)
         .where(F.col("best") >= F.ceil(F.col("width") * MIN_SHARE))
-        .groupBy("doc_id", "item_id")
+        .groupBy(*by, "item_id")
         .agg(F.max("n_tokens").cast("long").alias("n_tokens"), F.max("best").cast("long").alias("best"),
              F.max("width").cast("long").alias("window"), F.count_distinct("at").alias("hits"), F.min("at").cast("long").alias("first_at"))
     )
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents without any contaminated pair, with their own columns."""
-    leaked = find_leaks(docs, benchmark).select(F.col("doc_id").alias("__leaked")).distinct()
-    return docs.join(leaked, docs["doc_id"].eqNullSafe(F.col("__leaked")), "left_anti")
+    """The documents without any contaminated pair, with their own columns; each row is judged by itself, whatever its id."""
+    rows, place = located(docs), ("__file", "__row")
+    leaked = find_leaks(rows, benchmark, place).select(*place).distinct()
+    return rows.join(leaked, [*place], "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))

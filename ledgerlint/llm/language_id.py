@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import settle
+from .exact_dedup import located
 from .textbytes import slices
 
 BUCKETS = 1 << 16
@@ -155,8 +156,12 @@ def infer(model: Model, data: np.ndarray, offsets: np.ndarray):
     return best, score, shares
 
 
-def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, lang_pred, score, langs (the chosen set with proportions, as text)."""
+def _lettered() -> Column:
+    return F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+
+
+def predict(docs: DataFrame, model: Model, keep: tuple = ("doc_id",)) -> DataFrame:
+    """The columns ``keep``, lang_pred, score, langs (the chosen set with proportions, as text)."""
     spark = settle(docs.sparkSession)
     shared = spark.sparkContext.broadcast((model.langs, model.log_p))
 
@@ -174,13 +179,12 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
                     score.append(float(s[i]) if ok else 0.0)
                     langs.append(",".join(f"{m.langs[j]}:{shares[i, j]:.2f}" for j in np.argsort(-shares[i], kind="stable")
                                           if shares[i, j] > 0) if ok else "")
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(pred, pa.string()), pa.array(score, pa.float64()),
-                                              pa.array(langs, pa.string())], names=["doc_id", "lang_pred", "score", "langs"])
+            yield pa.RecordBatch.from_arrays([*map(batch.column, keep), pa.array(pred, pa.string()), pa.array(score, pa.float64()),
+                                              pa.array(langs, pa.string())], names=[*keep, "lang_pred", "score", "langs"])
 
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"),
-                       F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letters"))
-    kind = dict(docs.dtypes)["doc_id"]
-    return rows.mapInArrow(run, f"doc_id {kind}, lang_pred string, score double, langs string")
+    rows = docs.select(*keep, F.coalesce("text", F.lit("")).alias("text"), _lettered().alias("letters"))
+    kinds = dict(docs.dtypes)
+    return rows.mapInArrow(run, "".join(f"{c} {kinds[c]}, " for c in keep) + "lang_pred string, score double, langs string")
 
 
 def identify(docs: DataFrame) -> DataFrame:
@@ -192,10 +196,12 @@ def identify(docs: DataFrame) -> DataFrame:
 def drop_unidentified(docs: DataFrame) -> DataFrame:
     """The documents in which a language was found, with their own columns.
 
-    The operator rejects what it returns as ``und``: texts that are null or have no letter.
+    Each row is judged by itself, whatever its id: texts that are null or have no letter go.
+    Texts with a letter also stay if no language could be learnt.
     """
     model = learn(docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))))
-    if not model.langs:  # nothing to learn from: everything is und
-        return docs.limit(0)
-    return docs.join(predict(docs, model).where("lang_pred = 'und'").select(F.col("doc_id").alias("__und")).distinct(),
-                     docs["doc_id"].eqNullSafe(F.col("__und")), "left_anti")
+    if not model.langs:
+        return docs.where(_lettered())
+    rows, place = located(docs), ("__file", "__row")
+    gone = predict(rows, model, place).where("lang_pred = 'und'").select(*place)
+    return rows.join(gone, [*place], "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -332,6 +332,20 @@ def test_decontamination(spark, empty):
     assert decontam.find_leaks(docs.limit(0), bench).isEmpty() and decontam.find_leaks(docs, bench.limit(0)).isEmpty()
 
 
+def test_filters_judge_rows_not_ids(spark):
+    """A rejected row takes no other row of its id, or without an id, with it."""
+    leak = BENCH[0][1]
+    rows = [(None, "a clean text without an id", "en"), (None, "12 34", "en"), (None, None, "en"), (None, leak, "en"),
+            (7, "a clean text under the id seven", "en"), (7, "", "en"), (7, leak, "en"), (8, "another one", "en"), (9, "more words", "en")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    bench = spark.createDataFrame(BENCH, "item_id bigint, text string")
+    lettered = Counter(t for _, t, _ in rows if t and t != "12 34")
+    assert Counter(r.text for r in language_id.drop_unidentified(docs).collect()) == lettered
+    unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert Counter(r.text for r in language_id.drop_unidentified(unlabelled).collect()) == lettered
+    assert Counter(r.text for r in decontam.drop_leaks(docs, bench).collect()) == Counter(t for _, t, _ in rows if t != leak)
+
+
 def test_decontamination_equals_brute_force(spark, sf_small):
     docs = spark.read.parquet(f"{sf_small}/documents.parquet")
     bench = spark.read.parquet(f"{sf_small}/benchmark.parquet")
