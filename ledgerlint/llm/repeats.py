@@ -312,8 +312,9 @@ class Repeats:
             "node", (F.col("start") + F.col("first")).alias("start"), *columns)
 
     def groups(self) -> DataFrame:
-        """Maximal repeats with all their occurrences: group_id, length, node, start.
+        """Maximal repeats among different texts, with all places in these: group_id, length, node, start.
 
+        A node stands for all copies of its text; ``occurrences`` has every document's place.
         A repeat that outreaches its segments is reported as overlapping parts; those of
         hot anchors as their single windows.
         """
@@ -342,6 +343,18 @@ class Repeats:
             F.col("window").bitwiseOR(F.lit(-1 << 63)).alias("group_id"), F.lit(u.length).cast("long").alias("length"), "anchor", "key", "start")
         return self._placed(cold.unionByName(hot), "group_id", "length")
 
+    def occurrences(self) -> DataFrame:
+        """Repeats with all their occurrences in documents: group_id, length, doc_id, __file, __row, start.
+
+        ``groups()`` at the places of all copies of a text; and each text of L units or more
+        that several documents have is a repeat of its full length.
+        """
+        whole = self.nodes.where((F.col("copies") > 1) & (F.col("n_units") >= self.u.length)).select(
+            F.col("node").bitwiseOR(F.lit(1 << 62)).alias("group_id"), F.col("n_units").alias("length"), "node", F.lit(0).cast("long").alias("start"))
+        found = self.groups().select("group_id", "length", "node", F.col("start").cast("long").alias("start"))
+        places = self.rows.select("doc_id", *PLACE, "digest").join(self.nodes.select("node", "digest"), "digest")
+        return stage(found.unionByName(whole).join(places, "node").select("group_id", "length", "doc_id", *PLACE, "start"), "repeat-occurrences")
+
     def covers(self) -> DataFrame:
         """node, start, stop: spans whose union by node is all that repeats cover."""
         u, finder = self.u, self.finder

@@ -81,5 +81,5 @@ def maximal_repeats(c: Chunk, length: int, pos: list[int], seg: list[int]):
 
 
 def repeats(docs: DataFrame, length: int = LENGTH, run: int = RUN, hot: int = HOT) -> Repeats:
-    """``groups()``: maximal repeats with all occurrences; ``covers()``: spans; ``removed()``: the cut texts' digests."""
+    """``occurrences()``: maximal repeats with all occurrences; ``groups()``: these by distinct text; ``covers()``: spans; ``removed()``: the cut texts' digests."""
     return Repeats(docs, Units(True, length, run), maximal_repeats, hot)

@@ -216,6 +216,32 @@ def test_repeats(docs, empty, module, hot):
         assert len({u for u, _ in g}) == 1 and len({p for _, p in g}) == len(g) > 1
 
 
+@pytest.mark.parametrize("module", [substring_dedup, suffix_dedup])
+def test_occurrences_are_complete(spark, module):
+    """The places of every repeated window are the places of a group, also where only copies of a text repeat it."""
+    rng = random.Random(3)
+    passage, copied, other = _words(rng, 50), _words(rng, 70), _words(rng, 40)
+    texts = [copied, copied, copied, f"{_words(rng, 20)} {passage} {_words(rng, 20)}", f"{_words(rng, 9)} {passage}",
+             f"{other} {other}", f"{other} {other}", _words(rng, 60), "short text", "short text", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    units = [(t or "").encode() for t in texts]
+    if module is substring_dedup:
+        units = [t.split() for t in units]
+    length, windows, want = module.LENGTH, defaultdict(set), defaultdict(set)
+    for i, x in enumerate(units):
+        for p in range(len(x) - length + 1):
+            windows[tuple(x[p: p + length])].add((i, p))
+    for r in module.repeats(docs).occurrences().collect():
+        want[r.group_id, r.length].add((r.doc_id, r.start))
+    shifted = set()
+    for (_, n), places in want.items():
+        assert len(places) > 1 and len({tuple(units[i][p: p + n]) for i, p in places}) == 1
+        shifted |= {frozenset((i, p + d) for i, p in places) for d in range(n - length + 1)}
+    repeated = [w for w in windows.values() if len(w) > 1]
+    assert {i for w in repeated for i, _ in w} == {0, 1, 2, 3, 4, 5, 6}
+    assert all(frozenset(w) in shifted for w in repeated)
+
+
 def test_interval_tree_and_suffix_tree_agree():
     from ledgerlint.llm.repeats import Chunk, Units, repeats_of
 
