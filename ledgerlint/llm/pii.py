@@ -126,18 +126,24 @@ def scan(docs: DataFrame) -> DataFrame:
 
 
 def score_patterns(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """pattern, confidence, support from distinct (pattern, value, seed) edges."""
-    edges = stage(edges.groupBy("pattern", "value").agg(F.max("seed").alias("seed")).where("pattern <> ''"), "pii-edges")
-    known = edges.groupBy("value").agg(F.max(F.col("seed").cast("double")).alias("score"))
-    patterns = None
+    """pattern, confidence, support from distinct (pattern, value, seed) edges.
+
+    A value that isn't a seed is scored for a pattern by its other patterns only.
+    """
+    edges = edges.groupBy("pattern", "value").agg(F.max("seed").alias("seed")).where("pattern <> ''")
+    known = edges.groupBy("value").agg(F.max("seed").alias("known"))
+    edges = stage(edges.join(known, "value"), "pii-edges")
+    scored, patterns = edges.withColumn("score", F.col("known").cast("double")), None
     for i in range(rounds):
-        patterns = edges.join(known, "value").groupBy("pattern").agg(
-            F.avg("score").alias("confidence"), F.sum("score").alias("support"))
+        patterns = scored.groupBy("pattern").agg(F.avg("score").alias("confidence"), F.sum("score").alias("support"))
         patterns = stage(patterns.where(F.col("support") >= MIN_SUPPORT), f"pii-patterns-{i}")
         if i + 1 < rounds:
-            doubt = F.sum(F.log1p(-F.least(F.coalesce("confidence", F.lit(0.0)), F.lit(0.999999))))
-            known = stage(edges.join(patterns, "pattern", "left").groupBy("value").agg(
-                F.when(F.max("seed"), F.lit(1.0)).otherwise(1.0 - F.exp(doubt)).alias("score")), f"pii-known-{i}")
+            doubt = F.log1p(-F.least(F.coalesce("confidence", F.lit(0.0)), F.lit(0.999999)))
+            own = edges.join(patterns, "pattern", "left").select("pattern", "value", "known", doubt.alias("doubt"))
+            total = own.groupBy("value").agg(F.sum("doubt").alias("total"))
+            others = F.greatest(F.lit(0.0), 1.0 - F.exp(F.col("total") - F.col("doubt")))
+            scored = stage(own.join(total, "value").select(
+                "pattern", "value", F.when(F.col("known"), 1.0).otherwise(others).alias("score")), f"pii-known-{i}")
     return patterns
 
 

@@ -438,6 +438,13 @@ def test_pii_base_spans(spark, empty):
     assert pii.digest_spans(pii.find_pii(docs.limit(0))).isEmpty()
 
 
+def test_pii_pattern_does_not_vouch_for_itself(spark):
+    """Half of a pattern's instances are seeds, the others order numbers that stand nowhere else: 0.5, not 0.8."""
+    rows = [(i, f"we sent it to user{i}@mail.org today") for i in range(8)] + [(100 + i, f"we sent it to order-{i}7431x today") for i in range(8)]
+    got = pii.digest_spans(pii.find_pii(spark.createDataFrame(rows, "doc_id bigint, text string"))).collect()
+    assert sum(r.n_email for r in got) == 8 and all(r.n_id == 0 for r in got)
+
+
 def test_pii_bootstrapping_finds_unseen_identifiers(spark):
     rng = random.Random(6)
     rows = [(i, f"{_words(rng, 9)} please contact user{i}@mail.org {_words(rng, 9)}") for i in range(8)]
