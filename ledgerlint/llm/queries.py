@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from ledgerlint.session import configure
 from ledgerlint.sources.tables import read_table
 
-from . import chat_format, decontam, exact_dedup, language_id, near_dedup, packing, pii, substring_dedup, suffix_dedup, url_filter
+from . import (
+    chat_format, decontam, exact_dedup, language_id, lexical_search, near_dedup, packing, pii, prefix_bpe, substring_dedup, suffix_dedup,
+    url_filter, whitening,
+)
 from .common import documents
 
 
@@ -78,9 +81,28 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(documents(spark, sf_dir))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.rank_documents(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
+
+
+#: The public tokenizer of the encoding query.
+BYTE_TOKENIZER = "byte_bpe_50k.json"
+
+
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return prefix_bpe.round_trip(documents(spark, sf_dir), public_tokenizers.path(BYTE_TOKENIZER))
+
+
 def queries() -> dict:
     named = [op1_decontam, op2_url_filter, op3_packing, op4_pii, op5_chat_format, op6_exact_dedup, op7_near_dedup,
-             op8_substring, op9_suffix, op10_language]
+             op8_substring, op9_suffix, op10_language, op11_whitening, op12_search, op13_bpe]
     return {f.__name__: f for f in named}
 
 
@@ -89,6 +111,11 @@ _ESC = (r"regexp_replace(regexp_replace({x}, '<(\\*)(/s>|s>)', '<\\\1\2', 'g'),
         r"'\[(\\*)(/INST\]|/REPLY\]|/ROLE\]|/SYS\]|/TURN\]|INST\]|REPLY\]|ROLE\]|SYS\])', '[\\\1\2', 'g')")
 
 
+#: The terms of a text, only A-Z lower-cased.
+_TERMS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
+
+
 def oracle_sql() -> dict[str, str]:
     text, role = _ESC.format(x="text"), _ESC.format(x="role")
     return {
@@ -120,4 +147,18 @@ def oracle_sql() -> dict[str, str]:
                     WHERE last IS NULL OR p - last > 34 GROUP BY doc_id)
             SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n_kept, 0) AS BIGINT) AS n_removed,
                 sha256(coalesce(kept.text, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)""",
+        "op12_search": f"""
+            WITH d AS (SELECT doc_id, {_TERMS} AS t FROM documents),
+                total AS (SELECT count(*) FILTER (len(t) > 0) AS docs, CAST(sum(len(t)) AS BIGINT) AS length FROM d),
+                q AS (SELECT DISTINCT item_id, term FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark)),
+                tf AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, CAST(len(t) AS BIGINT) AS n, unnest(t) AS term FROM d)
+                    WHERE term IN (SELECT term FROM q) GROUP BY doc_id, n, term),
+                w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+                    FROM tf CROSS JOIN total GROUP BY term, docs),
+                adds AS (SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // length))) AS a
+                    FROM tf JOIN w USING (term) CROSS JOIN total),
+                scored AS (SELECT item_id, doc_id, CAST(sum(a) AS BIGINT) AS score FROM q JOIN adds USING (term) GROUP BY item_id, doc_id),
+                ranked AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+                    doc_id, score FROM scored WHERE score > 0)
+            SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50""",
     }
