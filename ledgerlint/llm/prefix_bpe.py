@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from .common import settle
 
-MAX_PIECES = 1_000_000
+MAX_PIECES = 500_000
 MAX_PAIRS = 1_000_000
 #: Pieces of more characters aren't remembered.
 LONG_PIECE = 48
