@@ -184,13 +184,13 @@ def q_available_monthly(spark, d):
 
 
 def q_missing_daily(spark, d):
-    s = run(spark, d)
-    return mf.missing_by_list(s.expected_daily, s.available_daily)
+    b = run(spark, d).bits
+    return mf.missing_by_bits(b["expected_daily"], b["available_daily"])
 
 
 def q_missing_weekly(spark, d):
-    s = run(spark, d)
-    return mf.missing_by_list(s.expected_weekly, s.available_weekly)
+    b = run(spark, d).bits
+    return mf.missing_by_bits(b["expected_weekly"], b["available_weekly"])
 
 
 def q_missing_monthly(spark, d):

@@ -16,6 +16,9 @@ Plan notes for large inputs:
   persisted.
 - The calendar is collapsed to one row per month before it meets the stores
   (``operators.calendar``), so no day x store product is formed.
+- Expected and available days and weeks are bitmaps: partial aggregation keeps one
+  64-bit number a store-month (``bit_or``), and the bag difference is a
+  ``bit_count``.  The list columns of the steps are only built where they are asked for.
 - M1 and the monthly steps are made distinct before they are joined or
   partitioned, so a store holding a third of all fact rows sends at most one
   row per day and source from each map task.
@@ -38,7 +41,7 @@ from ledgerlint.functions.normalize import (
 )
 from ledgerlint.functions.scalar import bigint, concat_strict, ltrim_chars, month_start, week_start_sunday
 from ledgerlint.operators import calendar as cal
-from ledgerlint.operators.bagdiff import missing_count
+from ledgerlint.operators.bagdiff import missing_bits
 
 
 @dataclass(frozen=True)
@@ -119,6 +122,8 @@ EXPECTED_KEYS = ["year", "month", "market_code", "division_code", "point_of_sale
 AVAILABLE_KEYS = ["market_code", "division_code", "point_of_sale_code", "year", "month", "client_name",
                   "source_project", "channel_level1", "channel_level2"]
 DIFF_JOIN_KEYS = ["division_code", "point_of_sale_code", "year", "month", "source_project", "client_name"]
+#: A set of days or week numbers as a bitmap, and how many starts of a store expect it.
+BITS, TIMES = "_bits", "_n"
 RESULT = ["market_code", "division_code", "point_of_sale_code", "client_name", "source_project", "year", "month",
           "channel_level1", "channel_level2", "data_source_frequency", "missing_file_count", "missing_file"]
 
@@ -226,18 +231,19 @@ def weekly_window(cfg: MissingFileConfig, as_of: dt.date) -> tuple[Column, Colum
     return lo, hi
 
 
-def month_calendar(m3: DataFrame) -> DataFrame:
-    """The calendar collapsed to calendar months, entries valued with the day of month."""
-    return cal.collapse(m3, F.col("year"), F.col("month"), bigint(F.dayofmonth("cal_date")))
+def _month_bounds(cfg: MissingFileConfig, as_of: dt.date) -> tuple[Column, Column]:
+    """The calendar's months (its ``year`` may differ from a date's own at the turn of a year)."""
+    return F.add_months(_floor_date(cfg), -1), F.add_months(month_start(_date(as_of)), -1)
 
 
-def expected_daily(m5: DataFrame, months: DataFrame, cfg: MissingFileConfig) -> DataFrame:
-    """M6: per store and calendar month, the ordered bag of days on or after the start."""
-    stores = m5.filter(F.col("data_source_frequency") == cfg.daily)
-    j = by_store_month(cal.months_from_start(stores, months, "effective_store_start_date"))
-    return j.groupBy(*EXPECTED_KEYS).agg(
-        F.sort_array(F.flatten(F.collect_list("_values"))).alias("expected_array")
-    )
+def _stores(m5: DataFrame, frequency: str) -> DataFrame:
+    return m5.filter(F.col("data_source_frequency") == frequency)
+
+
+def expected_daily(m5: DataFrame, months: DataFrame, cfg: MissingFileConfig, as_of: dt.date) -> DataFrame:
+    """M6: per store and calendar month, the bag of days on or after the start, as bitmaps with their multiplicity."""
+    j = cal.from_start(_stores(m5, cfg.daily), months, "effective_store_start_date", *_month_bounds(cfg, as_of))
+    return by_store_month(j).groupBy(*EXPECTED_KEYS, F.col(cal.DAYS).alias(BITS)).agg(F.sum(cal.TIMES).alias(TIMES))
 
 
 def expected_daily_plain(m5: DataFrame, m3: DataFrame, cfg: MissingFileConfig) -> DataFrame:
@@ -255,62 +261,84 @@ def expected_daily_plain(m5: DataFrame, m3: DataFrame, cfg: MissingFileConfig) -
 
 
 def expected_weekly(m5: DataFrame, m3: DataFrame, cfg: MissingFileConfig, as_of: dt.date) -> DataFrame:
-    """M7: distinct ordered week numbers, grouped by the year and month of the week start."""
+    """M7: the set of week numbers as a bitmap, grouped by the year and month of the week start."""
     lo, hi = weekly_window(cfg, as_of)
-    stores = m5.filter(F.col("data_source_frequency") == cfg.weekly)
-    days = m3.filter(F.col("cal_date").between(lo, hi))
-    weeks = cal.collapse(days, bigint(F.year("week_start_date")), bigint(F.month("week_start_date")), F.col("week_num"))
-    j = by_store_month(cal.months_from_start(stores, weeks, "effective_store_start_date"))
-    return j.groupBy(*EXPECTED_KEYS).agg(
-        F.sort_array(F.array_distinct(F.flatten(F.collect_list("_values")))).alias("expected_array")
-    )
+    weeks = cal.week_days(m3.filter(F.col("cal_date").between(lo, hi)))
+    j = cal.from_start(_stores(m5, cfg.weekly), weeks, "effective_store_start_date", *_month_bounds(cfg, as_of))
+    return by_store_month(j).groupBy(*EXPECTED_KEYS).agg(F.bit_or(cal.bit("week_num")).alias(BITS)).withColumn(TIMES, bigint(F.lit(1)))
 
 
-def expected_monthly(m5: DataFrame, months: DataFrame, cfg: MissingFileConfig) -> DataFrame:
-    """M8: store x calendar months on or after the start (MFS adds the list [1])."""
-    stores = m5.filter(F.col("data_source_frequency") == cfg.monthly)
-    j = cal.months_from_start(stores, months, "effective_store_start_date")
+def expected_monthly(m5: DataFrame, months: DataFrame, cfg: MissingFileConfig, as_of: dt.date) -> DataFrame:
+    """M8: store x calendar months on or after the start (MFS compares them as the list [1])."""
+    j = cal.from_start(_stores(m5, cfg.monthly), months, "effective_store_start_date", *_month_bounds(cfg, as_of))
     out = by_store_month(j.select(*EXPECTED_KEYS).distinct())
     if not cfg.monthly_by_count:
-        out = out.withColumn("expected_array", F.array(F.lit(1).cast("bigint")))
+        out = out.withColumn(BITS, cal.bit(F.lit(1))).withColumn(TIMES, bigint(F.lit(1)))
     return out
 
 
+def expected_lists(expected: DataFrame) -> DataFrame:
+    """The ordered bag of each expected row as a list (for reports; the pipeline compares bitmaps)."""
+    values = F.flatten(F.transform(cal.bit_values(BITS), lambda v: F.array_repeat(v, F.col(TIMES).cast("int"))))
+    return expected.groupBy(*EXPECTED_KEYS).agg(F.sort_array(F.flatten(F.collect_list(values))).alias("expected_array"))
+
+
 # ---------------------------------------------------------------------------
 # M9, M10 zero-sale deliveries
 # ---------------------------------------------------------------------------
 
-def marketplace_zero_sales(inp: MissingFileInputs, cfg: MissingFileConfig, active: DataFrame) -> DataFrame:
-    """M9: marketplace store-days whose rows report zero sales (SP only).
+#: Parts of a marketplace feed's rows without a product code, so that these don't meet in one task.
+UNKNOWN_PARTS = 64
+
 
-    The zero-sale predicate is applied per row before the product lookups;
-    Catalyst pushes it below the LEFT joins.  The EAN-to-SKU mapping join of
-    the reference selects no column and its fan-out is removed by the final
-    DISTINCT, so it cannot change the answer and is not part of the plan
-    (``normalize_ean`` is the EAN rule on its own).
+def marketplace_divisions(codes: DataFrame, product: DataFrame, signature: DataFrame) -> DataFrame:
+    """Each distinct (market, product code, signature) with the divisions that the lookups give it.
+
+    Repeated lookup rows give several divisions; NULL where none is found.
     """
-    a = inp.amz
-    units_zero = (F.col("shipped_units") == 0) | (F.col("shipped_revenue") == 0)
-    # As written in the reference: true only when ordered units are NULL and revenue is 0.
-    else_branch = F.col("ordered_units").isNull() & ((F.col("ordered_units") == 0) | (F.col("ordered_revenue") == 0))
-    zero = F.when((F.col("market_code") == "AU") & F.col("shipped_units").isNotNull(), units_zero).otherwise(else_branch)
-    rows = a.filter((F.upper("period") == "D") & zero & (F.col("date_id") >= _floor_date(cfg))).select(
-        "market_code", "sap_division_name", "client", "channel_type", "date_id", "sap_product_code",
-        "sap_signature_code",
-    )
-    p360 = inp.product.filter(F.col("source_project") == "P360").select("product_code", "division_code")
+    p360 = product.filter(F.col("source_project") == "P360").select("product_code", "division_code")
     elix = p360.select(F.col("product_code").alias("_elix_code"), F.col("division_code").alias("_elix_div"))
     ecc = p360.select(F.col("product_code").alias("_ecc_code"), F.col("division_code").alias("_ecc_div"))
-    grp = inp.signature.select(
+    grp = signature.select(
         ltrim_chars(F.col("signature_code"), "0").alias("_sig"), F.col("division").alias("_grp_div")
     )
     j = (
-        rows.join(elix, normalize_product_code("sap_product_code") == F.col("_elix_code"), "left")
+        codes.distinct().join(elix, normalize_product_code("sap_product_code") == F.col("_elix_code"), "left")
         .join(ecc, prefixed_product_key("market_code", "sap_product_code") == F.col("_ecc_code"), "left")
         .join(grp, ltrim_chars(F.col("sap_signature_code"), "0") == F.col("_sig"), "left")
     )
+    return j.select(*codes.columns, F.coalesce("_elix_div", "_ecc_div", "_grp_div").alias("looked_up_division")).distinct()
+
+
+def marketplace_zero_sales(inp: MissingFileInputs, cfg: MissingFileConfig, active: DataFrame) -> DataFrame:
+    """M9: marketplace store-days whose rows report zero sales (SP only).
+
+    The lookups see each (market, product code, signature) once, not each row, and
+    their answer is joined back to the distinct rows.  Rows without a product code
+    share few such keys, so these go in ``UNKNOWN_PARTS`` parts.  The EAN-to-SKU
+    mapping join of the reference selects no column and its fan-out is removed by
+    the final DISTINCT, so it cannot change the answer and is not part of the plan
+    (``normalize.join_ean_mapping`` has it).
+    """
+    a = inp.amz
+    units_zero = (F.col("shipped_units") == 0) | (F.col("shipped_revenue") == 0)
+    # As written in the reference: true only when ordered units are NULL and revenue is 0.
+    else_branch = F.col("ordered_units").isNull() & ((F.col("ordered_units") == 0) | (F.col("ordered_revenue") == 0))
+    zero = F.when((F.col("market_code") == "AU") & F.col("shipped_units").isNotNull(), units_zero).otherwise(else_branch)
+    codes = ["market_code", "sap_product_code", "sap_signature_code"]
+    rows = a.filter((F.upper("period") == "D") & zero & (F.col("date_id") >= _floor_date(cfg))).select(
+        *codes, "sap_division_name", "client", "channel_type", "date_id").distinct()
+    unknown = normalize_product_code("sap_product_code") == "-1"
+    part = F.when(unknown, F.pmod(F.xxhash64("client", "channel_type", "date_id"), F.lit(UNKNOWN_PARTS)).cast("int")).otherwise(F.lit(0))
+    parts = F.when(unknown, F.sequence(F.lit(0), F.lit(UNKNOWN_PARTS - 1))).otherwise(F.array(F.lit(0)))
+    found = marketplace_divisions(rows.select(*codes), inp.product, inp.signature).withColumn("_part", F.explode(parts))
+    r, f = rows.withColumn("_part", part).alias("r"), found.alias("f")
+    same = F.col("r._part") == F.col("f._part")
+    for c in codes:
+        same = same & F.col(f"r.{c}").eqNullSafe(F.col(f"f.{c}"))
+    j = r.join(f, same).select("r.*", "f.looked_up_division")
     market = F.coalesce(F.col("market_code"), F.lit("-1"))
-    division = F.coalesce("_elix_div", "_ecc_div", "_grp_div", "sap_division_name", F.lit("-1"))
+    division = F.coalesce("looked_up_division", "sap_division_name", F.lit("-1"))
     sds = j.select(
         market.alias("market_code"),
         division.alias("division_code"),
@@ -368,27 +396,40 @@ def sku_traffic_zero_sales(inp: MissingFileInputs, cfg: MissingFileConfig, m2: D
 # ---------------------------------------------------------------------------
 
 def available_daily(m1: DataFrame, cfg: MissingFileConfig, zero_days: list[DataFrame]) -> DataFrame:
-    """Distinct ordered days delivered per store and month (zero-sale days included)."""
+    """The set of days delivered per store and month (zero-sale days included), as a bitmap."""
     days = m1.filter(F.col("data_source_frequency") == cfg.daily).select(*DELIVERY)
     for z in zero_days:
         days = days.unionByName(z.select(*DELIVERY))
     d = F.col("sellout_date")
     days = days.withColumn("year", bigint(F.year(d))).withColumn("month", bigint(F.month(d)))
-    return by_store_month(days).groupBy(*AVAILABLE_KEYS).agg(
-        F.sort_array(F.collect_set(bigint(F.dayofmonth(d)))).alias("available_array")
-    )
+    return by_store_month(days.groupBy(*AVAILABLE_KEYS).agg(F.bit_or(cal.bit(F.dayofmonth(d))).alias(BITS)))
 
 
-def available_weekly(m1: DataFrame, m3: DataFrame, cfg: MissingFileConfig, as_of: dt.date) -> DataFrame:
-    """Week numbers delivered, by year and month of the week start (bag in SP, set in MFS)."""
+def _weeks_delivered(m1: DataFrame, m3: DataFrame, cfg: MissingFileConfig, as_of: dt.date) -> DataFrame:
     lo, hi = weekly_window(cfg, as_of)
     f = m1.filter((F.col("data_source_frequency") == cfg.weekly) & F.col("sellout_date").between(lo, hi))
     c = m3.select("cal_date", "week_start_date", "week_num")
-    j = f.join(c, f.sellout_date == c.cal_date)
-    agg = F.collect_list("week_num") if cfg.weekly_available_bag else F.collect_set("week_num")
-    j = j.withColumn("year", bigint(F.year("week_start_date"))).withColumn("month", bigint(F.month("week_start_date")))
-    out = by_store_month(j).groupBy(*AVAILABLE_KEYS).agg(F.sort_array(agg).alias("available_array"))
-    return out.distinct() if cfg.weekly_available_bag else out
+    return f.join(c, f.sellout_date == c.cal_date).withColumn("year", bigint(F.year("week_start_date"))).withColumn(
+        "month", bigint(F.month("week_start_date")))
+
+
+def available_weekly(m1: DataFrame, m3: DataFrame, cfg: MissingFileConfig, as_of: dt.date) -> DataFrame:
+    """The set of week numbers delivered, by year and month of the week start, as a bitmap."""
+    j = _weeks_delivered(m1, m3, cfg, as_of)
+    return by_store_month(j.groupBy(*AVAILABLE_KEYS).agg(F.bit_or(cal.bit("week_num")).alias(BITS)))
+
+
+def available_lists(available: DataFrame) -> DataFrame:
+    """The ordered list of each available row (for reports; the pipeline compares bitmaps)."""
+    return available.select(*AVAILABLE_KEYS, cal.bit_values(BITS).alias("available_array"))
+
+
+def available_week_lists(m1: DataFrame, m3: DataFrame, cfg: MissingFileConfig, as_of: dt.date) -> DataFrame:
+    """M12 as lists: a bag in SP (one entry a delivery), a set in MFS; the difference reads the set of both."""
+    n = F.count(F.lit(1)) if cfg.weekly_available_bag else F.lit(1)
+    weeks = _weeks_delivered(m1, m3, cfg, as_of).groupBy(*AVAILABLE_KEYS, "week_num").agg(n.cast("int").alias(TIMES))
+    bag = F.flatten(F.sort_array(F.collect_list(F.array_repeat("week_num", F.col(TIMES)))))
+    return weeks.groupBy(*AVAILABLE_KEYS).agg(bag.alias("available_array"))
 
 
 def available_monthly(m1: DataFrame, cfg: MissingFileConfig) -> DataFrame:
@@ -399,7 +440,7 @@ def available_monthly(m1: DataFrame, cfg: MissingFileConfig) -> DataFrame:
         bigint(F.month(d)).alias("month"), "client_name", "source_project", "channel_level1", "channel_level2",
     ).distinct())
     if not cfg.monthly_by_count:
-        out = out.withColumn("available_array", F.array(F.lit(1).cast("bigint")))
+        out = out.withColumn(BITS, cal.bit(F.lit(1)))
     return out
 
 
@@ -413,13 +454,16 @@ def _diff_join(expected: DataFrame, available: DataFrame) -> DataFrame:
     return e.join(a, cond, "left")
 
 
-def missing_by_list(expected: DataFrame, available: DataFrame) -> DataFrame:
-    """LEFT join on the six keys, bag-difference count, duplicates removed."""
-    j = _diff_join(expected, available)
-    return j.select(
-        *[F.col(f"e.{c}").alias(c) for c in RESULT[:10]],
-        missing_count(F.col("e.expected_array"), F.col("a.available_array")).alias("missing_file_count"),
-    ).distinct()
+def missing_by_bits(expected: DataFrame, available: DataFrame) -> DataFrame:
+    """LEFT join on the six keys, bag-difference count, duplicates removed.
+
+    Available rows with the same keys and bitmap give the same count, so one of them is enough;
+    a store's starts that expect different bitmaps are summed for each available one.
+    """
+    j = _diff_join(expected, available.select(*DIFF_JOIN_KEYS, BITS).distinct())
+    counted = j.groupBy(*[F.col(f"e.{c}").alias(c) for c in RESULT[:10]], F.col(f"a.{BITS}").alias("_have")).agg(
+        F.sum(missing_bits(f"e.{BITS}", f"e.{TIMES}", f"a.{BITS}")).alias("missing_file_count"))
+    return counted.select(*RESULT[:10], "missing_file_count").distinct()
 
 
 def missing_monthly_by_count(expected: DataFrame, available: DataFrame) -> DataFrame:
@@ -437,7 +481,7 @@ def with_flag(df: DataFrame) -> DataFrame:
     )
 
 
-def before_start(m5: DataFrame, months: DataFrame, cfg: MissingFileConfig) -> DataFrame:
+def before_start(m5: DataFrame, months: DataFrame, cfg: MissingFileConfig, as_of: dt.date) -> DataFrame:
     """Calendar months before a store's start; count NULL, flag 2 (SP) or 0 (MFS).
 
     Daily and monthly stores: months before the start month.  Any other
@@ -449,7 +493,7 @@ def before_start(m5: DataFrame, months: DataFrame, cfg: MissingFileConfig) -> Da
     bound = F.when(
         F.col("data_source_frequency").isin(cfg.daily, cfg.monthly), F.trunc(start, "month")
     ).otherwise(F.trunc(F.trunc(start, "week"), "month"))
-    j = cal.months_before(m5, months, bound)
+    j = cal.before(m5, months, bound, _month_bounds(cfg, as_of)[0])
     return j.select(
         *[c for c in RESULT[:5]], "year", "month", "channel_level1", "channel_level2", "data_source_frequency",
         F.lit(None).cast("bigint").alias("missing_file_count"),
@@ -459,7 +503,11 @@ def before_start(m5: DataFrame, months: DataFrame, cfg: MissingFileConfig) -> Da
 
 @dataclass
 class MissingFileSteps:
-    """Every intermediate of one run (each a lazy DataFrame)."""
+    """Every intermediate of one run (each a lazy DataFrame).
+
+    The daily and weekly steps are lists; ``bits`` holds the bitmaps that the result is computed
+    from, by the step's name.
+    """
 
     deliveries: DataFrame
     pos: DataFrame
@@ -477,6 +525,7 @@ class MissingFileSteps:
     missing: DataFrame
     before_start: DataFrame
     result: DataFrame
+    bits: dict[str, DataFrame]
     staged: tuple[str, ...] = ()
 
     def close(self) -> None:
@@ -528,28 +577,26 @@ def missing_files(inp: MissingFileInputs, as_of: dt.date, cfg: MissingFileConfig
     m3 = complete_months_calendar(inp, cfg, as_of)
     m4 = keep(active_stores(m1, as_of), "m4", small=True)
     m5 = keep(store_starts(m1, inp, cfg, m4), "m5", small=True)
-    months = month_calendar(m3)
-    e_d, e_w = expected_daily(m5, months, cfg), expected_weekly(m5, m3, cfg, as_of)
-    e_m = expected_monthly(m5, months, cfg)
+    months = cal.month_days(m3)
+    e_d, e_w = expected_daily(m5, months, cfg, as_of), expected_weekly(m5, m3, cfg, as_of)
+    e_m = expected_monthly(m5, months, cfg, as_of)
     m9 = marketplace_zero_sales(inp, cfg, m4) if cfg.marketplace_zero else None
     m10 = sku_traffic_zero_sales(inp, cfg, m2, m4)
     a_d = available_daily(m1, cfg, [z for z in (m9, m10) if z is not None])
     a_w, a_m = available_weekly(m1, m3, cfg, as_of), available_monthly(m1, cfg)
     if cfg.diff_per_frequency:
-        monthly = (missing_monthly_by_count(e_m, a_m) if cfg.monthly_by_count
-                   else missing_by_list(e_m, a_m))
-        missing = missing_by_list(e_d, a_d).unionByName(missing_by_list(e_w, a_w)).unionByName(monthly)
+        monthly = missing_monthly_by_count(e_m, a_m) if cfg.monthly_by_count else missing_by_bits(e_m, a_m)
+        missing = missing_by_bits(e_d, a_d).unionByName(missing_by_bits(e_w, a_w)).unionByName(monthly)
     else:
-        exp_cols = EXPECTED_KEYS + ["expected_array"]
-        av_cols = AVAILABLE_KEYS + ["available_array"]
-        exp = e_d.select(*exp_cols).unionByName(e_w.select(*exp_cols)).unionByName(e_m.select(*exp_cols))
-        av = a_d.select(*av_cols).unionByName(a_w.select(*av_cols)).unionByName(a_m.select(*av_cols))
-        missing = missing_by_list(exp, av)
+        exp = e_d.unionByName(e_w).unionByName(e_m)
+        missing = missing_by_bits(exp, a_d.unionByName(a_w).unionByName(a_m))
     flagged = with_flag(missing).select(*RESULT)
-    m19 = before_start(m5, months, cfg).select(*RESULT)
+    m19 = before_start(m5, months, cfg, as_of).select(*RESULT)
     return MissingFileSteps(
-        deliveries=m1, pos=m2, calendar=m3, active=m4, starts=m5, expected_daily=e_d, expected_weekly=e_w,
-        expected_monthly=e_m, zero_marketplace=m9, zero_sku_traffic=m10, available_daily=a_d,
-        available_weekly=a_w, available_monthly=a_m, missing=flagged, before_start=m19,
-        result=flagged.unionByName(m19), staged=tuple(staged),
+        deliveries=m1, pos=m2, calendar=m3, active=m4, starts=m5, expected_daily=expected_lists(e_d),
+        expected_weekly=expected_lists(e_w), expected_monthly=e_m, zero_marketplace=m9, zero_sku_traffic=m10,
+        available_daily=available_lists(a_d), available_weekly=available_week_lists(m1, m3, cfg, as_of),
+        available_monthly=a_m, missing=flagged, before_start=m19, result=flagged.unionByName(m19),
+        bits={"expected_daily": e_d, "expected_weekly": e_w, "available_daily": a_d, "available_weekly": a_w},
+        staged=tuple(staged),
     )
