@@ -24,6 +24,9 @@ MARKETS_P05 = ["SA", "AE", "QA", "KW", "BH", "OM", "JO", "IQ"]
 PREFIX_P65, PREFIX_P54, PREFIX_P05 = "P65", "P54", "P05"
 # --------------------------------------------------------------------------
 
+#: Parts of the rows that have no EAN or market to look up.
+NULL_KEY_PARTS = 1024
+
 
 def _strip_decimal_zeros(text: Column) -> Column:
     """'8900000000000.000000000' -> '8900000000000'; '1.250' -> '1.25'."""
@@ -57,15 +60,20 @@ def join_ean_mapping(amz: DataFrame, mapping: DataFrame) -> DataFrame:
     ``map_`` prefix.  The missing-file pipeline selects none of them and drops
     the fan-out with DISTINCT, so it does not use this join.
     """
-    m = mapping.select(*[F.col(c).alias(f"map_{c}") for c in mapping.columns])
-    cond = (
-        (normalize_ean(amz["ean_code"]) == sql_trim(ltrim_chars(m["map_ean_code"], "0")))
-        & (amz["market_code"] == m["map_src_market_code"])
-        & (m["map_prioritized_market_code"] == m["map_market_code"])
-        & (m["map_ean_code"] != "0000000000000")
-        & (sql_trim(m["map_ean_code"]) != "")
-    )
-    return amz.join(m, cond, "left")
+    ean = normalize_ean("ean_code")
+    # a row without a key can't match; its key is extended by a part number, so that such rows don't meet in one task
+    nobody = F.concat(F.lit("?"), F.pmod(F.xxhash64(*amz.columns), F.lit(NULL_KEY_PARTS)).cast("string"))
+    keyed = amz.withColumn("_ean", F.when(ean.isNotNull() & F.col("market_code").isNotNull(), F.concat(F.lit("="), ean)).otherwise(nobody))
+    m = mapping.filter(
+        (F.col("prioritized_market_code") == F.col("market_code"))
+        & (F.col("ean_code") != "0000000000000")
+        & (sql_trim("ean_code") != "")
+    ).select(*[F.col(c).alias(f"map_{c}") for c in mapping.columns],
+             F.concat(F.lit("="), sql_trim(ltrim_chars("ean_code", "0"))).alias("_map_ean"))
+    # the second key of a row without a market is its part's too, as NULL never equals
+    market = F.coalesce(keyed["market_code"], keyed["_ean"])
+    joined = keyed.join(m, (keyed["_ean"] == m["_map_ean"]) & (market == m["map_src_market_code"]), "left")
+    return joined.drop("_ean", "_map_ean")
 
 
 def normalize_product_code(code: ColumnOrName) -> Column:

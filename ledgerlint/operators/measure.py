@@ -16,6 +16,9 @@ from ledgerlint.params import RunParams
 # (the warehouse NUMERIC: 38 digits, 9 decimals), whatever the measure's type.
 VALUE_TYPE = "decimal(38,9)"
 
+#: Place of a rule in a fused run of several.
+RULE = "_rule"
+
 RESULT_COLUMNS = [
     "dq_id", "run_timestamp", "attribute_arr", "dq_score", "invalid_rows",
     "total_rows", "invalid_value", "total_value", "param_date",
@@ -104,10 +107,36 @@ def finalize(spark: SparkSession, agg: DataFrame, params: RunParams, attributes:
     joined = agg.select(*params.columns(), *agg.columns)
     if keep_empty:
         blank = params.frame(spark).select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in agg.schema.fields])
-        # The check reads every column, always true, so that both branches have the same
-        # shuffles and Spark runs them once (ReusedExchange).
-        first = agg.limit(1).select(F.xxhash64(*agg.columns).alias("_any"))
-        joined = joined.unionByName(blank.join(first, F.col("_any") >= F.lit(-(1 << 63)), "left_anti"))
+        joined = joined.unionByName(_if_empty(blank, agg))
+    return _result(joined, attributes, safe_score)
+
+
+def finalize_rules(spark: SparkSession, agg: DataFrame, rules: Sequence[RunParams], attributes: Sequence[tuple[str, str]],
+                   keep_empty: bool = True, safe_score: bool = False) -> DataFrame:
+    """``finalize`` for several rules of one aggregate, whose ``RULE`` column holds a rule's place in ``rules``.
+
+    With ``keep_empty`` an empty aggregate yields one row for each rule.
+    """
+    listed = F.array(*[F.struct(*r.columns()) for r in rules])
+    joined = agg.select(F.inline(F.array(F.get(listed, F.col(RULE)))), *[c for c in agg.columns if c != RULE])
+    if keep_empty:
+        blank = spark.range(1).select(F.inline(listed)).select(
+            "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in agg.schema.fields if f.name != RULE])
+        joined = joined.unionByName(_if_empty(blank, agg))
+    return _result(joined, attributes, safe_score)
+
+
+def _if_empty(rows: DataFrame, agg: DataFrame) -> DataFrame:
+    """The rows if the aggregate has none, else nothing; only the aggregate's first row is looked at.
+
+    The check reads every column, always true, so that both branches of a union with the aggregate have the same
+    shuffles and Spark runs them once (ReusedExchange).
+    """
+    first = agg.limit(1).select(F.xxhash64(*agg.columns).alias("_any"))
+    return rows.join(first, F.col("_any") >= F.lit(-(1 << 63)), "left_anti")
+
+
+def _result(joined: DataFrame, attributes: Sequence[tuple[str, str]], safe_score: bool) -> DataFrame:
     return joined.select(
         "dq_id",
         "run_timestamp",

@@ -9,7 +9,9 @@ Per row, with plain ``=`` on the six keys (a NULL key never matches):
 then every row gets ``last_invoked_timestamp``.
 
 More than one source row for one target row is an error, as for a MERGE
-with an update clause; ``check_source_keys`` raises with sample keys.
+with an update clause.  ``merge_rows`` says of each row where it comes from, so
+that a writer can count the target's rows as it writes them (more than the
+target has: the error); ``check_source_keys`` raises with sample keys.
 """
 
 from __future__ import annotations
@@ -61,12 +63,19 @@ def check_source_keys(target: DataFrame, source: DataFrame, sample: int = 5) ->
 def merge_status(target: DataFrame | None, source: DataFrame, run_ts: dt.datetime | str,
                  check: bool = True) -> DataFrame:
     """New status snapshot from the current one (``None`` = empty table) and a run's result."""
+    if check and target is not None:
+        check_source_keys(target, source)
+    return merge_rows(target, source, run_ts).select(*STATUS_COLUMNS)
+
+
+def merge_rows(target: DataFrame | None, source: DataFrame, run_ts: dt.datetime | str) -> DataFrame:
+    """The snapshot's rows, with ``in_target``, ``in_source`` and ``changed``; repeated source keys repeat a target row."""
     ts = _ts(run_ts)
     src = source.select(*SOURCE_COLUMNS)
     if target is None:
-        return src.select(*SOURCE_COLUMNS, ts.alias("last_updated_timestamp"), ts.alias("last_invoked_timestamp"))
-    if check:
-        check_source_keys(target, src)
+        no, yes = F.lit(False), F.lit(True)
+        return src.select(*SOURCE_COLUMNS, ts.alias("last_updated_timestamp"), ts.alias("last_invoked_timestamp"),
+                          no.alias("in_target"), yes.alias("in_source"), no.alias("changed"))
     t = target.select(*STATUS_COLUMNS, F.lit(True).alias("_in_t")).alias("t")
     s = src.select(*SOURCE_COLUMNS, F.lit(True).alias("_in_s")).alias("s")
     cond = None
@@ -87,4 +96,5 @@ def merge_status(target: DataFrame | None, source: DataFrame, run_ts: dt.datetim
         else:
             out.append(F.when(in_t, F.col(f"t.{c}")).otherwise(F.col(f"s.{c}")).alias(c))
     updated = F.when(in_t & ~changed, F.col("t.last_updated_timestamp")).otherwise(ts)
-    return j.select(*out, updated.alias("last_updated_timestamp"), ts.alias("last_invoked_timestamp"))
+    return j.select(*out, updated.alias("last_updated_timestamp"), ts.alias("last_invoked_timestamp"),
+                    in_t.alias("in_target"), in_s.alias("in_source"), changed.alias("changed"))

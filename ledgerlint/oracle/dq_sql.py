@@ -73,13 +73,14 @@ def uniqueness(dq_id: str, *, sellthrough: bool, key: str, dim: str | None, dim_
     return with_fixtures(_final(dq_id, cols, True, value_type), *fixtures, extra=extra)
 
 
-def dimension_uniqueness(dq_id: str, *, fact_col: str, dim: str, dim_key: str, pos: str, fixtures: list[str]) -> str:
+def dimension_uniqueness(dq_id: str, *, fact_col: str, dim: str, dim_key: str, pos: str, fixtures: list[str],
+                         fact: str = "fx_fact_sellout") -> str:
     """R4 with condition ``cnt > 1``."""
     src = f"""
         SELECT f.division_code, f.market_code, CAST(year(f.sellout_date) AS VARCHAR) AS sellout_year,
                f.point_of_sale_code, f.{fact_col} AS source_column, d.cnt,
                COALESCE(abs(f.consolidated_sales_eur), 0) AS val_column
-        FROM fx_fact_sellout f
+        FROM {fact} f
         JOIN (SELECT DISTINCT {dim_key} AS k, COUNT(*) OVER (PARTITION BY {dim_key}) AS cnt FROM {dim}) d
           ON f.{fact_col} = d.k"""
     hier = f"""
@@ -90,13 +91,13 @@ def dimension_uniqueness(dq_id: str, *, fact_col: str, dim: str, dim_key: str, p
 
 
 def attribute_condition(dq_id: str, *, value_expr: str, dim_join: str, cond: str, fixtures: list[str],
-                        pos: str = "dim_pos") -> str:
+                        pos: str = "dim_pos", fact: str = "fx_fact_sellout",
+                        measure: str = "COALESCE(abs(f.consolidated_sales_eur), 0)") -> str:
     """``value_expr`` over ``f`` (fact) or ``d`` (dimension joined by ``dim_join``)."""
     src = f"""
         SELECT f.division_code, f.market_code, CAST(year(f.sellout_date) AS VARCHAR) AS sellout_year,
-               f.point_of_sale_code, {value_expr} AS source_column,
-               COALESCE(abs(f.consolidated_sales_eur), 0) AS val_column
-        FROM fx_fact_sellout f {dim_join}"""
+               f.point_of_sale_code, {value_expr} AS source_column, {measure} AS val_column
+        FROM {fact} f {dim_join}"""
     hier = f"""
         SELECT s.*, h.channel_level1, h.channel_level2, h.client_name
         FROM src s LEFT JOIN {pos} h ON s.point_of_sale_code = h.point_of_sale_code"""
@@ -105,14 +106,14 @@ def attribute_condition(dq_id: str, *, value_expr: str, dim_join: str, cond: str
 
 
 def reference_integrity_stock(dq_id: str, year: int, value: str = "brand_code", ref: str = "fx_ref_brand",
-                              ref_col: str = "brand_code") -> str:
+                              ref_col: str = "brand_code", stock: str = "fx_stock_flat") -> str:
     """R2: a stock value against the distinct reference column, in their own types."""
     src = f"""
         SELECT division_amaas AS division_code, orga_country_alpha2 AS market_code,
                CAST(year(tech_period_end_date) AS VARCHAR) AS sit_year, distributor_name AS client_name,
                data_file_provider AS data_source, 'Distributor' AS source_type,
                {value} AS source_column, abs(total_stock_units) AS total_units
-        FROM fx_stock_flat WHERE year(tech_period_end_date) = {year}"""
+        FROM {stock} WHERE year(tech_period_end_date) = {year}"""
     joined = f"""
         SELECT s.*, r.parent_column FROM src s
         LEFT JOIN (SELECT DISTINCT {ref_col} AS parent_column FROM {ref}) r
@@ -120,7 +121,7 @@ def reference_integrity_stock(dq_id: str, year: int, value: str = "brand_code",
     keys = ["division_code", "market_code", "sit_year", "data_source", "source_type", "client_name"]
     cond = "parent_column IS NULL OR coalesce(CAST(source_column AS VARCHAR), '') IN ('', '-1', 'unspecified')"
     extra = [("src", src), ("j", joined), ("g", _group(keys, cond, "total_units", "j"))]
-    return with_fixtures(_final(dq_id, [(k, k) for k in keys], False), "fx_stock_flat", ref, extra=extra)
+    return with_fixtures(_final(dq_id, [(k, k) for k in keys], False), stock, ref, extra=extra)
 
 
 def reference_integrity_key(dq_id: str, fact_col: str = "product_code", dim: str = "fx_product",
@@ -174,6 +175,13 @@ def union(statements: list[str]) -> str:
 def queries() -> dict[str, str]:
     so = ["fx_fact_sellout", "dim_pos"]
     st = ["fx_fact_sellthrough", "fx_distributor"]
+    two_runs = union([
+            uniqueness("DQ1091", sellthrough=False, key="unique_id", dim=None, dim_key=None, how="",
+                       hierarchy="dim_pos", fixtures=so),
+            f"""SELECT dq_id, run_timestamp, attr_division_code, attr_market_code, attr_sellout_year,
+                       CAST(NULL AS VARCHAR) AS attr_channel_level1, CAST(NULL AS VARCHAR) AS attr_channel_level2,
+                       CAST(NULL AS VARCHAR) AS attr_client_name, dq_score, invalid_rows, total_rows, invalid_value,
+                       total_value, param_date FROM ({reference_integrity_key("DQ_REF_PRODUCT")})"""])
     return {
         "dq_uniq_1032": uniqueness("DQ1032", sellthrough=False, key="product_code", dim="fx_product",
                                    dim_key="product_code", how="LEFT", hierarchy="dim_pos",
@@ -246,13 +254,35 @@ def queries() -> dict[str, str]:
         "dq_uniq_1091_nulls": uniqueness("DQ1091", sellthrough=False, key="unique_id", dim=None, dim_key=None,
                                          how="", hierarchy="dim_pos", fixtures=so + ["fx_fact_nulls"],
                                          fact="fx_fact_nulls"),
-        "dq_append_two_runs": union([
-            uniqueness("DQ1091", sellthrough=False, key="unique_id", dim=None, dim_key=None, how="",
-                       hierarchy="dim_pos", fixtures=so),
-            f"""SELECT dq_id, run_timestamp, attr_division_code, attr_market_code, attr_sellout_year,
-                       CAST(NULL AS VARCHAR) AS attr_channel_level1, CAST(NULL AS VARCHAR) AS attr_channel_level2,
-                       CAST(NULL AS VARCHAR) AS attr_client_name, dq_score, invalid_rows, total_rows, invalid_value,
-                       total_value, param_date FROM ({reference_integrity_key("DQ_REF_PRODUCT")})"""]),
+        "dq_append_two_runs": two_runs,
+        "dq_append_idempotent": two_runs,
+        "dq_attr_catalogue_dup": union([
+            attribute_condition(f"DQ_ATTR_{c}", value_expr=f"{'d' if join else 'f'}.{c}", dim_join=join.replace("dim_pos", "dim_pos_dup"),
+                                cond=ATTR_CONDITION, fixtures=so + ["fx_product", "fx_fact_nulls", "dim_pos_dup"], pos="dim_pos_dup",
+                                fact="fx_fact_nulls", measure="abs(f.consolidated_sales_eur)")
+            for join, columns in ATTR_COLUMNS.items() for c in columns]),
+        "dq_attr_hierarchy": attribute_condition(
+            "DQ_ATTR_CLIENT", value_expr="d.brand_name", dim_join="LEFT JOIN fx_product d ON f.product_code = d.product_code",
+            cond="channel_level2 = 'L0' AND (source_column IS NULL OR val_column > 1000)", fixtures=so + ["fx_product", "dim_pos_dup"],
+            pos="dim_pos_dup"),
+        "dq_uniq_1238_nulls": uniqueness("DQ1238", sellthrough=True, key="distributor_code", dim="fx_distributor_dup",
+                                         dim_key="distributor_code", how="INNER", hierarchy="fx_distributor_dup",
+                                         fixtures=st + ["fx_distributor_dup", "fx_fact_sellthrough_nulls"],
+                                         fact="fx_fact_sellthrough_nulls"),
+        "dq_uniq_1239_nulls": uniqueness("DQ1239", sellthrough=True, key="unique_id", dim=None, dim_key=None, how="",
+                                         hierarchy="fx_distributor", fixtures=st + ["fx_fact_sellthrough_nulls"],
+                                         fact="fx_fact_sellthrough_nulls"),
+        "dq_uniq_1240_nulls": uniqueness("DQ1240", sellthrough=True, key="product_code", dim="fx_product", dim_key="product_code",
+                                         how="LEFT", hierarchy="fx_distributor",
+                                         fixtures=st + ["fx_product", "fx_fact_sellthrough_nulls"], fact="fx_fact_sellthrough_nulls"),
+        "dq_uniq_1241_nulls": uniqueness("DQ1241", sellthrough=True, key="data_source", dim="fx_datasource_dup",
+                                         dim_key="data_source_code", how="INNER", hierarchy="fx_distributor",
+                                         fixtures=st + ["fx_datasource_dup", "fx_fact_sellthrough_nulls"],
+                                         fact="fx_fact_sellthrough_nulls"),
+        "dq_ref_stock_nulls": reference_integrity_stock("DQ_REF_BRAND", 2000, stock="fx_stock_flat_nulls"),
+        "dq_uniq_generic_nulls": dimension_uniqueness("DQ_UNQ_PRODUCT", fact_col="product_code", dim="fx_product",
+                                                      dim_key="product_code", pos="dim_pos",
+                                                      fixtures=so + ["fx_product", "fx_fact_nulls"], fact="fx_fact_nulls"),
         "dq_ref_key_datasource": reference_integrity_key("DQ_REF_DS", fact_col="data_source", dim="fx_datasource",
                                                          dim_col="data_source_code"),
     }

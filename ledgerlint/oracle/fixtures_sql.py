@@ -225,6 +225,22 @@ FIXTURES: dict[str, tuple[list[str], str]] = {
 }
 
 
+FIXTURES["fx_fact_sellthrough_nulls"] = (["fx_fact_nulls"], """
+        SELECT division_code, market_code,
+               CASE WHEN point_of_sale_code IS NOT NULL THEN 'D' || CAST(suppkey AS VARCHAR) END AS distributor_code, product_code,
+               data_source, unique_id, sellout_date AS sellthrough_date, consolidated_sales_eur
+        FROM fx_fact_nulls""")
+FIXTURES["fx_stock_flat_nulls"] = (["fx_fact_nulls", "fx_pos"],
+                                   FIXTURES["fx_stock_flat"][1].replace("fx_fact_sellout", "fx_fact_nulls"))
+FIXTURES["fx_ean_mapping"] = ([], """
+        SELECT CASE WHEN k % 9 = 0 THEN '0000000000000' WHEN k % 9 = 1 THEN '  ' WHEN k % 9 <> 2 THEN lpad(CAST(k AS VARCHAR), 13, '0') END
+                   AS ean_code,
+               m AS src_market_code, m AS market_code, CASE WHEN (k + i) % 3 <> 0 THEN m ELSE 'ZZ' END AS prioritized_market_code,
+               'SKU' || CAST(k AS VARCHAR) || copy AS sku_code
+        FROM (SELECT p_partkey AS k, unnest(if(p_partkey % 10 = 0, ['a', 'b'], ['a'])) AS copy FROM part)
+        CROSS JOIN (VALUES (0, 'AU'), (1, 'SG'), (2, 'SA')) markets(i, m)""")
+
+
 def with_fixtures(body: str, *names: str, extra: list[tuple[str, str]] | None = None) -> str:
     """``WITH`` clause holding the named fixtures (and their dependencies), then ``extra`` CTEs, then ``body``."""
     order: list[str] = []
@@ -238,7 +254,9 @@ def with_fixtures(body: str, *names: str, extra: list[tuple[str, str]] | None =
 
     for n in names:
         visit(n)
-    ctes = [f"{n} AS ({FIXTURES[n][1]}\n)" for n in order]
+    facts = {"fx_pos", "fx_fact_sellout", "fx_fact_nonzero", "fx_sku_traffic", "fx_amz"} if extra and len(extra) > 5 else set()
+    ctes = [f"{n} AS {'MATERIALIZED ' if n in facts else ''}({FIXTURES[n][1]}\n)" for n in order]
     # steps that several later ones read are computed once
-    ctes += [f"{n} AS {'MATERIALIZED ' if re.search('m[1-5]$', n) else ''}({sql}\n)" for n, sql in (extra or [])]
+    once = re.compile(r"(m[1-5]|[ea]_[dwm]|z_(sku|amz)|final|was|now_)$")
+    ctes += [f"{n} AS {'MATERIALIZED ' if once.search(n) else ''}({sql}\n)" for n, sql in (extra or [])]
     return "WITH " + ",\n".join(ctes) + "\n" + body

@@ -17,7 +17,7 @@ from ledgerlint.params import RunParams
 from ledgerlint.plans import registry as reg
 from ledgerlint.plans import rules as R
 from ledgerlint.sources.fixtures import FixtureSet, dim_pos
-from ledgerlint.sources.sinks import append_results, stage_path
+from ledgerlint.sources.sinks import append_results, read_results, record_run, stage_path
 
 RUN_TS = dt.datetime(2001, 8, 31, 6, 0, 0)
 PARAM_DATE = "2001-08-31"
@@ -174,21 +174,13 @@ def q_ref_key_product(spark, d):
     return flatten_result(r, R.INTEGRITY_KEYS)
 
 
-def _union(frames: list[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
-
-
 def q_ref_stock_catalogue(spark, d):
     """R2 for every path of the catalogue."""
     f = _fx(spark, d)
     refs = {reg.GENERAL_DATA: f.general_data(), reg.EXCHANGE_RATE: f.ref_rate(), reg.DIM_MARKET: f.ref_market(),
             reg.REF_PRODUCT: f.ref_product()}
-    return flatten_result(_union([
-        R.reference_integrity_stock(spark, _p("DQ_REF_" + path), f.stock(), refs[ref.table], path, STOCK_YEAR)
-        for path, ref in reg.STOCK_REFERENCES.items()]), R.STOCK_KEYS)
+    rules = [R.StockRule(_p("DQ_REF_" + path), path) for path in reg.STOCK_REFERENCES]
+    return flatten_result(R.stock_reference_catalogue(spark, rules, f.stock(), refs, STOCK_YEAR), R.STOCK_KEYS)
 
 
 #: The condition of the attribute catalogue query, for every entry.
@@ -197,10 +189,24 @@ ATTR_CONDITION = "source_column IS NULL OR source_column = '' OR source_column L
 
 def q_attr_catalogue(spark, d):
     """R1 for every entry of the attribute catalogue."""
-    tables = _tables(spark, d)
-    return flatten_result(_union([
-        R.attribute_condition(spark, _p(f"DQ_ATTR_{column}"), tables, table, column, ATTR_CONDITION)
-        for table, columns in reg.ATTRIBUTE_SOURCES.items() for column in columns]), R.SELLOUT_KEYS)
+    rules = [R.AttributeRule(_p(f"DQ_ATTR_{column}"), table, column, ATTR_CONDITION)
+             for table, columns in reg.ATTRIBUTE_SOURCES.items() for column in columns]
+    return flatten_result(R.attribute_catalogue(spark, rules, _tables(spark, d)), R.SELLOUT_KEYS)
+
+
+def q_attr_catalogue_dup(spark, d):
+    """C1 with repeated POS and product rows, a condition that holds for NULL, and NULL keys and measures in the fact."""
+    tables = _tables(spark, d, pos_dup=True) | {reg.FACT_SELLOUT: _fx(spark, d).fact_nulls()}
+    rules = [R.AttributeRule(_p(f"DQ_ATTR_{column}"), table, column, ATTR_CONDITION)
+             for table, columns in reg.ATTRIBUTE_SOURCES.items() for column in columns]
+    return flatten_result(R.attribute_catalogue(spark, rules, tables, "abs(consolidated_sales_eur)"), R.SELLOUT_KEYS)
+
+
+def q_attr_hierarchy(spark, d):
+    """R1 with a condition that reads the hierarchy and row values: joined at row level."""
+    r = R.attribute_condition(spark, _p("DQ_ATTR_CLIENT"), _tables(spark, d, pos_dup=True), reg.DIM_PRODUCT, "brand_name",
+                              "channel_level2 = 'L0' AND (source_column IS NULL OR val_column > 1000)")
+    return flatten_result(r, R.SELLOUT_KEYS)
 
 
 def q_ref_key_pos(spark, d):
@@ -230,6 +236,56 @@ def q_uniq_1091_nulls(spark, d):
     return flatten_result(r, R.SELLOUT_KEYS)
 
 
+def _sellthrough_nulls(spark, d, function, dq_id: str, *dims: DataFrame) -> DataFrame:
+    return flatten_result(function(spark, _p(dq_id), _fx(spark, d).fact_sellthrough_nulls(), *dims), R.SELLOUT_KEYS)
+
+
+def q_uniq_1238_nulls(spark, d):
+    """R9 with NULL distributors, markets, divisions and measures."""
+    return _sellthrough_nulls(spark, d, R.distributor_uniqueness_sellthrough, "DQ1238", _fx(spark, d).distributor(duplicate=True))
+
+
+def q_uniq_1239_nulls(spark, d):
+    """R10 with NULL ``unique_id`` (one group of equal keys)."""
+    return _sellthrough_nulls(spark, d, R.fact_uniqueness_sellthrough, "DQ1239", _fx(spark, d).distributor())
+
+
+def q_uniq_1240_nulls(spark, d):
+    """R11 with NULL product codes."""
+    f = _fx(spark, d)
+    return _sellthrough_nulls(spark, d, R.product_uniqueness_sellthrough, "DQ1240", f.product(), f.distributor())
+
+
+def q_uniq_1241_nulls(spark, d):
+    """R12 with NULL data sources."""
+    f = _fx(spark, d)
+    return _sellthrough_nulls(spark, d, R.datasource_uniqueness_sellthrough, "DQ1241", f.datasource(duplicate_ds1=True), f.distributor())
+
+
+def q_ref_stock_nulls(spark, d):
+    """R2 with NULL divisions, markets, sources and units."""
+    f = _fx(spark, d)
+    r = R.reference_integrity_stock(spark, _p("DQ_REF_BRAND"), f.stock_nulls(), f.ref_brand(), "PRODUCT.brand_code", STOCK_YEAR,
+                                    reference_column="brand_code")
+    return flatten_result(r, R.STOCK_KEYS)
+
+
+def q_uniq_generic_nulls(spark, d):
+    """R4 with NULL keys, markets, divisions and measures in the fact."""
+    tables = _tables(spark, d) | {reg.FACT_SELLOUT: _fx(spark, d).fact_nulls()}
+    return flatten_result(R.dimension_key_uniqueness(spark, _p("DQ_UNQ_PRODUCT"), tables, "product_code", "cnt > 1"), R.SELLOUT_KEYS)
+
+
+def q_append_idempotent(spark, d):
+    """One run of R8 recorded twice and one of R3; each run's rows are there once."""
+    path = stage_path(spark, "dq-runs")
+    run = R.fact_uniqueness_sellout(spark, _p("DQ1091"), _fx(spark, d).fact_sellout(), _pos(_fx(spark, d)))
+    record_run(run, path)
+    record_run(R.reference_integrity_key(spark, _p("DQ_REF_PRODUCT"), _tables(spark, d), "PRODUCT.product_code"), path)
+    record_run(run, path)
+    return flatten_result(read_results(spark, path), R.SELLOUT_KEYS)
+
+
 def q_append_two_runs(spark, d):
     """R8 and R3 appended to one result table, read back."""
     path = stage_path(spark, "dq-results")
@@ -268,4 +324,13 @@ def queries() -> dict[str, Query]:
         "dq_uniq_1032_nulls": q_uniq_1032_nulls,
         "dq_uniq_1091_nulls": q_uniq_1091_nulls,
         "dq_append_two_runs": q_append_two_runs,
+        "dq_append_idempotent": q_append_idempotent,
+        "dq_attr_catalogue_dup": q_attr_catalogue_dup,
+        "dq_attr_hierarchy": q_attr_hierarchy,
+        "dq_uniq_1238_nulls": q_uniq_1238_nulls,
+        "dq_uniq_1239_nulls": q_uniq_1239_nulls,
+        "dq_uniq_1240_nulls": q_uniq_1240_nulls,
+        "dq_uniq_1241_nulls": q_uniq_1241_nulls,
+        "dq_ref_stock_nulls": q_ref_stock_nulls,
+        "dq_uniq_generic_nulls": q_uniq_generic_nulls,
     }

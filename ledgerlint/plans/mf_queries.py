@@ -13,7 +13,7 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlint.functions.normalize import normalize_ean, normalize_product_code, prefixed_product_key
+from ledgerlint.functions.normalize import join_ean_mapping, normalize_ean, normalize_product_code, prefixed_product_key
 from ledgerlint.plans import missing_files as mf
 from ledgerlint.sources.fixtures import FixtureSet, dim_pos, fx_amz_nulls, fx_datasource_nulls, fx_sku_traffic_nulls
 from ledgerlint.sources.sinks import StatusTable, stage_path
@@ -235,6 +235,10 @@ def q_merge(spark, d):
     table.upsert(first.result, RUN1_TS)
     first.close()
     table.upsert(second.result, RUN2_TS)
+    return _status(table)
+
+
+def _status(table: StatusTable) -> DataFrame:
     snap2 = table.read()
     return snap2.select(
         *[c for c in snap2.columns if not c.endswith("_timestamp")],
@@ -243,6 +247,33 @@ def q_merge(spark, d):
     )
 
 
+def _holes(result: DataFrame) -> DataFrame:
+    """A run's result with NULL divisions and clients in its keys, and NULL counts."""
+    return result.withColumns({
+        "division_code": F.when(F.col("month") % 5 != 0, F.col("division_code")),
+        "client_name": F.when(F.col("month") % 7 != 0, F.col("client_name")),
+        "missing_file_count": F.when(F.col("month") % 4 != 0, F.col("missing_file_count")),
+    })
+
+
+def q_merge_nulls(spark, d):
+    """Two upserts of rows with NULL keys (which never match, so they are inserted each time) and NULL counts."""
+    table = StatusTable(spark, stage_path(spark, "status-table"))
+    second = run(spark, d, SP)
+    first = mf.missing_files(inputs(spark, d), AS_OF_FIRST_RUN, SP, m1=second.deliveries)
+    table.upsert(_holes(first.result), RUN1_TS)
+    first.close()
+    table.upsert(_holes(second.result), RUN2_TS)
+    return _status(table)
+
+
+def q_ean_mapping(spark, d):
+    """A2: marketplace rows LEFT joined to the prioritised EAN mapping, with the fan-out counted."""
+    f = FixtureSet.of(spark, d)
+    j = join_ean_mapping(fx_amz_nulls(f.amz()), f.ean_mapping())
+    return j.groupBy("market_code", "ean_code", F.col("map_sku_code").alias("sku_code")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def q_norm_ean(spark, d):
     a = FixtureSet.of(spark, d).amz()
     g = a.groupBy("ean_code").agg(F.count(F.lit(1)).alias("n_rows"))
@@ -289,6 +320,8 @@ def queries() -> dict[str, Query]:
         "mf_final_sp": q_final_sp,
         "mf_final_mfs": q_final_mfs,
         "mf_merge": q_merge,
+        "mf_merge_nulls": q_merge_nulls,
+        "mf_ean_mapping": q_ean_mapping,
         "mf_norm_ean": q_norm_ean,
         "mf_norm_product": q_norm_product,
     }

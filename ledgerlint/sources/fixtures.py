@@ -468,6 +468,25 @@ def fx_ref_brand(spark: SparkSession, d: str) -> DataFrame:
     return p.filter(~F.col("p_brand").isin("Brand#1", "Brand#2")).select(F.col("p_brand").alias("brand_code"))
 
 
+def fx_fact_sellthrough_nulls(fact_nulls: DataFrame) -> DataFrame:
+    """The sell-through fact with the holes of ``fx_fact_nulls``, and no distributor where that has no store."""
+    return fx_fact_sellthrough(fact_nulls.withColumn("suppkey", F.when(F.col("point_of_sale_code").isNotNull(), F.col("suppkey"))))
+
+
+def fx_ean_mapping(spark: SparkSession, d: str) -> DataFrame:
+    """Prioritised EAN mapping: three source markets a part, a third of them not prioritised, some junk EANs, some repeated."""
+    k = F.col("p_partkey")
+    m = _part(spark, d).select("p_partkey", F.posexplode(F.array(F.lit("AU"), F.lit("SG"), F.lit("SA"))).alias("i", "market_code"))
+    ean = F.when(k % 9 == 0, F.lit("0000000000000")).when(k % 9 == 1, F.lit("  ")).when(k % 9 != 2, F.lpad(_s(k), 13, "0"))
+    copies = F.when(k % 10 == 0, F.array(F.lit("a"), F.lit("b"))).otherwise(F.array(F.lit("a")))
+    return m.select(
+        ean.alias("ean_code"), F.col("market_code").alias("src_market_code"), "market_code",
+        F.when((k + F.col("i")) % 3 != 0, F.col("market_code")).otherwise(F.lit("ZZ")).alias("prioritized_market_code"),
+        F.explode(copies).alias("copy"), k.alias("k"),
+    ).select("ean_code", "src_market_code", "market_code", "prioritized_market_code",
+             F.concat(F.lit("SKU"), _s(F.col("k")), F.col("copy")).alias("sku_code"))
+
+
 class FixtureSet:
     """The fixtures of one driver directory, each built once per session.
 
@@ -588,6 +607,15 @@ class FixtureSet:
     def fact_nulls(self) -> DataFrame:
         return fx_fact_nulls(self.fact_sellout())
 
+    def fact_sellthrough_nulls(self) -> DataFrame:
+        return fx_fact_sellthrough_nulls(self.fact_nulls())
+
+    def stock_nulls(self) -> DataFrame:
+        return fx_stock(self.spark, self.d, self.fact_nulls(), self.pos())
+
+    def ean_mapping(self) -> DataFrame:
+        return self._get("ean_mapping", lambda: fx_ean_mapping(self.spark, self.d))
+
     def ref_brand(self) -> DataFrame:
         return self._get("ref_brand", lambda: fx_ref_brand(self.spark, self.d))
 

@@ -124,3 +124,55 @@ def test_repeated_source_rows_raise_even_if_they_change_nothing(spark):
     s1 = merge_status(None, src(spark, [("A", "p", 1, 3, 1)]), T1)
     with pytest.raises(DuplicateSourceKeys):
         merge_status(s1, src(spark, [("A", "p", 1, 3, 1), ("A", "p", 1, 3, 1)]), T2)
+
+
+def test_the_upsert_counts_what_it_writes(spark):
+    table = _new_table(spark)
+    first = table.write_attempt(src(spark, [("A", "p", 1, 3, 1), (None, "p", 1, 1, 1), ("A", "p", 2, None, 2)]), T1, 0)
+    assert table.observed[first] == {"source_rows": 3, "null_keys": 1, "n_rows": 3, "from_target": 0, "matched": 0, "updated": 0, "inserted": 3}
+    table.commit(first, 0)
+    second = table.write_attempt(src(spark, [("A", "p", 1, 4, 1), (None, "p", 1, 1, 1), ("A", "p", 2, None, 2), ("A", "p", 9, 0, 0)]), T2, 1)
+    assert table.observed[second] == {"source_rows": 4, "null_keys": 1, "n_rows": 5, "from_target": 3, "matched": 2, "updated": 1, "inserted": 2}
+    table.commit(second, 1)
+    assert [r["n_rows"] for r in table._versions().orderBy("version").collect()] == [3, 5]
+
+
+def test_repeated_source_rows_for_a_written_row_fail_the_attempt(spark):
+    table = _new_table(spark)
+    table.upsert(src(spark, [("A", "p", 1, 3, 1), ("A", "p", 2, 3, 1)]), T1)
+    with pytest.raises(DuplicateSourceKeys, match="point_of_sale_code"):
+        table.upsert(src(spark, [("A", "p", 1, 3, 1), ("A", "p", 1, 4, 1)]), T2)
+    assert table.current_version() == 1 and table.read().count() == 2
+    # repeated rows that meet no row of the table are inserted, as a MERGE does
+    assert table.upsert(src(spark, [("B", "p", 1, 3, 1), ("B", "p", 1, 4, 1), (None, "p", 1, 0, 0), (None, "p", 1, 0, 0)]), T2) == 2
+    assert table.read().count() == 6
+    # one source row may then meet both
+    assert table.upsert(src(spark, [("B", "p", 1, 9, 1)]), T3) == 3
+    assert sorted(r["missing_file_count"] for r in table.read().where("division_code = 'B'").collect()) == [9, 9]
+
+
+def test_empty_sources_and_manifests_without_counts(spark):
+    table = _new_table(spark)
+    assert table.upsert(src(spark, []), T1) == 1 and table.read().count() == 0
+    assert table.upsert(src(spark, [("A", "p", 1, 3, 1)]), T2) == 2
+    assert table.upsert(src(spark, []), T3) == 3 and as_map(table.read()) == {("A", "p", 1): (3, 1, T2, T3)}
+    older = table.write_attempt(src(spark, [("A", "p", 1, 5, 1)]), T3, 3)
+    table.observed.clear()  # a manifest row of an older library has no count
+    table.commit(older, 3)
+    assert table._n_rows(4) == 1
+    assert table.upsert(src(spark, [("A", "p", 1, 6, 1)]), T3) == 5
+
+
+def test_the_source_is_read_once(spark):
+    table = _new_table(spark)
+    table.upsert(src(spark, [("A", "p", 1, 3, 1)]), T1)
+    reads = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    rows = src(spark, [("A", "p", m, 3, 1) for m in range(1, 11)])
+    table.upsert(rows.mapInArrow(count, rows.schema), T2)
+    assert reads.value == 10

@@ -48,3 +48,106 @@ def test_the_fact_is_aggregated_before_a_large_dimension_is_joined(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     joins = [i for i, line in enumerate(plan.splitlines()) if "Join LeftOuter" in line]
     assert joins and any("Aggregate" in line for line in plan.splitlines()[joins[0]: joins[0] + 3])
+
+
+def _optimized(df) -> list[str]:
+    return df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+
+
+@pytest.fixture()
+def no_broadcast(spark):
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    before = {k: spark.conf.get(k) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def _joined(lines: list[str], kind: str) -> list[tuple[str, str]]:
+    """The first operators (projections and filters left out) below each side of the joins of a kind."""
+    out = []
+    for i, line in enumerate(lines):
+        if f"Join {kind}" not in line:
+            continue
+        depth = len(line) - len(line.lstrip(" :+-"))
+        sides = [j for j in range(i + 1, len(lines)) if len(lines[j]) - len(lines[j].lstrip(" :+-")) == depth + 3]
+        first = []
+        for j in sides[:2]:
+            while re.search(r"[:+\- ](Project|Filter|SubqueryAlias)\b", lines[j]):
+                j += 1
+            first.append(lines[j].lstrip(" :+-").split()[0])
+        out.append(tuple(first))
+    return out
+
+
+@pytest.mark.parametrize("name", ["dq_attr_fact", "dq_attr_dim", "dq_attr_pos", "dq_uniq_generic_pos", "dq_uniq_generic_product",
+                                  "dq_attr_catalogue"])
+def test_attribute_and_dimension_rules_aggregate_before_the_hierarchy_join(spark, no_broadcast, name):
+    lines = _optimized(entry.queries()[name](spark, SF))
+    joins = _joined(lines, "LeftOuter")
+    assert joins and all(left in ("Aggregate", "Join") for left, _ in joins), joins
+    assert joins[0][0] == "Aggregate"
+    inner = _joined(lines, "Inner")
+    assert all("Aggregate" in pair for pair in inner), inner
+
+
+@pytest.mark.parametrize("name", ["dq_ref_stock", "dq_ref_key_product", "dq_ref_stock_catalogue"])
+def test_reference_rules_aggregate_before_the_reference_join(spark, no_broadcast, name):
+    joins = _joined(_optimized(entry.queries()[name](spark, SF)), "LeftOuter")
+    assert joins and all(left == "Aggregate" for left, _ in joins), joins
+
+
+def test_a_condition_on_the_hierarchy_joins_it_first(spark):
+    joins = _joined(_optimized(entry.queries()["dq_attr_hierarchy"](spark, SF)), "LeftOuter")
+    assert joins[0][0] == "Join"
+
+
+@pytest.mark.parametrize("name, measure, others", [("dq_attr_catalogue", "consolidated_sales_eur", 3), ("dq_ref_stock_catalogue", "FACT_VALUE", 4)])
+def test_a_catalogue_scans_its_fact_once(spark, name, measure, others):
+    df = entry.queries()[name](spark, SF)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    scans = re.findall(r"FileScan parquet \[([^\]]*)\]", plan)
+    assert sum(measure in s for s in scans) == 1, scans
+    # each dimension once, and the POS dimension again for the hierarchy
+    assert len(scans) == 1 + others
+
+
+@pytest.mark.parametrize("name", ["mf_missing_daily", "mf_missing_weekly", "mf_missing_monthly", "mf_missing_unified", "mf_final_sp",
+                                  "mf_final_mfs", "mf_before_start"])
+def test_missing_files_gather_no_lists_and_loop_over_no_ranges(spark, name):
+    plan = "\n".join(_optimized(entry.queries()[name](spark, SF)))
+    assert "collect_list" not in plan and "collect_set" not in plan
+    assert "NestedLoop" not in entry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_calendar_joins_have_no_hint():
+    import inspect
+
+    from ledgerlint.operators import calendar
+
+    assert "broadcast" not in inspect.getsource(calendar)
+
+
+def test_marketplace_lookups_see_distinct_codes(spark, no_broadcast):
+    lines = _optimized(entry.queries()["mf_zero_amz"](spark, SF))
+    joins = _joined(lines, "LeftOuter")
+    assert len(joins) == 3 and joins[-1][0] == "Aggregate", joins
+
+
+def test_rows_without_an_ean_are_spread(spark, sf_small):
+    """A third of the rows have no EAN: they join by part numbers, not by one NULL key."""
+    from pyspark.sql import functions as F
+
+    from ledgerlint.functions.normalize import join_ean_mapping, normalize_ean
+    from ledgerlint.sources.fixtures import FixtureSet
+
+    f = FixtureSet.of(spark, sf_small)
+    amz = f.amz()
+    keys = re.findall(r"_ean#\d+", "\n".join(_optimized(join_ean_mapping(amz, f.ean_mapping()))))
+    assert keys
+    blank = amz.where(normalize_ean("ean_code").isNull())
+    parts = blank.select(F.pmod(F.xxhash64(*amz.columns), F.lit(1024)).alias("p")).groupBy("p").count()
+    assert blank.count() > amz.count() / 4 and parts.agg(F.max("count")).first()[0] < blank.count() / 50

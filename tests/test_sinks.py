@@ -50,3 +50,26 @@ def test_every_rule_returns_the_same_result_schema(spark, sf_small):
     ]
     schemas = {r.schema.simpleString() for r in results}
     assert len(schemas) == 1, schemas
+
+
+def test_a_recorded_run_replaces_its_own_rows_only(spark):
+    from ledgerlint.sources.sinks import read_results, record_run
+
+    path = os.path.join(tempfile.mkdtemp(prefix="ledgerlint-results-", dir="/tmp"), "runs")
+    schema = ("dq_id string, run_timestamp timestamp, attribute_arr array<struct<key:string,value:string>>, dq_score decimal(38,9), "
+              "invalid_rows bigint, total_rows bigint, invalid_value decimal(38,9), total_value decimal(38,9), param_date string")
+
+    def run(dq_id, day, *rows):
+        return spark.createDataFrame([(dq_id, dt.datetime(2024, 1, day), None, None, n, 9, None, None, None) for n in rows], schema)
+
+    def found():
+        return sorted((r["dq_id"], r["run_timestamp"].day, r["invalid_rows"]) for r in read_results(spark, path).collect())
+
+    record_run(run("1091", 1, 1, 2), path)
+    record_run(run("1091", 2, 3), path)
+    record_run(run("007", 1, 4), path)
+    record_run(run("1091", 1, 1, 2), path)
+    assert found() == [("007", 1, 4), ("1091", 1, 1), ("1091", 1, 2), ("1091", 2, 3)]
+    record_run(run("1091", 1, 5), path)  # a corrected run
+    assert found() == [("007", 1, 4), ("1091", 1, 5), ("1091", 2, 3)]
+    assert read_results(spark, path).schema.simpleString() == spark.createDataFrame([], schema).schema.simpleString()
