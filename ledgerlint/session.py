@@ -21,8 +21,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Spark only broadcasts a join side whose planned (or, under AQE, measured)
     # size is below this bound; larger sides fall back to a shuffle join.
+    # Spark uses this one under AQE too, unless the session sets AQE's own.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
 }
 
 

@@ -56,13 +56,11 @@ def _optimized(df) -> list[str]:
 
 @pytest.fixture()
 def no_broadcast(spark):
-    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
-    before = {k: spark.conf.get(k) for k in keys}
-    for k in keys:
-        spark.conf.set(k, "-1")
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
     yield
-    for k, v in before.items():
-        spark.conf.set(k, v)
+    spark.conf.set(key, before)
 
 
 def _joined(lines: list[str], kind: str) -> list[tuple[str, str]]:
