@@ -10,7 +10,9 @@ once in the corpus can't belong to a repeat and their texts are never moved.
 Equal segments are one body with a count, aggregated before the shuffle, so the
 inside of a passage that any share of the documents holds is one row.  For an anchor
 with more than ``HOT`` different bodies the routing prefix is lengthened to all L
-units: each window goes by its 128-bit hash, counted before the shuffle too.
+units: each window goes by its 128-bit digest, counted before the shuffle too.
+Anchors only bring windows together; words, and windows of one group, count as
+equal after a comparison unit by unit.
 
 Equal texts are one node; if it has more than one document and at least L units,
 all of it is repeated.
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import stage
 from .exact_dedup import located
-from .textbytes import mix, powers, prefix_sums, sequence_hashes, slices, span_hash, word_hashes, word_spans
+from .textbytes import equal_spans, mix, powers, prefix_sums, sequence_hashes, slices, span_hash, word_hashes, word_spans
 
 #: Different segments of one anchor that a task takes at most.
 HOT = 1 << 16
@@ -167,11 +169,47 @@ def _chunk(u: Units, rows: list) -> Chunk:
     if u.words:
         ends = np.cumsum(size + 1)
         starts, stops, size = word_spans(data, np.append(0, np.append(ends[:-1], len(data))))
-        units = np.unique(word_hashes(data, starts, stops), return_inverse=True)[1]
+        units = equal_spans(data, starts, stops)[1]
     stop = np.cumsum(size)
     return Chunk(units.astype(np.int64), stop - size, stop, np.array(group, np.int64), np.array(count, np.int64))
 
 
+def same_windows(units: np.ndarray, key: np.ndarray, pos: np.ndarray, length: int) -> np.ndarray:
+    """Classes of the windows units[p:p + length] such that windows of one class have equal units, not only equal keys.
+
+    Every window is compared with its class's first.  Neighbouring windows whose firsts are neighbours too are
+    compared as one stretch, so each unit of it is looked at once.
+    """
+    _, first, which = np.unique(key, return_index=True, return_inverse=True)
+    shift = pos - pos[first[which]]
+    todo = np.flatnonzero(shift)
+    if not len(todo):
+        return which
+    todo = todo[np.lexsort((pos[todo], shift[todo]))]
+    p, d = pos[todo], shift[todo]
+    opens = np.ones(len(p), bool)
+    opens[1:] = (p[1:] != p[:-1] + 1) | (d[1:] != d[:-1])
+    at = np.flatnonzero(opens)
+    n = np.diff(np.append(at, len(p)))  # windows of each stretch
+    wrong, run = [], 0
+    while run < len(at):  # some stretches at once, to bound the memory
+        to = max(run + 1, int(np.searchsorted(np.cumsum(n[run:] + length), 1 << 21)) + run)
+        size = n[run:to] + length - 1
+        ends = np.cumsum(size)
+        place = np.repeat(p[at[run:to]] - ends + size, size) + np.arange(ends[-1])
+        differ = units[place] != units[place - np.repeat(d[at[run:to]], size)]
+        if differ.any():
+            seen = np.append(0, np.cumsum(differ))
+            begin = np.repeat(ends - size, n[run:to]) + (p[at[run]: at[run] + n[run:to].sum()] - np.repeat(p[at[run:to]], n[run:to]))
+            wrong.append(todo[at[run]: at[run] + n[run:to].sum()][seen[begin + length] > seen[begin]])
+        run = to
+    if wrong:
+        more: dict = {}
+        for i in np.concatenate(wrong).tolist():
+            which[i] = more.setdefault((which[i], units[pos[i]: pos[i] + length].tobytes()), len(first) + len(more))
+    return which
+
+
 def repeated_windows(u: Units, c: Chunk):
     """Suffixes whose L-unit prefix occurs at least twice in its group, and from where a repeat may begin.
 
@@ -187,6 +225,7 @@ def repeated_windows(u: Units, c: Chunk):
     sums = np.zeros(len(codes) + 1, np.uint64)
     np.cumsum(codes * powers(len(codes))[0], out=sums[1:])
     key = mix(span_hash(sums, pos, pos + u.length) ^ mix(c.group.view(np.uint64)[seg]))
+    key = same_windows(c.units, key, pos, u.length)
     order = np.argsort(key, kind="stable")
     key, pos, seg = key[order], pos[order], seg[order]
     new = np.ones(len(key), bool)
@@ -233,32 +272,24 @@ def _grouped(batches, limit: int = CHUNK):
 
 
 def _hot_windows(bodies: DataFrame, u: Units) -> DataFrame:
-    """h1, h2 (the hash of all L units), anchor, key, n, start of every window of some bodies."""
+    """window (a digest of all L units), anchor, key, n, start of every window of some bodies."""
 
     def run(batches):
         for batch in batches:
             for rows in _grouped([batch]):
-                data = np.frombuffer((b"\n" if u.words else b"").join(r[3] for r in rows), np.uint8)
-                size = np.fromiter((len(r[3]) for r in rows), np.int64, len(rows))
-                codes = data.astype(np.uint64)
-                if u.words:
-                    ends = np.cumsum(size + 1)
-                    starts, stops, size = word_spans(data, np.append(0, np.append(ends[:-1], len(data))))
-                    codes = word_hashes(data, starts, stops)
-                begin, windows = np.cumsum(size) - size, size - u.length + 1
-                seg = np.repeat(np.arange(len(rows)), windows)
-                start = np.arange(len(seg)) - np.repeat(np.cumsum(windows) - windows, windows)
-                pos, hashes = start + begin[seg], []
-                for salt in (0x1F3D5B79, 0x2E4C6A88):
-                    sums = np.zeros(len(codes) + 1, np.uint64)
-                    np.cumsum(mix(codes + np.uint64(salt)) * powers(len(codes))[0], out=sums[1:])
-                    hashes.append(mix(span_hash(sums, pos, pos + u.length)).view(np.int64))
-                anchor, key, n, _ = zip(*rows)
-                yield pa.RecordBatch.from_arrays(
-                    [*map(pa.array, hashes), *(pa.array(x, k).take(pa.array(seg)) for x, k in zip((anchor, key, n), (pa.int64(), pa.string(), pa.int64()))),
-                     pa.array(start)], names=["h1", "h2", "anchor", "key", "n", "start"])
+                out = []
+                for anchor, key, n, body in rows:
+                    units = body.split() if u.words else body
+                    for start in range(len(units) - u.length + 1):
+                        part = units[start: start + u.length]
+                        window = hashlib.blake2b(b" ".join(part) if u.words else part, digest_size=16).digest()
+                        out.append((window, anchor, key, n, start))
+                window, anchor, key, n, start = zip(*out)
+                kinds = (pa.binary(), pa.int64(), pa.string(), pa.int64(), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip((window, anchor, key, n, start), kinds)],
+                                                 names=["window", "anchor", "key", "n", "start"])
 
-    return bodies.mapInArrow(run, "h1 bigint, h2 bigint, anchor bigint, key string, n bigint, start bigint")
+    return bodies.mapInArrow(run, "window binary, anchor bigint, key string, n bigint, start bigint")
 
 
 def merge(spans: np.ndarray) -> np.ndarray:
@@ -303,8 +334,8 @@ class Repeats:
     def _hot_repeats(self) -> DataFrame:
         """anchor, key, start, group of the repeated windows of the hot anchors' bodies."""
         windows = stage(_hot_windows(self.bodies.join(self.hot, "anchor", "left_semi").select("anchor", "key", "n", "body"), self.u), "repeat-hot")
-        many = windows.groupBy("h1", "h2").agg(F.sum("n").alias("total")).where("total > 1").select("h1", "h2")
-        return windows.join(many, ["h1", "h2"]).select("anchor", "key", "start", F.xxhash64("h1", "h2").alias("window"))
+        many = windows.groupBy("window").agg(F.sum("n").alias("total")).where("total > 1").select("window")
+        return windows.join(many, "window").select("anchor", "key", "start", F.xxhash64("window").alias("window"))
 
     def _placed(self, spans: DataFrame, *columns: str) -> DataFrame:
         """Spans (anchor, key, start) of bodies at all the places where the bodies stand: node, start and more columns."""

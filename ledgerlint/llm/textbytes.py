@@ -50,7 +50,10 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def prefix_sums(data: np.ndarray) -> np.ndarray:
-    """Prefix sums of a position-weighted polynomial; ``span_hash`` reads spans from it."""
+    """Prefix sums of a position-weighted polynomial; ``span_hash`` reads spans from it.
+
+    Equal hashes of such spans are a hint only: structured bytes can collide.
+    """
     out = np.zeros(len(data) + 1, np.uint64)
     if len(data):
         np.cumsum(byte_codes()[data] * powers(len(data))[0], out=out[1:])
@@ -95,10 +98,84 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, stops, counts
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+#: Places of a span that have a row in the table of random codes; further ones are mixed one by one.
+_PLACES = 64
+_CODES = None
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """64-bit hashes of sorted, disjoint spans: sums of a random code for each (place in the span, byte).
+
+    Unlike a polynomial, no structure in the bytes makes two spans collide.
+    """
+    global _CODES
     if not len(starts):
         return np.zeros(0, np.uint64)
-    return mix(span_hash(prefix_sums(data), starts, stops) ^ (stops - starts).astype(np.uint64))
+    if _CODES is None:
+        _CODES = mix(np.arange(1, _PLACES * 256 + 1, dtype=np.uint64) * _ODD)
+    base, end = int(starts[0]), int(stops[-1])
+    part = data[base:end]
+    place = np.arange(len(part), dtype=np.int32) - np.repeat((starts - base).astype(np.int32), np.diff(np.append(starts, end)))
+    code = place.astype(np.int64) << 8 | part if len(part) >> 22 else place << 8 | part
+    codes = _CODES[np.minimum(code, _PLACES * 256 - 1)]
+    far = np.flatnonzero(place >= _PLACES)
+    if len(far):
+        codes[far] = mix((code[far].astype(np.uint64) + np.uint64(1)) * _ODD)
+    sums = np.zeros(len(part) + 1, np.uint64)
+    np.cumsum(codes, out=sums[1:])
+    return mix(sums[stops - base] - sums[starts - base] ^ (stops - starts).astype(np.uint64) * _ODD)
+
+
+def same_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether data[a:a + size] equals data[b:b + size], for arrays of places; eight bytes at a time."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))  # the eight bytes from each place on
+    same, at = np.ones(len(a), bool), 0
+    live = np.flatnonzero(a != b)
+    while len(live):
+        if at >= 512:  # few and long ones
+            for i in live.tolist():
+                same[i] = np.array_equal(data[a[i] + at: a[i] + size[i]], data[b[i] + at: b[i] + size[i]])
+            break
+        left = np.minimum(size[live] - at, 8).astype(np.uint64)
+        differ = (eight[a[live] + at] ^ eight[b[live] + at]) << (np.uint64(64) - left * np.uint64(8)) % np.uint64(64)
+        same[live] &= (differ == 0) | (left == 0)
+        at += 8
+        live = live[same[live] & (size[live] > at)]
+    return same
+
+
+def equal_spans(data: np.ndarray, starts: np.ndarray, stops: np.ndarray, kind: np.ndarray | None = None):
+    """(an example of each class, class of each span, hash of each class): spans of a class have the same bytes (and kind).
+
+    Hashes bring spans together; every span is compared with its class's first.  Should a hash join different
+    ones, these get classes of their own.
+    """
+    h = span_hashes(data, starts, stops)
+    if kind is not None:
+        h = mix(h ^ kind.astype(np.uint64))
+    _, first, which = np.unique(h, return_index=True, return_inverse=True)
+    other, size = first[which], stops - starts
+    same = size == size[other]
+    if kind is not None:
+        same &= kind == kind[other]
+    close = np.flatnonzero(same)
+    same[close] = same_bytes(data, starts[close], starts[other[close]], size[close])
+    if not same.all():
+        more: dict = {}
+        extra = []
+        for i in np.flatnonzero(~same).tolist():
+            key = data[starts[i]: stops[i]].tobytes(), None if kind is None else kind[i].item()
+            if key not in more:
+                more[key] = len(first) + len(extra)
+                extra.append(i)
+            which[i] = more[key]
+        first = np.append(first, extra)
+    return first, which, h[first]
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    return span_hashes(data, starts, stops)
 
 
 def sequence_hashes(h: np.ndarray, n: int, salt: int = 0) -> np.ndarray:

@@ -3,7 +3,8 @@
 The tokenizer drops white space and treats the pieces between apart: runs of
 letters, single digits, runs of other characters.  Numpy cuts a slice of many texts
 into its pieces at once; each distinct piece is encoded once and remembered while
-the Python worker lives (``MAX_PIECES`` at most, told apart by 64-bit hashes).
+the Python worker lives (``MAX_PIECES`` at most, found by 64-bit hashes and
+compared byte by byte).
 Plain pieces (ASCII and the letters U+00C0 to U+00FF) are merged by the tokenizer's
 own merge ranks in tiktoken; a word with anything else in it (an apostrophe,
 another script, a special token) is one piece and is given to the tokenizer itself.
@@ -18,7 +19,7 @@ from array import array
 
 import numpy as np
 
-from .textbytes import IS_SPACE, mix, prefix_sums, slices, span_hash, word_spans
+from .textbytes import IS_SPACE, equal_spans, same_bytes, slices, word_spans
 
 MAX_PIECES = 1_500_000
 
@@ -100,30 +101,52 @@ class PieceEncoder:
     def forget(self) -> None:
         self.keys, self.at, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.pool = np.zeros(0, np.uint16)
+        # the bytes of each known piece
+        self.text, self.text_at, self.text_size = np.zeros(0, np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def lookup(self, keys: np.ndarray, text) -> tuple[np.ndarray, np.ndarray]:
-        """(start in the pool, number of ids) of distinct sorted keys; ``text(i)`` gives key i's bytes and oddness."""
+    def encode(self, raw: bytes, odd: bool) -> list[int]:
+        return self.whole.encode(raw.decode(), add_special_tokens=False).ids if odd else self.plain(raw + b"\xff")
+
+    def lookup(self, data: np.ndarray, starts: np.ndarray, stops: np.ndarray, odd: np.ndarray, keys: np.ndarray) -> tuple:
+        """(start in the pool, number of ids) of different pieces, spans of ``data`` with their hashes."""
+        order = np.argsort(keys, kind="stable")
         if len(self.keys) + len(keys) > MAX_PIECES:
             self.forget()
-        where = np.searchsorted(self.keys, keys)
-        known = np.zeros(len(keys), bool)
-        inside = where < len(self.keys)
-        known[inside] = self.keys[where[inside]] == keys[inside]
-        missing = np.flatnonzero(~known)
+        where = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
+        known = self.keys[where] == keys if len(self.keys) else np.zeros(len(keys), bool)
+        hit = np.flatnonzero(known)
+        # one array, so that known and new bytes can be compared in place
+        both = np.concatenate([data, self.text])
+        known[hit] = (self.text_size[where[hit]] == (stops - starts)[hit])
+        hit = np.flatnonzero(known)
+        known[hit] = same_bytes(both, starts[hit], len(data) + self.text_at[where[hit]], (stops - starts)[hit])
+        at, size = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+        at[known], size[known] = self.at[where[known]], self.size[where[known]]
+        missing = order[~known[order]]
         if len(missing):
-            ids, size = array("H"), []
-            for i in missing.tolist():
-                raw, odd = text(i)
-                found = self.whole.encode(raw.decode(), add_special_tokens=False).ids if odd else self.plain(raw + b"\xff")
+            ids, count = array("H"), []
+            for a, b, o in zip(starts[missing].tolist(), stops[missing].tolist(), odd[missing].tolist()):
+                found = self.encode(data[a:b].tobytes(), o)
                 ids.extend(found)
-                size.append(len(found))
-            size = np.array(size, np.int64)
-            start = len(self.pool) + np.cumsum(size) - size
+                count.append(len(found))
+            count = np.array(count, np.int64)
+            at[missing], size[missing] = len(self.pool) + np.cumsum(count) - count, count
             self.pool = np.concatenate([self.pool, np.frombuffer(ids, np.uint16)])
-            place = where[missing]
-            self.keys, self.at, self.size = (np.insert(a, place, b) for a, b in ((self.keys, keys[missing]), (self.at, start), (self.size, size)))
-            where = np.searchsorted(self.keys, keys)
-        return self.at[where], self.size[where]
+            # a hash is remembered for the first piece that has it
+            fresh = missing[np.append(True, np.diff(keys[missing]) != 0)]
+            place = np.searchsorted(self.keys, keys[fresh])
+            taken = np.zeros(len(fresh), bool)
+            inside = place < len(self.keys)
+            taken[inside] = self.keys[place[inside]] == keys[fresh[inside]]
+            fresh, place = fresh[~taken], place[~taken]
+            n = (stops - starts)[fresh]
+            text_at = len(self.text) + np.cumsum(n) - n
+            flat = np.repeat(starts[fresh] - np.cumsum(n) + n, n) + np.arange(n.sum())
+            self.text = np.concatenate([self.text, data[flat]])
+            columns = (self.keys, self.at, self.size, self.text_at, self.text_size)
+            values = (keys[fresh], at[fresh], size[fresh], text_at, n)
+            self.keys, self.at, self.size, self.text_at, self.text_size = (np.insert(c, place, v) for c, v in zip(columns, values))
+        return at, size
 
 
 def encoder(path: str) -> PieceEncoder:
@@ -143,10 +166,8 @@ def encode_column(column, path: str):
         if not len(begin):
             yield np.zeros(0, np.uint16), np.zeros(len(offsets) - 1, np.int64)
             continue
-        h = mix(span_hash(prefix_sums(folded), begin, stop) ^ (stop - begin).astype(np.uint64) << np.uint64(1) ^ odd.astype(np.uint64))
-        keys, first, which = np.unique(h, return_index=True, return_inverse=True)
-        raw, a, b, o = folded.tobytes(), begin[first].tolist(), stop[first].tolist(), odd[first].tolist()
-        at, size = known.lookup(keys, lambda i: (raw[a[i]: b[i]], o[i]))
+        first, which, keys = equal_spans(folded, begin, stop, odd)
+        at, size = known.lookup(folded, begin[first], stop[first], odd[first], keys)
         length = size[which]
         ends = np.cumsum(length)
         ids = known.pool[np.repeat(at[which] - ends + length, length) + np.arange(ends[-1])]
