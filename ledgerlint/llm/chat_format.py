@@ -13,8 +13,10 @@ Defined results
     * roles that the template does not name get the generic frame and make the
       conversation invalid; invalid conversations are formatted too, with
       ``valid`` false and ``bad_turn`` the 0-based position of the first fault;
-    * a null ``conv_id`` is one conversation of its own; an empty table gives no
-      rows; extra columns are ignored.
+    * each row with a null ``conv_id`` is a conversation of its own (they belong to
+      no common one, and may be many); an empty table gives no rows; extra columns
+      are ignored; a conversation of many or very long turns takes time in
+      proportion to its length.
 
 A conversation is one training example and is gathered by its id; that is the
 only shuffle.  Everything is built-in SQL functions.
@@ -28,6 +30,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import BLOCK, let, running
+
 
 @dataclass(frozen=True)
 class Template:
@@ -101,8 +105,9 @@ def format_chats(conversations: DataFrame, template: Template | None = None) ->
     ``formatted``, gapless from 0.
     """
     t = template or Template()
-    turns = conversations.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct(
-        "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")))).alias("turns"))
+    rows = conversations.select("conv_id", F.when(F.col("conv_id").isNull(), F.monotonically_increasing_id()).alias("alone"), F.struct(
+        "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")).alias("said"))
+    turns = rows.groupBy("conv_id", "alone").agg(F.sort_array(F.collect_list("said")).alias("turns"))
     table = F.create_map(*(F.lit(x) for s, to in t.transitions.items() for r, n in to.items() for x in (f"{s}\n{r}", n)))
     # state: the automaton's state, or empty after a fault; at: turns read before it
     walked = F.aggregate(
@@ -112,16 +117,15 @@ def format_chats(conversations: DataFrame, template: Template | None = None) ->
             (a["at"] + 1).alias("at"))))
     parts = F.flatten(F.transform("turns", lambda x: _segments(x, t)))
     parts = F.concat(F.array(F.struct(F.lit(t.bos).alias("text"), F.lit(False).alias("loss"))), parts)
-    placed = F.aggregate(
-        "parts", F.struct(F.lit(0).alias("end"), F.array().cast("array<struct<start:int,length:int,loss:boolean>>").alias("out")),
-        lambda a, x: F.struct((a["end"] + F.char_length(x["text"])).alias("end"), F.concat(a["out"], F.array(F.struct(
-            a["end"].alias("start"), F.char_length(x["text"]).alias("length"), x["loss"].alias("loss")))).alias("out")))
+    lengths = F.transform("parts", lambda x: F.char_length(x["text"]))
+    placed = let(running(lengths), lambda start: F.transform("parts", lambda x, i: F.struct(
+        F.get(start, i).alias("start"), F.char_length(x["text"]).alias("length"), x["loss"].alias("loss"))))
     return (
         turns.select("conv_id", walked.alias("walked"), parts.alias("parts"))
         .select(
             "conv_id",
             F.array_join(F.transform("parts", lambda x: x["text"]), "").alias("formatted"),
-            placed["out"].alias("segments"),
+            placed.alias("segments"),
             F.col("walked.state").isin(*t.accepting).alias("valid"),
             F.when(F.col("walked.state") == "", F.col("walked.at") - 1).alias("bad_turn"),
         )
@@ -149,8 +153,15 @@ def parse_chats(formatted: DataFrame, template: Template | None = None) -> DataF
         return F.struct(name.alias("role"), t.unescape(body).alias("text"))
 
     turns = F.filter(F.transform("pieces", lambda p, i: turn(p, i, F.col("pieces"))), lambda x: x["text"].isNotNull())
-    masked = F.transform(F.filter("segments", lambda s: s["loss"]),
-                         lambda s: t.unescape(F.substring(F.col("formatted"), s["start"] + 1, s["length"])))
+    # blocks of segments are cut out first: a place in a long string is found by counting from its beginning
+    def cut(block: Column) -> Column:
+        begin, last = F.get(block, 0)["start"], F.element_at(block, -1)
+        return let(F.substring(F.col("formatted"), begin + 1, last["start"] + last["length"] - begin), lambda text: F.transform(
+            F.filter(block, lambda s: s["loss"]), lambda s: t.unescape(F.substring(text, s["start"] - begin + 1, s["length"]))))
+
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size("segments") - 1) / BLOCK).cast("int")),
+                         lambda b: F.slice("segments", b * BLOCK + 1, F.lit(BLOCK)))
+    masked = F.flatten(F.transform(blocks, cut))
     return formatted.withColumn("pieces", piece).select(
         "conv_id", turns.alias("turns"), F.array_join(masked, "").alias("loss_text"),
         F.char_length("formatted").cast("long").alias("formatted_chars"))

@@ -58,3 +58,36 @@ def words(text: Column) -> Column:
 def once(df: DataFrame, *keep: str, **made: Column) -> DataFrame:
     """Columns that are computed once a row: a generator of one row, which the optimizer doesn't merge with later steps."""
     return df.select(*keep, F.inline(F.array(F.struct(*(c.alias(n) for n, c in made.items())))))
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, wherever the body uses it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+#: Elements of a block of ``running``.
+BLOCK = 64
+
+
+def add(a: Column, b: Column) -> Column:
+    return a + b
+
+
+def larger(a: Column, b: Column) -> Column:
+    return F.greatest(a, b)
+
+
+def running(numbers: Column, combine=add) -> Column:
+    """For each element of an array of ints, the sum (0 at first; or another ``combine`` from 0 on) of those before it.
+
+    By blocks, since a growing array would be copied for every element: sums of blocks, then sums inside each.
+    """
+    zero = F.lit(0)
+
+    def before_blocks(n: Column) -> Column:
+        sums = F.transform(F.sequence(zero, F.floor(F.size(n) / BLOCK).cast("int")),
+                           lambda b: F.aggregate(F.slice(n, b * BLOCK + 1, F.lit(BLOCK)), zero, combine))
+        return F.aggregate(sums, F.array(zero), lambda out, x: F.concat(out, F.array(combine(F.element_at(out, -1), x))))
+
+    return let(numbers, lambda n: let(before_blocks(n), lambda before: F.transform(
+        n, lambda _, i: F.aggregate(F.slice(n, i - i % BLOCK + 1, i % BLOCK), F.get(before, F.floor(i / BLOCK).cast("int")), combine))))

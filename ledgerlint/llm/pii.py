@@ -2,8 +2,9 @@
 
 1. Seed entities: emails, IP addresses, card numbers (Luhn) and phone numbers are
    found by regular expressions, leftmost and non-overlapping per kind.
-2. Every identifier-like word (at least ``MIN_LENGTH`` characters with a digit)
-   and every seed is an instance; the two words before it are its pattern.
+2. Every identifier-like word (at least ``MIN_LENGTH`` characters, in any script,
+   with a digit or an at sign) and every seed is an instance; the two words before
+   it are its pattern, however far apart.
 3. Spark scores the pattern-instance graph in ``ROUNDS`` rounds: a pattern's
    confidence is the mean score of its distinct instances (0 for unknown ones),
    an instance's score the noisy-or of its patterns of enough support.
@@ -26,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, once, stage
+from .common import SPACE, larger, let, once, running, stage
 
 #: kind -> (equivalent linear-time pattern, a string every match needs or None)
 PATTERNS = {
@@ -37,26 +38,30 @@ PATTERNS = {
 }
 KINDS = (*PATTERNS, "id")
 ROUNDS, MIN_SUPPORT, MIN_CONFIDENCE, MIN_LENGTH = 3, 3.0, 0.8, 6
-#: Identifier-like words: maximal runs of these characters.
-WORD = r"[A-Za-z0-9][A-Za-z0-9._:/@+-]*+"
-CONTEXT = 80
-SPAN = "array<struct<start:int,stop:int,value:string>>"
+#: Identifier-like words: maximal runs of these characters with a digit or an at sign.
+WORD = r"[\p{L}\p{N}][\p{L}\p{N}._:/@+-]*+"
+IDENTIFIER = rf"(?=[\p{{L}}._:/+-]*+[\p{{N}}@]){WORD}"
+SPAN = "array<struct<start:int,stop:int,value:string,left:string>>"
 
 
 def find_all(text: Column, pattern: str) -> Column:
-    """array<struct<start, stop, value>>: the matches of ``pattern`` with their code-point offsets."""
-    gaps = F.split(text, pattern, -1)
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    # the text is gap 0, match 0, gap 1, match 1, ...: offsets are running sums of their lengths
-    walked = F.aggregate(
-        F.arrays_zip(gaps.alias("gap"), found.alias("value")),
-        F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out")),
-        lambda a, x: F.when(x["value"].isNull(), a).otherwise(F.struct(
-            (a["at"] + F.char_length(x["gap"]) + F.char_length(x["value"])).alias("at"),
-            F.concat(a["out"], F.array(F.struct((a["at"] + F.char_length(x["gap"])).alias("start"),
-                                                (a["at"] + F.char_length(x["gap"]) + F.char_length(x["value"])).alias("stop"),
-                                                x["value"].alias("value")))).alias("out"))))
-    return walked["out"]
+    """array<struct<start, stop, value, left>>: the matches of ``pattern`` with their code-point offsets.
+
+    ``left`` is the text before a match, back to the third match of the pattern before it.  The text is gap 0,
+    match 0, gap 1, match 1, ...: offsets are running sums of their lengths, in time that grows with the text.
+    """
+    def spans(gaps: Column, found: Column) -> Column:
+        def piece(i: Column) -> Column:
+            return F.when(i >= 0, F.concat(F.get(gaps, F.greatest(i, F.lit(0))), F.get(found, F.greatest(i, F.lit(0))))).otherwise(F.lit(""))
+
+        lengths = F.transform(found, lambda v, i: F.char_length(F.get(gaps, i)) + F.char_length(v))
+        return let(running(lengths), lambda before: F.transform(found, lambda v, i: let(
+            F.get(before, i) + F.char_length(F.get(gaps, i)), lambda start: F.struct(
+                start.alias("start"), (start + F.char_length(v)).alias("stop"), v.alias("value"),
+                F.concat(piece(i - 2), piece(i - 1), F.get(gaps, i)).alias("left")))))
+
+    return let(F.split(text, pattern, -1), lambda gaps: let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
+                                                            lambda found: spans(gaps, found)))
 
 
 def _luhn(digits: Column) -> Column:
@@ -89,35 +94,64 @@ def base_spans(text: Column, kind: str) -> Column:
     return F.when(maybe, found).otherwise(F.array().cast(SPAN))
 
 
-def _context(text: Column, start: Column) -> Column:
-    """The two words before ``start``, lower-cased, digits as 0; fewer at the beginning of the text."""
-    left = text.substr(F.greatest(start - CONTEXT, F.lit(0)) + 1, F.least(start, F.lit(CONTEXT)))
-    left = F.regexp_replace(F.lower(F.regexp_replace(left, SPACE + "++", " ")), "[0-9]", "0")
-    return F.regexp_extract(left, r"((?:[^ ]+ )?[^ ]+ ?)$", 1)
+def _context(left: Column) -> Column:
+    """The two words before a match, lower-cased, digits as 0; the second may be the beginning of the match's own word."""
+    def last_two(parts: Column) -> Column:
+        words = F.filter(parts, lambda w: w != "")
+        ending = F.when(F.element_at(parts, -1) == "", F.lit(" ")).otherwise(F.lit(""))
+        return F.when(F.size(words) == 0, F.lit("")).otherwise(
+            F.concat(F.array_join(F.slice(words, F.greatest(F.size(words) - 1, F.lit(1)), F.lit(2)), " "), ending))
+
+    return F.regexp_replace(F.lower(let(F.split(left, SPACE + "++", -1), last_two)), "[0-9]", "0")
 
 
 def _tagged(kind: str) -> Column:
     return F.transform(kind, lambda x: F.struct(
         x["start"].alias("start"), F.lit(KINDS.index(kind)).alias("rank"), x["stop"].alias("stop"),
-        F.lit(kind).alias("kind"), x["value"].alias("value")))
+        F.lit(kind).alias("kind"), x["value"].alias("value"), x["left"].alias("left")))
 
 
 def _count(spans: str, kind: str) -> Column:
     return F.size(F.filter(spans, lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
 
+def _outside(words: Column, spans: Column) -> Column:
+    """The words that no span overlaps.  Both are in order; words are disjoint, spans may overlap.
+
+    In the order of their starts, a word is overlapped by a span before it that reaches beyond its start, or else by
+    the very next one, as nothing between a word and the next word starts later than the spans inside it.
+    """
+    def item(x: Column, word: bool) -> Column:
+        text = [x[c] if word else F.lit("") for c in ("value", "left")]
+        return F.struct(x["start"].alias("start"), F.lit(int(word)).alias("word"), x["stop"].alias("stop"),
+                        text[0].alias("value"), text[1].alias("left"))
+
+    def free(items: Column, reach: Column) -> Column:
+        def alone(x: Column, i: Column) -> Column:
+            following = F.get(items, i + 1)
+            inside = F.coalesce((following["word"] == 0) & (following["start"] < x["stop"]), F.lit(False))
+            return (x["word"] == 1) & (F.get(reach, i) <= x["start"]) & ~inside
+
+        return F.filter(items, alone)
+
+    merged = F.array_sort(F.concat(F.transform(spans, lambda x: item(x, False)), F.transform(words, lambda x: item(x, True))))
+    return let(merged, lambda items: let(
+        running(F.transform(items, lambda x: F.when(x["word"] == 0, x["stop"]).otherwise(F.lit(0))), larger),
+        lambda reach: free(items, reach)))
+
+
 def scan(docs: DataFrame) -> DataFrame:
     """row_id, doc_id, base (spans with kind), words (identifier-like words outside of base spans, with pattern)."""
     d = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    likely = F.when(F.col("text").rlike("[0-9]"), F.filter(
-        find_all(F.col("text"), rf"(?=[A-Za-z._:/@+-]*+[0-9]){WORD}"),
+    likely = F.when(F.col("text").rlike(r"[\p{N}@]"), F.filter(
+        find_all(F.col("text"), IDENTIFIER),
         lambda x: F.char_length(x["value"]) >= MIN_LENGTH)).otherwise(F.array().cast(SPAN))
     d = once(d, "doc_id", "text", likely=likely, **{kind: base_spans(F.col("text"), kind) for kind in PATTERNS})
     d = once(d, "doc_id", "text", "likely", base=F.array_sort(F.concat(*map(_tagged, PATTERNS))))
-    free = F.filter("likely", lambda w: ~F.exists("base", lambda b: (b["start"] < w["stop"]) & (w["start"] < b["stop"])))
+    free = _outside(F.col("likely"), F.col("base"))
     instance = lambda x, seed: F.struct(
         x["start"].alias("start"), x["stop"].alias("stop"), F.lower(x["value"]).alias("value"),
-        _context(F.col("text"), x["start"]).alias("pattern"), F.lit(seed).alias("seed"))
+        _context(x["left"]).alias("pattern"), F.lit(seed).alias("seed"))
     return d.select(
         F.monotonically_increasing_id().alias("row_id"), "doc_id",
         F.transform("base", lambda x: F.struct(x["start"].alias("start"), x["rank"].alias("rank"),
