@@ -17,13 +17,15 @@ Of equal texts the row with the most code points stays, then the smallest doc_id
 then the smallest locator (rows repeated with their id).
 
 Defined results: null text counts as empty; a null doc_id is larger than all
-others; all columns other than doc_id and text are carried along untouched; an
-empty table gives no rows.
+others; all columns other than doc_id and text are carried along untouched, whatever their
+names; a very long text is one row like any other, compared in the JVM; an empty
+table gives no rows.
 """
 
 from __future__ import annotations
 
 import contextlib
+import functools
 import re
 
 from pyspark.errors import AnalysisException
@@ -52,12 +54,33 @@ def sha256(norm: Column) -> Column:
     return F.sha2(norm, 256)
 
 
+#: The place of a row, while a filter works on a table.
+PLACE = ("__file", "__row")
+
+
+def keeping_names(drop):
+    """A filter of documents, made safe for input columns that are named like the place of a row."""
+
+    @functools.wraps(drop)
+    def run(docs: DataFrame, *more, **options) -> DataFrame:
+        names, taken = docs.columns, {c.lower() for c in docs.columns} | set(PLACE)
+        safe = []
+        for c in names:
+            new = c
+            while c.lower() in PLACE and new.lower() in taken:
+                new += "_"
+            taken.add(new.lower())
+            safe.append(new)
+        return drop(docs, *more, **options) if safe == names else drop(docs.toDF(*safe), *more, **options).toDF(*names)
+
+    return run
+
+
 def located(docs: DataFrame) -> DataFrame:
     """``docs`` with its file and row number as ``__file`` and ``__row``.
 
     Anything but a scan with filters and projections is written to the shared folder
-    first, since only a scan's rows have a number of their own.  Column names that
-    begin with two underscores are reserved.
+    first, since only a scan's rows have a number of their own.
     """
     nodes = set(re.findall(r"^[ :+-]*'?(\w+)", docs._jdf.queryExecution().analyzed().toString(), re.M))
     if nodes <= {"Project", "Filter", "Relation"}:
@@ -153,6 +176,7 @@ def exact_groups(docs: DataFrame, digest=sha256) -> DataFrame:
         _kept_row().alias("kept"), "text_sha256")
 
 
+@keeping_names
 def drop_exact_duplicates(docs: DataFrame, digest=sha256) -> DataFrame:
     """The documents that stay, with their own columns."""
     docs, columns = located(docs), docs.columns

@@ -12,7 +12,8 @@ everything if nothing can be learnt.  Rows with a null id are predicted but not
 learnt from.  ASCII letters are lower-cased, other ASCII characters are one
 separator, other bytes are kept, so whole texts in any script are used.  Repeated
 rows are predicted alike; ties go to the language with more training documents,
-then the smaller name.  Extra columns are ignored; an empty table gives no rows.
+then the smaller name.  Extra columns are ignored; a very long text is one mixture
+like any other, worked on by itself; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import settle
-from .exact_dedup import located
+from .exact_dedup import keeping_names, located
 from .textbytes import slices
 
 BUCKETS = 1 << 16
@@ -193,6 +194,7 @@ def identify(docs: DataFrame) -> DataFrame:
     return predict(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "langs")
 
 
+@keeping_names
 def drop_unidentified(docs: DataFrame) -> DataFrame:
     """The documents in which a language was found, with their own columns.
 

@@ -12,11 +12,12 @@
    the window's end starts the next window.  The last window of a shard is cut into
    powers of two, so that no sequence has padding.
 
-A seed's query is made of its terms that at most ``STOP_SHARE`` of all documents
-hold; the commoner ones have next to no BM25 weight.  Scores use all counts.
+A seed's query is all of its terms.  Those that more than ``DENSE_SHARE`` of all
+documents hold are kept as full rows of weights, if these are few (their lists would
+be as long), the others as inverted lists; the scores are the same.
 
 Defined results: null and empty texts are one closing id; ties in score go to the
-document earlier in the shard; repeated rows are packed each; ids may be null;
+document earlier in the shard; a very long text is cut into as many windows as it fills; repeated rows are packed each; ids may be null;
 extra columns are ignored; an empty table gives no rows.
 """
 
@@ -34,7 +35,9 @@ from .wordbpe import encode_column
 WINDOW = 4096
 CLOSING = 2
 SHARD_TOKENS = 1 << 20
-STOP_SHARE = 0.25
+DENSE_SHARE = 0.25
+#: Weights of a shard's full rows at most; with more, all terms are inverted lists.
+MAX_DENSE = 8 << 20
 K1, B = 1.2, 0.75
 VOCABULARY = 1 << 16
 
@@ -112,8 +115,18 @@ class Shard:
         idf = np.log1p((n_docs - df + 0.5) / (df + 0.5))
         long = K1 * (1 - B + B * np.diff(at) / mean)
         weight = (idf[term] * count * (K1 + 1) / (count + long[doc])).astype(np.float32)
-        ask = df[term] <= max(1, STOP_SHARE * n_docs)
-        doc, term, weight = doc[ask], term[ask], weight[ask]
+        common = np.flatnonzero(df > DENSE_SHARE * n_docs)
+        common = common[np.isin(common, term)]
+        if len(common) * self.n > MAX_DENSE:
+            common = common[:0]
+        self.row = np.full(VOCABULARY, -1)
+        self.row[common] = np.arange(len(common))
+        often = self.row[term] >= 0
+        self.dense = np.zeros((len(common), self.n), np.float32)
+        self.dense[self.row[term[often]], doc[often]] = weight[often]
+        # every document's rows; then the lists of the other terms
+        self.rows, self.rows_at = self.row[term[often]], np.searchsorted(doc[often], np.arange(self.n + 1))
+        doc, term, weight = doc[~often], term[~often], weight[~often]
         order = np.argsort(term, kind="stable")
         self.doc, self.weight = doc[order], weight[order]
         first = np.searchsorted(term[order], np.arange(VOCABULARY + 1))
@@ -123,12 +136,17 @@ class Shard:
 
     def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
         """Unused documents by falling score; those without a common term come last, in order."""
+        score = self.scores(seed)
+        return unused[np.argsort(-score[unused], kind="stable")]
+
+    def scores(self, seed: int) -> np.ndarray:
+        """BM25 of every document of the shard for the seed's distinct terms."""
         terms = self.term[self.term_at[seed]: self.term_at[seed + 1]]
         size = self.size[terms]
         ends = np.cumsum(size)
         where = np.repeat(self.begin[terms] - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
-        score = np.bincount(self.doc[where], self.weight[where], self.n)
-        return unused[np.argsort(-score[unused], kind="stable")]
+        rows = self.rows[self.rows_at[seed]: self.rows_at[seed + 1]]
+        return np.bincount(self.doc[where], self.weight[where], self.n) + self.dense[rows].sum(0, dtype=float)
 
 
 def fill(sizes: np.ndarray, shard: Shard):
