@@ -16,6 +16,12 @@ equal after a comparison unit by unit.
 
 Equal texts are one node; if it has more than one document and at least L units,
 all of it is repeated.
+
+``groups()`` joins the windows again across segments.  A stretch of windows that always
+stand together is one letter: where a window has several left or right neighbours in the
+corpus a letter begins or ends, so each maximal repeat is a string of whole letters.  The
+suffixes of the texts' letter strings are partitioned by variable-length prefixes until a
+group fits in memory, and the operator's own finder works on each.
 """
 
 from __future__ import annotations
@@ -26,7 +32,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stage
@@ -37,6 +43,8 @@ from .textbytes import equal_spans, mix, powers, prefix_sums, sequence_hashes, s
 HOT = 1 << 16
 #: Bytes of segments that a task works on at once (whole groups, so a little more).
 CHUNK = 2 << 20
+#: Letters of a suffix that a round of ``groups()`` looks at, and suffixes of one prefix that a task takes at most.
+LOOK, SUFFIXES = 64, 1 << 13
 PLACE = ["__file", "__row"]
 
 
@@ -210,6 +218,49 @@ def same_windows(units: np.ndarray, key: np.ndarray, pos: np.ndarray, length: in
     return which
 
 
+def window_classes(u: Units, c: Chunk):
+    """Class, position in c.units and body of every window, by body and position."""
+    windows = c.stop - c.begin - u.length + 1
+    seg = np.repeat(np.arange(len(windows)), windows)
+    pos = np.arange(len(seg)) + np.repeat(c.begin - np.cumsum(windows) + windows, windows)
+    codes = mix(c.units.astype(np.uint64) + np.uint64(1))
+    sums = np.zeros(len(codes) + 1, np.uint64)
+    np.cumsum(codes * powers(len(codes))[0], out=sums[1:])
+    key = mix(span_hash(sums, pos, pos + u.length) ^ mix(c.group.view(np.uint64)[seg]))
+    return same_windows(c.units, key, pos, u.length), pos, seg
+
+
+def letters(u: Units, c: Chunk):
+    """(class of the first window, its position, body, windows) of the repeated stretches that always stand together.
+
+    Cuts depend on the units around them only, so equal texts are cut alike: before a window
+    that has several left neighbours in its group, after one with several right
+    neighbours, and at the ends of segments.
+    """
+    key, pos, seg = window_classes(u, c)
+    if not len(key):
+        return key, pos, seg, pos
+    key = np.unique(key, return_inverse=True)[1]
+    many = (np.bincount(key, c.count[seg]) > 1)[key]
+    opens, closes = pos == c.begin[seg], pos + u.length == c.stop[seg]
+
+    def varied(edge: np.ndarray, unit: np.ndarray) -> np.ndarray:
+        low, high, out = np.full(key.max() + 1, unit.max()), np.full(key.max() + 1, -1), np.zeros(key.max() + 1, bool)
+        np.minimum.at(low, key, unit)
+        np.maximum.at(high, key, unit)
+        out[key[edge]] = True
+        return (out | (low != high))[key]
+
+    left = varied(opens, c.units[np.maximum(pos - 1, 0)])
+    right = varied(closes, c.units[np.minimum(pos + u.length, len(c.units) - 1)])
+    starts = opens | left
+    starts[1:] |= right[:-1] | ~many[:-1]
+    at = np.flatnonzero(starts | ~many)
+    size = np.diff(np.append(at, len(key)))
+    use = many[at]
+    return key[at][use], pos[at][use], seg[at][use], size[use]
+
+
 def repeated_windows(u: Units, c: Chunk):
     """Suffixes whose L-unit prefix occurs at least twice in its group, and from where a repeat may begin.
 
@@ -218,14 +269,7 @@ def repeated_windows(u: Units, c: Chunk):
     same unit to their left are left out: their repeats begin further left.  A
     segment's first window counts as a beginning.
     """
-    windows = c.stop - c.begin - u.length + 1
-    seg = np.repeat(np.arange(len(windows)), windows)
-    pos = np.arange(len(seg)) + np.repeat(c.begin - np.cumsum(windows) + windows, windows)
-    codes = mix(c.units.astype(np.uint64) + np.uint64(1))
-    sums = np.zeros(len(codes) + 1, np.uint64)
-    np.cumsum(codes * powers(len(codes))[0], out=sums[1:])
-    key = mix(span_hash(sums, pos, pos + u.length) ^ mix(c.group.view(np.uint64)[seg]))
-    key = same_windows(c.units, key, pos, u.length)
+    key, pos, seg = window_classes(u, c)
     order = np.argsort(key, kind="stable")
     key, pos, seg = key[order], pos[order], seg[order]
     new = np.ones(len(key), bool)
@@ -303,11 +347,45 @@ def merge(spans: np.ndarray) -> np.ndarray:
     return np.stack([spans[at, 0], reach[np.append(at[1:], len(spans)) - 1]], 1)
 
 
+def _by_group(batches):
+    """(group, rows) from rows sorted by the first column."""
+    rows: list = []
+    for batch in batches:
+        for row in zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns))):
+            if rows and row[0] != rows[0][0]:
+                yield rows[0][0], rows
+                rows = []
+            rows.append(row)
+    if rows:
+        yield rows[0][0], rows
+
+
+#: A suffix with the prefix ``group`` of ``length`` units: its place, the index of the next letter in its run, the letter to its left.
+TODO = ["group", "length", "node", "run", "at", "start", "left"]
+PENDING = "group bigint, length bigint, node bigint, run bigint, at int, start bigint, left bigint, more boolean"
+
+
+def _pending(rows: list) -> pa.RecordBatch:
+    group, length, node, run, at, start, left, more = zip(*rows)
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.bool_())
+    columns = (group, length, node, run, at, start, left, more)
+    return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds)], names=[*TODO, "more"])
+
+
+def _varied(neighbour: str):
+    """Whether a group has several neighbours; a missing one is unlike all others, and alone it is not several."""
+    return (F.count("*") > 1) & ((F.count(neighbour) < F.count("*")) | F.coalesce(F.min(neighbour) != F.max(neighbour), F.lit(False)))
+
+
 class Repeats:
-    """The repeats of a corpus.  ``finder(chunk, L, positions, segments)`` yields (length, members) of a prefix class."""
+    """The repeats of a corpus.
 
-    def __init__(self, docs: DataFrame, u: Units, finder: Callable, hot: int = HOT):
-        self.u, self.finder = u, finder
+    ``finder(chunk, L, positions, segments)`` yields (length, members) of a prefix class;
+    ``tails(suffixes, lefts)`` yields (common prefix, members) of the maximal repeats among suffixes.
+    """
+
+    def __init__(self, docs: DataFrame, u: Units, finder: Callable, tails: Callable, hot: int = HOT):
+        self.u, self.finder, self.tails, self.suffixes = u, finder, tails, min(hot, SUFFIXES)
         docs = located(docs.select("doc_id", "text"))
         self.rows = stage(scan(docs, u), "repeat-scan")
         nodes = self.rows.groupBy("digest").agg(
@@ -331,58 +409,131 @@ class Repeats:
         cold = self.bodies.join(self.hot, "anchor", "left_anti").select("anchor", "key", "n", "body")
         return cold.repartition("anchor").sortWithinPartitions("anchor")
 
-    def _hot_repeats(self) -> DataFrame:
-        """anchor, key, start, group of the repeated windows of the hot anchors' bodies."""
+    def _hot_repeats(self, numbered: bool = False) -> DataFrame:
+        """anchor, key, start of the repeated windows of the hot anchors' bodies; ``numbered``: also each window's letter."""
         windows = stage(_hot_windows(self.bodies.join(self.hot, "anchor", "left_semi").select("anchor", "key", "n", "body"), self.u), "repeat-hot")
         many = windows.groupBy("window").agg(F.sum("n").alias("total")).where("total > 1").select("window")
-        return windows.join(many, "window").select("anchor", "key", "start", F.xxhash64("window").alias("window"))
+        if numbered:
+            many = stage(many.withColumn("letter", -1 - F.monotonically_increasing_id()), "repeat-hot-letters")
+        return windows.join(many, "window").drop("window", "n")
 
     def _placed(self, spans: DataFrame, *columns: str) -> DataFrame:
         """Spans (anchor, key, start) of bodies at all the places where the bodies stand: node, start and more columns."""
         return spans.join(self.segments.select("anchor", "key", "node", "first"), ["anchor", "key"]).select(
             "node", (F.col("start") + F.col("first")).alias("start"), *columns)
 
-    def groups(self) -> DataFrame:
-        """Maximal repeats among different texts, with all places in these: group_id, length, node, start.
-
-        A node stands for all copies of its text; ``occurrences`` has every document's place.
-        A repeat that outreaches its segments is reported as overlapping parts; those of
-        hot anchors as their single windows.
-        """
-        u, finder = self.u, self.finder
+    def _runs(self) -> DataFrame:
+        """node, run, and by letter of the run: starts, sizes (in windows), letters.  A run is a gapless string of letters."""
+        u = self.u
 
         def run(batches):
             from pyspark import TaskContext
 
-            group = TaskContext.get().partitionId() << 40
+            number = TaskContext.get().partitionId() << 33
             for rows in _grouped(batches):
                 c = _chunk(u, rows)
-                found, pos, seg = repeats_of(u, c, finder)
-                out = {}
-                for n, members in found:
-                    group += 1
-                    for m in members:  # a body with several segments stands twice
-                        out[group, n, int(seg[m]), int(pos[m] - c.begin[seg[m]])] = None
-                ids, length, body, start = zip(*out) if out else ((), (), (), ())
+                klass, pos, seg, size = letters(u, c)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, pa.int64()), pa.array(length, pa.int64()), pa.array([rows[b][0] for b in body], pa.int64()),
-                     pa.array([rows[b][1] for b in body], pa.string()), pa.array(start, pa.int64())],
-                    names=["group_id", "length", "anchor", "key", "start"])
+                    [pa.array(c.group[seg]), pa.array([rows[b][1] for b in seg.tolist()], pa.string()),
+                     pa.array((pos - c.begin[seg]).astype(np.int64)), pa.array(size.astype(np.int64)), pa.array(klass.astype(np.int64) + number)],
+                    names=["anchor", "key", "start", "size", "letter"])
+                number += int(klass.max()) + 1 if len(klass) else 0
+
+        cold = self._routed().mapInArrow(run, "anchor bigint, key string, start bigint, size bigint, letter bigint")
+        hot = self._hot_repeats(numbered=True).select("anchor", "key", "start", F.lit(1).cast("long").alias("size"), "letter")
+        # the letters' numbers are the tasks' own, so they are written before anything else reads them
+        bodies = stage(cold.unionByName(hot), "repeat-letters")
+        here = Window.partitionBy("node").orderBy("start")
+        joined = F.lag(F.col("start") + F.col("size")).over(here) == F.col("start")
+        follows = F.lead("start").over(here) == F.col("start") + F.col("size")
+        near = stage(self._placed(bodies, "size", "letter").select(
+            "node", "start", "size", "letter", F.when(joined, F.lag("letter").over(here)).alias("left"),
+            F.when(follows, F.lead("letter").over(here)).alias("right")), "repeat-neighbours")
+        sides = near.groupBy("letter").agg(_varied("left").alias("from_many"), _varied("right").alias("to_many"))
+        # segments cut finer than need be: letters that always stand together are one
+        opens = F.col("left").isNull() | F.col("from_many") | F.lag("to_many").over(here)
+        whole = near.join(sides, "letter").select("node", "start", "size", "letter", "left", opens.alias("opens")).select(
+            "node", "start", "size", "letter", F.sum(F.col("opens").cast("long")).over(here).alias("place"),
+            F.sum(F.col("left").isNull().cast("long")).over(here).alias("run"))
+        whole = whole.groupBy("node", "run", "place").agg(
+            F.min("start").alias("start"), F.sum("size").alias("size"), F.min_by("letter", "start").alias("letter"))
+        runs = whole.groupBy("node", "run").agg(F.array_sort(F.collect_list(F.struct("start", "size", "letter"))).alias("x"))
+        return stage(runs.select("node", "run", F.col("x.start").alias("starts"), F.col("x.size").alias("sizes"),
+                                 F.col("x.letter").alias("letters")), "repeat-runs")
+
+    def groups(self) -> DataFrame:
+        """Maximal repeats among different texts, with all places in these: group_id, length, node, start.
+
+        A repeat is a string of L units or more that stands at two places at least and can't be extended by one
+        unit to either side at all its places.  A node stands for all copies of its text;
+        ``occurrences`` has every document's place.  A text of one short string over and over has as many
+        maximal repeats as it has periods, so rows grow with the square of those.
+
+        Each round looks at ``LOOK`` further letters of all suffixes with one prefix; a prefix with more
+        suffixes than a task takes is lengthened by one letter, in Spark.
+        """
+        runs, look, tails = self._runs(), LOOK, self.tails
+
+        def run(batches):
+            from pyspark import TaskContext
 
-        cold = self._routed().mapInArrow(run, "group_id bigint, length bigint, anchor bigint, key string, start bigint")
-        hot = self._hot_repeats().select(
-            F.col("window").bitwiseOR(F.lit(-1 << 63)).alias("group_id"), F.lit(u.length).cast("long").alias("length"), "anchor", "key", "start")
-        return self._placed(cold.unionByName(hot), "group_id", "length")
+            number = TaskContext.get().partitionId() << 33
+            out: list = []
+            for _, rows in _by_group(batches):
+                left = [(i,) if r[6] is None else r[6] for i, r in enumerate(rows)]  # no neighbour: unlike all others
+                for depth, members in tails([r[7] for r in rows], left):
+                    number += 1
+                    length = rows[members[0]][1] + sum(rows[members[0]][8][:depth])
+                    out += [(number, length, *rows[m][2:4], rows[m][4] + depth, *rows[m][5:7], depth == look) for m in members]
+                    if len(out) >= 1 << 14:
+                        yield _pending(out)
+                        out = []
+            if out:
+                yield _pending(out)
+
+        todo = runs.select("node", "run", "starts", "sizes", "letters", F.posexplode("letters").alias("at", "group")).select(
+            "group", (F.get("sizes", "at") + self.u.length - 1).alias("length"), "node", "run", (F.col("at") + 1).alias("at"),
+            F.get("starts", "at").alias("start"), F.get("letters", F.col("at") - 1).alias("left"))
+        found, turn = [], 0
+        while True:
+            sizes = stage(todo.groupBy("group").agg(F.count("*").alias("n"), _varied("left").alias("open")).where("n > 1 and open"), "repeat-prefixes")
+            if sizes.isEmpty():
+                break
+            rows = todo.join(sizes.select("group", (F.col("n") > self.suffixes).alias("big")), "group").join(runs, ["node", "run"])
+            small = rows.where("not big").select(*TODO, F.slice("letters", F.col("at") + 1, look).alias("tail"),
+                                                 F.slice("sizes", F.col("at") + 1, look).alias("tail_sizes"))
+            small = stage(small.repartition("group").sortWithinPartitions("group").mapInArrow(run, PENDING), f"repeat-found-{turn}")
+            done = small.where("not more").select(F.concat(F.lit(f"{turn}-"), "group").alias("group_id"), "length", "node", "start")
+            found.append(done)
+            todo = small.where("more").select(*TODO)
+            if not sizes.where(F.col("n") > self.suffixes).isEmpty():
+                big = stage(rows.where("big").select(*TODO, F.get("letters", "at").alias("next"), F.get("sizes", "at").alias("size")), f"repeat-long-{turn}")
+                ends = big.groupBy("group").agg(_varied("next").alias("ends")).where("ends")
+                found.append(big.join(ends.select("group"), "group", "left_semi").select(
+                    F.concat(F.lit(f"{turn}+"), "group").alias("group_id"), "length", "node", "start"))
+                below = big.groupBy("group", "next").agg(F.count("*").alias("n")).where("n > 1 and next is not null")
+                below = stage(below.select("group", "next", (-1 - F.monotonically_increasing_id()).alias("child")), f"repeat-below-{turn}")
+                todo = todo.unionByName(big.join(below, ["group", "next"]).select(
+                    F.col("child").alias("group"), (F.col("length") + F.col("size")).alias("length"), "node", "run",
+                    (F.col("at") + 1).alias("at"), "start", "left"))
+            turn += 1
+        if not found:
+            return self.nodes.sparkSession.createDataFrame([], "group_id string, length bigint, node bigint, start bigint")
+        out = found[0]
+        for part in found[1:]:
+            out = out.unionByName(part)
+        return out
 
     def occurrences(self) -> DataFrame:
         """Repeats with all their occurrences in documents: group_id, length, doc_id, __file, __row, start.
 
         ``groups()`` at the places of all copies of a text; and each text of L units or more
-        that several documents have is a repeat of its full length.
+        that several documents have, and no other text holds, is a repeat of its full length.
         """
-        whole = self.nodes.where((F.col("copies") > 1) & (F.col("n_units") >= self.u.length)).select(
-            F.col("node").bitwiseOR(F.lit(1 << 62)).alias("group_id"), F.col("n_units").alias("length"), "node", F.lit(0).cast("long").alias("start"))
-        found = self.groups().select("group_id", "length", "node", F.col("start").cast("long").alias("start"))
+        found = stage(self.groups(), "repeat-groups")
+        held = found.where("start = 0").select("node", F.col("length").alias("n_units"))
+        whole = self.nodes.where((F.col("copies") > 1) & (F.col("n_units") >= self.u.length)).join(held, ["node", "n_units"], "left_anti").select(
+            F.concat(F.lit("copies-"), "node").alias("group_id"), F.col("n_units").alias("length"), "node", F.lit(0).cast("long").alias("start"))
         places = self.rows.select("doc_id", *PLACE, "digest").join(self.nodes.select("node", "digest"), "digest")
         return stage(found.unionByName(whole).join(places, "node").select("group_id", "length", "doc_id", *PLACE, "start"), "repeat-occurrences")
 

@@ -59,11 +59,8 @@ def build(suffixes: list[list[int]]) -> Node:
     return root
 
 
-def maximal_repeats(c: Chunk, length: int, pos: list[int], seg: list[int]):
-    """(length, members) of the maximal repeats of one class of equal prefixes."""
-    tails = [c.units[p + length: c.stop[s]].tolist() for p, s in zip(pos, seg)]
-    # a segment's first window has no known left word: it differs from all others
-    left = [-1 - k if p == c.begin[s] else int(c.units[p - 1]) for k, (p, s) in enumerate(zip(pos, seg))]
+def tail_repeats(tails: list[list[int]], left: list):
+    """(common prefix, members) of the maximal repeats among suffixes, given what stands left of each."""
     # depth first, children before parents
     todo, below = [(build(tails), False)], []
     while todo:
@@ -77,9 +74,18 @@ def maximal_repeats(c: Chunk, length: int, pos: list[int], seg: list[int]):
             members += below.pop()
         below.append(members)
         if len(members) > 1 and (len(node.children) + len(node.ends) > 1) and any(left[m] != left[members[0]] for m in members):
-            yield length + node.depth, members
+            yield node.depth, members
+
+
+def maximal_repeats(c: Chunk, length: int, pos: list[int], seg: list[int]):
+    """(length, members) of the maximal repeats of one class of equal prefixes."""
+    tails = [c.units[p + length: c.stop[s]].tolist() for p, s in zip(pos, seg)]
+    # a segment's first window has no known left word: it differs from all others
+    left = [-1 - k if p == c.begin[s] else int(c.units[p - 1]) for k, (p, s) in enumerate(zip(pos, seg))]
+    for depth, members in tail_repeats(tails, left):
+        yield length + depth, members
 
 
 def repeats(docs: DataFrame, length: int = LENGTH, run: int = RUN, hot: int = HOT) -> Repeats:
     """``occurrences()``: maximal repeats with all occurrences; ``groups()``: these by distinct text; ``covers()``: spans; ``removed()``: the cut texts' digests."""
-    return Repeats(docs, Units(True, length, run), maximal_repeats, hot)
+    return Repeats(docs, Units(True, length, run), maximal_repeats, tail_repeats, hot)

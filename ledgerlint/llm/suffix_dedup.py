@@ -24,11 +24,13 @@ from .repeats import HOT, Chunk, Repeats, Units
 LENGTH, RUN = 200, 64
 
 
-def common_prefix(a: bytes, b: bytes) -> int:
+def common_prefix(a: bytes | list, b: bytes | list) -> int:
     n = min(len(a), len(b))
     if a[:n] == b[:n]:
         return n
-    return int(np.argmax(np.frombuffer(a, np.uint8, n) != np.frombuffer(b, np.uint8, n)))
+    if isinstance(a, bytes):
+        return int(np.argmax(np.frombuffer(a, np.uint8, n) != np.frombuffer(b, np.uint8, n)))
+    return next(i for i in range(n) if a[i] != b[i])
 
 
 def intervals(lcp: list[int]):
@@ -46,21 +48,27 @@ def intervals(lcp: list[int]):
             stack.append([depth, first])
 
 
+def tail_repeats(tails: list, left: list):
+    """(common prefix, members) of the maximal repeats among suffixes, given what stands left of each."""
+    array = sorted(range(len(tails)), key=tails.__getitem__)
+    lcp = [0] + [common_prefix(tails[a], tails[b]) for a, b in zip(array, array[1:])]
+    change = [0] * len(array)  # how often the left unit changes up to here: an interval is diverse if it does inside
+    for i in range(1, len(array)):
+        change[i] = change[i - 1] + (left[array[i]] != left[array[i - 1]])
+    for depth, first, last in intervals(lcp):
+        if change[last] > change[first]:
+            yield depth, array[first: last + 1]
+
+
 def maximal_repeats(c: Chunk, length: int, pos: list[int], seg: list[int]):
     """(length, members) of the maximal repeats of one class of equal prefixes."""
     tails = [c.units[p + length: c.stop[s]].astype(np.uint8).tobytes() for p, s in zip(pos, seg)]
-    array = sorted(range(len(pos)), key=tails.__getitem__)
-    lcp = [0] + [common_prefix(tails[a], tails[b]) for a, b in zip(array, array[1:])]
     # a segment's first window has no known left unit: it differs from all others
-    left = [-1 - k if pos[k] == c.begin[seg[k]] else int(c.units[pos[k] - 1]) for k in array]
-    change = [0] * len(left)  # how often the left unit changes up to here: an interval is diverse if it does inside
-    for i in range(1, len(left)):
-        change[i] = change[i - 1] + (left[i] != left[i - 1])
-    for depth, first, last in intervals(lcp):
-        if change[last] > change[first]:
-            yield length + depth, array[first: last + 1]
+    left = [-1 - k if p == c.begin[s] else int(c.units[p - 1]) for k, (p, s) in enumerate(zip(pos, seg))]
+    for depth, members in tail_repeats(tails, left):
+        yield length + depth, members
 
 
 def repeats(docs: DataFrame, length: int = LENGTH, run: int = RUN, hot: int = HOT) -> Repeats:
     """``occurrences()``: maximal repeats with all occurrences; ``groups()``: these by distinct text; ``covers()``: spans; ``removed()``: the cut texts' digests."""
-    return Repeats(docs, Units(False, length, run), maximal_repeats, hot)
+    return Repeats(docs, Units(False, length, run), maximal_repeats, tail_repeats, hot)

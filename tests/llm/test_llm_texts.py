@@ -242,6 +242,55 @@ def test_occurrences_are_complete(spark, module):
     assert all(frozenset(w) in shifted for w in repeated)
 
 
+def brute_maximal(length, units):
+    """(length, places) of all strings that can't be extended to either side at all their places."""
+    places = defaultdict(list)
+    for i, x in enumerate(units):
+        for p in range(len(x)):
+            for q in range(p + length, len(x) + 1):
+                places[tuple(x[p:q])].append((i, p))
+    out = set()
+    for s, at in places.items():
+        left = {units[i][p - 1] if p else (i, p) for i, p in at}
+        right = {units[i][p + len(s)] if p + len(s) < len(units[i]) else (i, p) for i, p in at}
+        if len(at) > 1 and len(left) > 1 and len(right) > 1:
+            out.add((len(s), frozenset(at)))
+    return out
+
+
+@pytest.mark.parametrize("hot, look", [(8192, 64), (8192, 2), (2, 1), (5, 3)])
+@pytest.mark.parametrize("module", [substring_dedup, suffix_dedup])
+def test_groups_are_all_maximal_repeats(spark, monkeypatch, module, hot, look):
+    """Passages in passages, repeats of repeats, copies, texts inside texts: groups equal a list of all maximal repeats."""
+    from ledgerlint.llm import repeats
+
+    monkeypatch.setattr(repeats, "LOOK", look)
+    rng = random.Random(hot + look)
+    draw = lambda n: [rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n)]
+    long, inner, tail = draw(30), draw(12), draw(9)
+    long[9:21] = inner
+    units = [long, long, draw(5) + long + draw(4), draw(6) + long, draw(3) + inner + draw(9), inner + tail, long + tail + long,
+             inner * 2 + tail, ["x"] * 15, ["x", "y"] * 9, draw(20), [], draw(4), tail, tail]
+    join = " " if module is substring_dedup else ""
+    docs = spark.createDataFrame([(i, join.join(x)) for i, x in enumerate(units)], "doc_id bigint, text string").repartition(3)
+    got = defaultdict(set)
+    for r in module.repeats(docs, 6, 3, hot).occurrences().collect():
+        got[r.group_id, r.length].add((r.doc_id, r.start))
+    want = brute_maximal(6, units)
+    assert {(n, frozenset(at)) for (_, n), at in got.items()} == want and len(got) == len(want) > 15
+
+
+@pytest.mark.parametrize("module", [substring_dedup, suffix_dedup])
+def test_a_long_passage_is_one_group(spark, module):
+    rng = random.Random(12)
+    passage = _words(rng, 200)
+    texts = [f"{_words(rng, 60)} <{i}> {passage} <{i}> {_words(rng, 60)}" for i in range(3)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    rows = module.repeats(docs).occurrences().collect()
+    assert len(rows) == 3 and len({r.group_id for r in rows}) == 1 and {r.doc_id for r in rows} == {0, 1, 2}
+    assert {r.length for r in rows} == {200 if module is substring_dedup else len(passage) + 4}  # with "> " and " <"
+
+
 def test_interval_tree_and_suffix_tree_agree():
     from ledgerlint.llm.repeats import Chunk, Units, repeats_of
 
