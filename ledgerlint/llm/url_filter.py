@@ -64,7 +64,7 @@ def match_rule(host: Column, path: Column, rules=RULES) -> Column:
         rule_host, slash, rule_path = text.partition("/")
         on = (host == rule_host) | host.endswith("." + rule_host)
         fits.append(F.when(on & path.startswith(slash + rule_path), F.struct(F.lit(text).alias("rule"), F.lit(action).alias("action"))))
-    return F.coalesce(*fits)
+    return F.coalesce(*fits) if fits else F.lit(None).cast("struct<rule:string,action:string>")
 
 
 def _ngrams(text: Column, tag: str, n: int) -> Column:

@@ -102,6 +102,21 @@ def test_classifier_separates_unseen_hosts(spark, sf_small):
     assert [got[i] for i in range(6)] == ["block"] * 3 + ["allow"] * 3
 
 
+def test_classifier_on_held_out_rows(spark):
+    """Precision and recall on labelled urls that the fit has not seen, four folds."""
+    rows = list(enumerate(url_filter.LABELLED))
+    hits = {(w, g): 0 for w in (0, 1) for g in (0, 1)}
+    for fold in range(4):
+        model = url_filter.fit(spark.createDataFrame([r for i, r in rows if i % 4 != fold], "label int, url string"))
+        pages = spark.createDataFrame([(label, url) for i, (label, url) in rows if i % 4 == fold], "page_id int, url string")
+        for r in url_filter.judge(pages, model, rules=()).collect():
+            hits[r.page_id, int(r.verdict == "block")] += 1
+    assert sum(hits.values()) == len(rows)
+    precision, recall = hits[1, 1] / max(1, hits[1, 1] + hits[0, 1]), hits[1, 1] / (hits[1, 1] + hits[1, 0])
+    print("held out:", hits, precision, recall)
+    assert precision >= 0.8 and recall >= 0.8
+
+
 def test_whole_table(spark, sf_small):
     pages = spark.read.parquet(f"{sf_small}/pages.parquet")
     assert queries.op2_url_filter(spark, sf_small).count() == pages.count()

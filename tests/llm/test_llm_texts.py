@@ -340,6 +340,46 @@ def test_language_mixture(spark, sf_small):
     assert set(shares) == {"fr", "de"} and all(0.35 < float(s) < 0.65 for s in shares.values())
 
 
+def plain_mixture(model, text):
+    """Language set with proportions of one text, and its likeliest language, by plain EM over all nested sets."""
+    letters = [32] + [b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b > 127 else 32 for b in text.encode()] + [32]
+    grams = Counter(g for g in zip(letters, letters[1:], letters[2:]) if not (g[1] == 32 and 32 in (g[0], g[2])))
+    rows = [(n, np.exp(model.log_p[((a << 16 | b << 8 | c) * 2654435761 % 2**32) >> 16].astype(float))) for (a, b, c), n in grams.items()]
+    total = sum(grams.values())
+
+    def fit(allowed):
+        theta = np.array([float(i in allowed) for i in range(len(model.langs))]) / len(allowed)
+        for _ in range(language_id.ROUNDS):
+            theta = sum(n * theta * p / (theta @ p) for n, p in rows) / total
+        return theta, sum(n * np.log(theta @ p) for n, p in rows)
+
+    full = fit(range(len(model.langs)))[0]
+    order = np.argsort(-full, kind="stable").tolist()
+    price = language_id.PENALTY * np.log(max(total, 2))
+    sets = [fit(order[:k]) for k in range(1, len(order) + 1)]
+    value = [f - k * price for k, (_, f) in enumerate(sets, 1)]
+    return sets[int(np.argmax(value))][0], full
+
+
+def test_language_sets_equal_plain_em(spark, sf_small):
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet")
+    model = language_id.learn(docs)
+    rng = random.Random(4)
+    texts = {lang: [r.text for r in docs.where(F.col("lang") == lang).select("text").collect() if r.text] for lang in model.langs}
+    samples = [rng.choice(texts[lang])[:rng.randrange(5, 900)] for lang in model.langs for _ in range(4)]
+    samples += [" ".join(rng.choice(texts[x])[:rng.randrange(40, 700)] for x in rng.sample(model.langs, k)) for k in (2, 2, 2, 3, 3) for _ in range(3)]
+    samples = [t for t in samples if any(c.isascii() and c.isalpha() for c in t)]
+    raw = [t.encode() for t in samples]
+    best, score, shares = language_id.infer(model, np.frombuffer(b"".join(raw), np.uint8), np.append(0, np.cumsum([len(x) for x in raw])))
+    several = 0
+    for i, t in enumerate(samples):
+        chosen, full = plain_mixture(model, t)
+        assert np.allclose(shares[i], chosen, atol=5e-3) and abs(score[i] - full[best[i]]) < 5e-3
+        assert best[i] == chosen.argmax()
+        several += (chosen > 0).sum() > 1
+    assert several >= 5
+
+
 def test_packing(spark, docs, empty):
     from tokenizers import Tokenizer
 
