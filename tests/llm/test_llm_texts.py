@@ -380,6 +380,52 @@ def test_language_sets_equal_plain_em(spark, sf_small):
     assert several >= 5
 
 
+@pytest.mark.parametrize("size", [1, 2, 3])
+def test_language_blocks(spark, sf_small, monkeypatch, size):
+    """Several blocks: every language is learnt, and the block of the best penalised likelihood decides, as in plain Python."""
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet")
+    known = docs.where(~language_id.held_out(F.col("doc_id")))
+    whole = language_id.learn(known)
+    monkeypatch.setattr(language_id, "LANGS", size)
+    blocks = list(language_id.models(known))
+    assert [x for m in blocks for x in m.langs] == whole.langs and {len(m.langs) for m in blocks[:-1]} <= {size}
+    assert [m.last for m in blocks] == [False] * (len(blocks) - 1) + [True]
+    assert np.array_equal(np.hstack([m.log_p for m in blocks]), whole.log_p)
+    got = {r.doc_id: r for r in language_id.identify(docs).collect()}
+    rows = docs.where("text is not null").orderBy("doc_id").limit(40).collect()
+    assert len(got) == docs.count()
+    for r in rows:
+        raw = r.text.encode()
+        found = [language_id.weigh(m, np.frombuffer(raw, np.uint8), np.array([0, len(raw)])) for m in blocks]
+        m, (best, score, *_) = max(zip(blocks, found, strict=True), key=lambda x: x[1][3][0])
+        if any(c.isalpha() for c in r.text):
+            assert got[r.doc_id].lang_pred == m.langs[best[0]] and abs(got[r.doc_id].score - score[0]) < 1e-4
+    unseen = [d for d in docs.collect() if got[d.doc_id].held_out]
+    assert sum(got[d.doc_id].lang_pred == d.lang for d in unseen) >= 0.97 * len(unseen)
+
+
+def test_language_many_values(spark, monkeypatch):
+    """More values of ``lang`` than a block or a task's table holds; the most frequent come first, ties by name."""
+    monkeypatch.setattr(language_id, "LANGS", 7)
+    rows = [(i, f"{chr(97 + i % 20) * 3} word{i % 20} " * 9, f"x{i % 20:02}") for i in range(64)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    blocks = list(language_id.models(docs))
+    assert [x for m in blocks for x in m.langs] == [f"x{i:02}" for i in range(20)] and [len(m.langs) for m in blocks] == [7, 7, 6]
+    got = {r.doc_id: r.lang_pred for r in language_id.predict(docs, blocks).collect()}
+    assert got == {i: lang for i, _, lang in rows}
+
+
+def test_language_noise_goes(spark, sf_small):
+    """Letters that no learnt language explains better than chance are rejected by the filter, all prose stays."""
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "text", "lang")
+    rng = random.Random(8)
+    noise = [(-i, "".join(chr(rng.randrange(0x3400, 0x4db0)) for _ in range(30 * i)), None) for i in range(1, 6)]
+    mixed = docs.union(spark.createDataFrame(noise, docs.schema))
+    kept = Counter(r.doc_id for r in language_id.drop_unidentified(mixed, noise=False).collect())
+    assert language_id.drop_unidentified(mixed).count() == sum(kept.values()) + len(noise)
+    assert kept == Counter(r.doc_id for r in docs.collect() if r.text and any(c.isalpha() for c in r.text))
+
+
 def test_packing(spark, docs, empty):
     from tokenizers import Tokenizer
 
