@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .common import stage
 from .textbytes import mix
-from .wordbpe import encode_column
+from .wordbpe import encode_column, forget
 
 WINDOW = 4096
 CLOSING = 2
@@ -208,6 +208,7 @@ def pack(docs: DataFrame, path: str) -> DataFrame:
     def run(batches):
         from pyspark import TaskContext
 
+        forget()  # the worker may come from the tokenizing stage
         rows = [b for b in batches if b.num_rows]
         if not rows:
             return

@@ -21,7 +21,10 @@ import numpy as np
 
 from .textbytes import IS_SPACE, equal_spans, same_bytes, slices, word_spans
 
+#: Pieces that a worker remembers; beyond that it starts anew.
 MAX_PIECES = 1_500_000
+#: Bytes of text encoded at once.
+ENCODED = 1 << 20
 
 # 0 white space, 1 letter, 2 digit, 3 other
 _CLASS = np.full(256, 3, np.uint8)
@@ -158,10 +161,16 @@ def encoder(path: str) -> PieceEncoder:
     return kept[path]
 
 
+def forget() -> None:
+    """Free what this worker's encoders remember, for tasks that encode no more."""
+    for kept in getattr(sys.modules.get("_ledgerlint_encoders"), "by_path", {}).values():
+        kept.forget()
+
+
 def encode_column(column, path: str):
     """(ids, lengths) by slice of a text column: all ids as uint16 and the number of ids of each document."""
     known = encoder(path)
-    for _, _, data, offsets in slices(column):
+    for _, _, data, offsets in slices(column, ENCODED):
         folded, begin, stop, odd = pieces(data, offsets)
         if not len(begin):
             yield np.zeros(0, np.uint16), np.zeros(len(offsets) - 1, np.int64)
