@@ -245,3 +245,22 @@ def test_leap_february_expects_29_days(spark):
     assert exp == {2: list(range(1, 30))}
     assert [(r["month"], r["missing_file_count"]) for r in steps.missing.collect()] == [(2, 27)]
     spark.catalog.clearCache()
+
+
+def test_store_months_keep_the_sessions_partitions(spark):
+    """AQE may not merge them: they are small in a shuffle and large in memory."""
+    from pyspark.sql import functions as F
+
+    months = spark.range(100).select(*[F.col("id").cast("string").alias(c) for c in mf.DIFF_JOIN_KEYS])
+    assert mf.by_store_month(months).rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_store_starts_join_stores_not_days(spark, sf_small):
+    from ledgerlint.plans import mf_queries
+
+    m1 = mf_queries.run(spark, sf_small).deliveries
+    inp = mf_queries.inputs(spark, sf_small)
+    starts = mf.store_starts(m1, inp, mf_queries.SP, mf.active_stores(m1, mf_queries.AS_OF))
+    lines = starts._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    at = next(i for i, line in enumerate(lines) if "Join LeftOuter" in line)
+    assert "Aggregate" in lines[at + 1], lines[at: at + 3]
