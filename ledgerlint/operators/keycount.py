@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 COPIES = "_copies"
 ROWS = "_rows"
 CNT = "cnt"
+#: Parts of the rows without a key, so that these, all of one group, don't meet in one task.
+NULL_PARTS = 64
 
 
 def key_counts(dim: DataFrame, key: str, out_key: str | None = None) -> DataFrame:
@@ -60,10 +62,15 @@ def fact_key_count(fact: DataFrame, key: str, group_cols: list[str], sum_cols: l
     alone (partial aggregation, so a hot key moves one row a task).  They are
     joined back null-safely: few of them are broadcast by Spark, many are shuffled
     and Spark splits a skewed key, for no window needs all rows of a key together.
+    Rows with a NULL key, which may be any share of the fact, go in ``NULL_PARTS`` parts.
     Rows without a match have ``cnt`` 1.
     """
     repeated = fact.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias(CNT)).filter(F.col(CNT) > 1)
-    joined = fact.join(repeated, fact[key].eqNullSafe(repeated["_key"]), "left")
+    parts = F.when(F.col("_key").isNull(), F.sequence(F.lit(0), F.lit(NULL_PARTS - 1))).otherwise(F.array(F.lit(0)))
+    repeated = repeated.withColumn("_key_part", F.explode(parts))
+    part = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*group_cols, *sum_cols), F.lit(NULL_PARTS)).cast("int")).otherwise(F.lit(0))
+    rows = fact.withColumn("_part", part)
+    joined = rows.join(repeated, rows[key].eqNullSafe(repeated["_key"]) & (rows["_part"] == repeated["_key_part"]), "left")
     return joined.groupBy(F.coalesce(CNT, F.lit(1)).alias(CNT), *group_cols).agg(
         F.count(F.lit(1)).alias(ROWS), *[F.sum(c).alias(c) for c in sum_cols]
     )

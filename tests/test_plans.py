@@ -149,3 +149,18 @@ def test_rows_without_an_ean_are_spread(spark, sf_small):
     blank = amz.where(normalize_ean("ean_code").isNull())
     parts = blank.select(F.pmod(F.xxhash64(*amz.columns), F.lit(1024)).alias("p")).groupBy("p").count()
     assert blank.count() > amz.count() / 4 and parts.agg(F.max("count")).first()[0] < blank.count() / 50
+
+
+def test_rows_with_a_null_unique_id_are_spread(spark, no_broadcast):
+    """NULL ids are one group, which may not be one task's."""
+    from pyspark.sql import functions as F
+
+    from ledgerlint.operators.keycount import fact_key_count, window_key_count
+
+    ids = F.when(F.col("id") % 3 == 0, F.lit(None)).when(F.col("id") % 3 == 1, F.col("id") % 50).otherwise(F.col("id") + 1000)
+    fact = spark.range(3000).select(ids.cast("string").alias("k"), (F.col("id") % 7).alias("g"), F.col("id").alias("v"))
+    out = fact_key_count(fact, "k", ["g"], ["v"])
+    keys = [line for line in _optimized(out) if "Join LeftOuter" in line]
+    assert len(keys) == 1 and "_part" in keys[0], keys
+    expected = window_key_count(fact, "k").groupBy("cnt", "g").agg(F.count(F.lit(1)).alias("_rows"), F.sum("v").alias("v"))
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, expected.collect()))
