@@ -164,3 +164,11 @@ def test_rows_with_a_null_unique_id_are_spread(spark, no_broadcast):
     assert len(keys) == 1 and "_part" in keys[0], keys
     expected = window_key_count(fact, "k").groupBy("cnt", "g").agg(F.count(F.lit(1)).alias("_rows"), F.sum("v").alias("v"))
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, expected.collect()))
+
+
+def test_the_attribute_catalogue_keeps_one_sum_a_store_and_key(spark):
+    """The fact's own attributes are flags in the key of the large aggregate, not sums in it."""
+    lines = _optimized(entry.queries()["dq_attr_catalogue"](spark, SF))
+    large = next(line for line in lines if "Aggregate" in line and "_rows" in line and "order_number" not in line.split("], [")[0])
+    outputs = large.split("], [", 1)[1]
+    assert outputs.count("sum(") + outputs.count("count(") <= 2, large
