@@ -17,7 +17,7 @@ from ledgerlint.params import RunParams
 from ledgerlint.plans import registry as reg
 from ledgerlint.plans import rules as R
 from ledgerlint.sources.fixtures import FixtureSet, dim_pos
-from ledgerlint.sources.sinks import append_results, read_results, record_run, stage_path
+from ledgerlint.sources.sinks import append_results, read_results, record_run, stage, stage_path
 
 RUN_TS = dt.datetime(2001, 8, 31, 6, 0, 0)
 PARAM_DATE = "2001-08-31"
@@ -175,12 +175,17 @@ def q_ref_key_product(spark, d):
 
 
 def q_ref_stock_catalogue(spark, d):
-    """R2 for every path of the catalogue."""
+    """R2 for every path of the catalogue.
+
+    The stock is a join of the lines to the stores and the parts: the year's rows are staged, so that it is made once
+    and the catalogue scans one table.
+    """
     f = _fx(spark, d)
+    stock = stage(R.stock_of_year(f.stock(), STOCK_YEAR), "stock")
     refs = {reg.GENERAL_DATA: f.general_data(), reg.EXCHANGE_RATE: f.ref_rate(), reg.DIM_MARKET: f.ref_market(),
             reg.REF_PRODUCT: f.ref_product()}
     rules = [R.StockRule(_p("DQ_REF_" + path), path) for path in reg.STOCK_REFERENCES]
-    return flatten_result(R.stock_reference_catalogue(spark, rules, f.stock(), refs, STOCK_YEAR), R.STOCK_KEYS)
+    return flatten_result(R.stock_reference_catalogue(spark, rules, stock, refs, STOCK_YEAR), R.STOCK_KEYS)
 
 
 #: The condition of the attribute catalogue query, for every entry.

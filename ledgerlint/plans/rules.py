@@ -400,17 +400,22 @@ def reference_integrity_stock(
     return finalize(spark, agg, params, STOCK_ATTRS, keep_empty=False)
 
 
-def _stock_rows(stock: DataFrame, year: int) -> DataFrame:
-    """The stock rows of a year with their group columns; the filter is a date range so parquet statistics can skip."""
+def stock_of_year(stock: DataFrame, year: int) -> DataFrame:
+    """The stock rows of a year; the filter is a date range so parquet statistics can skip."""
     d = F.col("tech_period_end_date")
+    return stock.filter(
+        (d >= F.make_date(F.lit(year), F.lit(1), F.lit(1))) & (d < F.make_date(F.lit(year + 1), F.lit(1), F.lit(1))))
+
+
+def _stock_rows(stock: DataFrame, year: int) -> DataFrame:
+    """The stock rows of a year with their group columns."""
     groups = {
-        "division_code": F.col("division_amaas"), "market_code": F.col("GEOGRAPHY.orga_country_alpha2"), "sit_year": year_text(d),
+        "division_code": F.col("division_amaas"), "market_code": F.col("GEOGRAPHY.orga_country_alpha2"),
+        "sit_year": year_text("tech_period_end_date"),
         "client_name": F.col("DISTRIBUTOR.distributor_name"), "data_source": F.col("METADATA_TECHNICAL.data_file_provider"),
         "source_type": F.lit("Distributor"), "total_units": abs_measure("FACT_VALUE.total_stock_units", null_as_zero=False),
     }
-    return stock.filter(
-        (d >= F.make_date(F.lit(year), F.lit(1), F.lit(1))) & (d < F.make_date(F.lit(year + 1), F.lit(1), F.lit(1)))
-    ).withColumns(groups)
+    return stock_of_year(stock, year).withColumns(groups)
 
 
 def _reference_measures(src: DataFrame, ref: DataFrame, keys: Sequence[str], value: Column, blank: tuple[str, ...] = (),

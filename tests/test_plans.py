@@ -172,3 +172,26 @@ def test_the_attribute_catalogue_keeps_one_sum_a_store_and_key(spark):
     large = next(line for line in lines if "Aggregate" in line and "AS _rows#" in line)
     outputs = large.split("], [", 1)[1]
     assert outputs.count("sum(") + outputs.count("count(") <= 2, large
+
+
+@pytest.mark.parametrize("name", ["dq_ref_stock", "dq_ref_stock_rate", "dq_ref_stock_nulls", "dq_empty_cross", "dq_ref_stock_catalogue"])
+def test_only_the_years_stock_rows_are_joined(spark, no_broadcast, monkeypatch, name):
+    """The year meets the lines before they are joined to stores and parts, and no fact of all years is written."""
+    from ledgerlint.plans import dq_queries
+    from ledgerlint.sources.fixtures import FixtureSet
+
+    staged = []
+
+    def unwritten(*_):
+        raise AssertionError("the sell-out fact is not needed whole")
+
+    monkeypatch.setattr(FixtureSet, "fact_sellout", unwritten)
+    monkeypatch.setattr(FixtureSet, "_sets", {})
+    if name == "dq_ref_stock_catalogue":
+        stage = dq_queries.stage
+        monkeypatch.setattr(dq_queries, "stage", lambda df, name: staged.append(df) or stage(df, name))
+    df = entry.queries()[name](spark, SF)
+    lines = _optimized(staged[0] if staged else df)
+    scan = next(i for i, line in enumerate(lines) if "l_shipdate" in line and "Relation" in line)
+    year = 2100 if name == "dq_empty_cross" else 2000
+    assert "Filter" in lines[scan - 1] and f"{year}-01-01" in lines[scan - 1] and f"{year + 1}-01-01" in lines[scan - 1], lines[scan - 1]
