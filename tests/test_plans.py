@@ -195,3 +195,33 @@ def test_only_the_years_stock_rows_are_joined(spark, no_broadcast, monkeypatch,
     scan = next(i for i, line in enumerate(lines) if "l_shipdate" in line and "Relation" in line)
     year = 2100 if name == "dq_empty_cross" else 2000
     assert "Filter" in lines[scan - 1] and f"{year}-01-01" in lines[scan - 1] and f"{year + 1}-01-01" in lines[scan - 1], lines[scan - 1]
+
+
+def test_distinct_deliveries_are_not_shuffled_again_once_they_are_wide(spark, no_broadcast):
+    """M1 is made distinct before POS is joined, and not again after it."""
+    lines = _optimized(entry.queries()["mf_deliveries_nulls"](spark, SF))
+    top = next(i for i, line in enumerate(lines) if "Join Inner" in line)
+    assert not any("Aggregate" in line for line in lines[:top]), lines[:top]
+    assert _joined(lines, "Inner")[0] == ("Aggregate", "Aggregate"), lines
+
+
+def test_deliveries_of_repeated_dimension_rows_are_distinct(spark):
+    """Repeated stores and sources, two sources of one frequency (in another case for MFS), a store without attributes."""
+    import datetime as dt
+    from types import SimpleNamespace
+
+    from ledgerlint.plans import missing_files as mf
+
+    fact = spark.createDataFrame(
+        [("AU", "A", "P", s, dt.date(2022, 1, 3), src) for s in ("s1", "s2", None) for src in ("d1", "d2", "d3", None) for _ in (1, 2)],
+        "market_code string, division_code string, source_project string, point_of_sale_code string, sellout_date date, data_source string")
+    ds = spark.createDataFrame([("d1", "Daily"), ("d1", "Daily"), ("d2", "DAILY"), ("d3", "Daily"), ("d1", "Weekly"), (None, "Daily")],
+                               "data_source_code string, data_source_frequency string")
+    pos = spark.createDataFrame([("s1", "c", "x", None), ("s1", "c", "x", None), ("s1", "c2", "x", "y"), ("s2", None, None, None), (None, "c", "x", "y")],
+                                "point_of_sale_code string, client_name string, channel_level1 string, channel_level2 string")
+    inp = SimpleNamespace(fact=fact, datasource=ds, pos=pos)
+    for cfg, frequencies in ((mf.SP, ["DAILY", "Daily", "Weekly"]), (mf.MFS, ["DAILY", "WEEKLY"])):
+        got = sorted(map(str, (tuple(r)[3:] for r in mf.deliveries(inp, cfg, dt.date(2022, 3, 1)).collect())))
+        day = dt.date(2022, 1, 3)
+        want = sorted(str((s, day, *a, f)) for s, a in (("s1", ("c", "x", None)), ("s1", ("c2", "x", "y")), ("s2", (None, None, None))) for f in frequencies)
+        assert got == want, cfg.name
