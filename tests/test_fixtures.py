@@ -42,3 +42,10 @@ def test_a_fact_with_a_split_for_each_core_is_written_without_a_shuffle(spark, t
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_a_further_set_leaves_the_files_of_the_first(spark, sf_small):
+    """Two sets of one folder in one session: the first still reads what it has written."""
+    first = FixtureSet(spark, sf_small).pos()
+    second = FixtureSet(spark, sf_small).pos()
+    assert sorted(map(tuple, first.collect())) == sorted(map(tuple, second.collect())) != []
