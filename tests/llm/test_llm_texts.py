@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -156,6 +157,27 @@ def test_near_pairs_inside_a_template_family(spark):
     assert got == Counter((i, i - i % 2) for i in range(400)) == brute_classes(rows)
 
 
+def test_near_frequencies_reach_the_driver_as_columns(spark):
+    """All tokens are counted; 400,000 of them don't become as many Python objects in the driver."""
+    numbers = np.random.default_rng(3).integers(0, 1 << 40, (200, 2000))
+    texts = [" ".join(map(str, r)) for r in numbers] + ["same " * 300, "one two", ""]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(4).cache()
+    assert df.count() == len(texts)
+    want = np.zeros(near_dedup.COUNTERS, np.int64)
+    for t in texts:
+        data = np.frombuffer(t.encode(), np.uint8)
+        _, token = near_dedup._tokens(data, np.array([0, len(data)]))
+        np.add.at(want, (token % np.uint64(near_dedup.COUNTERS)).astype(np.int64), 1)
+    tracemalloc.start()
+    got = near_dedup._frequencies(df)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    df.unpersist()
+    assert (got == want).all() and np.count_nonzero(got) > 300_000
+    assert not near_dedup._frequencies(df.limit(0)).any()
+    assert peak < 50e6
+
+
 def test_drop_near_keeps_one_of_each_class(docs):
     out = near_dedup.drop_near_duplicates(docs)
     classes = brute_classes([r[:2] for r in DOCS])
